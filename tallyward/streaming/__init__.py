@@ -1,0 +1 @@
+"""Intentionally empty: the work is batch only, each run replaces whole tables."""
