@@ -15,10 +15,10 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a narrow frame for broadcast after counting that it has at most `max_rows` rows.
 
     Meant for a filtered dimension: the planner only knows its size before the filter, and would
-    shuffle the whole fact table. The count stops at the bound. A larger frame is returned as it is,
-    and then joined by a shuffle on the key, whose hot keys adaptive execution splits.
+    shuffle the whole fact table. The count is one pass over the filtered columns. A larger frame is
+    returned as it is, and then joined by a shuffle on the key, whose hot keys adaptive execution splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def fact_dim_join(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -44,7 +44,7 @@ def _wanted_ranges(counts: DataFrame, probabilities: Sequence[float], range_bits
     position's offset in that range. Two positions per probability, at most 2**range_bits ranges."""
     n_ranges = 2**range_bits
     steps = ", ".join(f"{i / n_ranges}D" for i in range(1, n_ranges))
-    cuts = counts.agg(F.expr(f"percentile_approx(value, array({steps}), {5 * n_ranges})")).scalar()
+    cuts = counts.agg(F.expr(f"percentile_approx(value, array({steps}), {2 * n_ranges})")).scalar()
     ranges = (
         counts.withColumn("cuts", cuts)
         .groupBy(_range_number(F.col("value"), F.col("cuts"), range_bits).alias("number"))

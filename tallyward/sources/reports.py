@@ -10,6 +10,15 @@ from pyspark.sql.types import StructType
 from tallyward.sources.tables import CSV_OPTIONS
 
 
+# Blanks at the ends of a text and microseconds are kept.
+WHOLE_VALUES = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def report_path(root: str, name: str) -> str:
     return f"{root}/reports/{name}"
 
@@ -18,15 +27,17 @@ def write_report(df: DataFrame, root: str, name: str) -> DataFrame:
     """Replace the report `name`, and return it as read back from its files.
 
     Not squeezed into one file: a report per product grows with the products. Small results come out
-    as one file anyway, and the files of a sorted result follow each other in order.
+    as one file anyway, and the files of a sorted result follow each other in order. CSV does not tell
+    an empty text from null: both read back as null.
     """
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
-    df.write.mode("overwrite").options(**options).csv(report_path(root, name))
+    df.write.mode("overwrite").options(**options, **WHOLE_VALUES).csv(report_path(root, name))
     return read_report(df.sparkSession, root, name, df.schema)
 
 
 def read_report(spark: SparkSession, root: str, name: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True).csv(report_path(root, name))
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, **WHOLE_VALUES, multiLine=True)
+    return reader.csv(report_path(root, name))
 
 
 def report_from_sql(

@@ -1,0 +1,320 @@
+"""Small frames with known answers."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyward.functions.dates import date_of_key, in_year, parse_date, short_date_flag
+from tallyward.functions.text import fixed_point, has_size_letter, phone_number, same_text
+from tallyward.operators import duplicates, keys, profile
+from tallyward.operators.histogram import histogram
+from tallyward.operators.joins import fact_dim_join, sized_broadcast
+from tallyward.operators.ranking import first_ranked, first_ranked_with_copies
+from tallyward.operators.repair import century_of, repair_dates
+from tallyward.plans import charts, questions
+from tallyward.plans.cleansing import normalize, table_errors
+from tallyward.plans.specs import TableSpec, spec_of
+
+
+def column(df, name):
+    return [r[name] for r in df.collect()]
+
+
+def test_date_flag(frame):
+    df = frame([("1965-01-02",), ("12/31/70",), (None,), ("",)], "d string")
+    assert column(df.select(short_date_flag(F.col("d")).alias("f")), "f") == [0, 1, 1, 1]
+
+
+def test_formats_are_tried_in_order(frame):
+    texts = ["1965-02-03", "1965-02-03 04:05:06", "02/03/1965", "13/02/1965", "13-02-1965", "31.12.1970", "n/a", "", None]
+    df = frame([(t,) for t in texts], "d string").select(parse_date(F.col("d")).alias("p"))
+    assert column(df, "p") == [
+        dt.datetime(1965, 2, 3),
+        dt.datetime(1965, 2, 3, 4, 5, 6),
+        dt.datetime(1965, 2, 3),
+        dt.datetime(1965, 2, 13),
+        dt.datetime(1965, 2, 13),
+        dt.datetime(1970, 12, 31),
+        None,
+        None,
+        None,
+    ]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_repair_in_any_time_zone(spark, frame, zone):
+    rows = [("1965-01-02",), ("1970-06-07",), ("12/31/70",), ("1/2/65",), ("31-12-70",), ("n/a",), (None,)]
+    df = frame(rows, "d string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = column(repair_dates(df, ["d"]), "d")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == [
+        dt.datetime(1965, 1, 2),
+        dt.datetime(1970, 6, 7),
+        dt.datetime(1970, 12, 31),
+        dt.datetime(1965, 1, 2),
+        dt.datetime(1970, 12, 31),
+        None,
+        None,
+    ]
+
+
+def test_century_of_a_half_median_and_without_a_full_year(frame):
+    df = frame([("1965-01-01",), ("1970-01-01",), ("01/01/05",)], "d string")
+    assert column(century_of(df, "d"), "century") == ["19"]
+    short = frame([("12/31/70",), (None,)], "d string")
+    assert column(century_of(short, "d"), "century") == [None]
+    assert column(repair_dates(short, ["d"]), "d") == [None, None]
+
+
+def test_phone(frame):
+    df = frame([("1 (11) 500 555-0162",), (None,), ("ext. 5",), ("245-555-0173",)], "p string")
+    assert column(df.select(phone_number(F.col("p")).alias("p")), "p") == [1115005550162, None, None, 2455550173]
+
+
+def test_date_of_key(frame):
+    df = frame([(20130801,), (20131399,), (None,)], "k long").select(date_of_key(F.col("k")).alias("d"))
+    assert column(df, "d") == [dt.datetime(2013, 8, 1), None, None]
+
+
+def test_fixed_point(frame):
+    df = frame([(1.5,), (None,), (1e12,)], "x double").select(fixed_point(F.col("x")).alias("t"))
+    assert column(df, "t") == ["1.500000", None, "1000000000000.000000"]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
+def test_year_filter_on_any_kind_of_date(frame, kind):
+    df = frame([("2011-12-31",), ("2012-01-01",), ("2012-12-31",), ("2013-01-01",), (None,)], "d string")
+    df = df.select(F.col("d"), F.col("d").cast(kind).alias("x"))
+    assert column(df.where(in_year(F.col("x"), 2012)), "d") == ["2012-01-01", "2012-12-31"]
+
+
+def test_size_letters(frame):
+    df = frame([("S",), ("42",), (None,), ("XL",)], "s string")
+    assert column(df.where(has_size_letter(F.col("s"))), "s") == ["S", "XL"]
+
+
+def test_same_text_ignores_case(frame):
+    df = frame([("RED Plate",), ("red plates",)], "s string")
+    assert column(df.where(same_text(F.col("s"), "red plate")), "s") == ["RED Plate"]
+
+
+def test_repeated_rows_with_nulls(frame):
+    df = frame([(1, None), (1, None), (1, None), (2, "x")], "a int, b string")
+    assert [tuple(r) for r in duplicates.duplicate_rows(df).collect()] == [(1, None)] * 2
+    assert duplicates.duplicate_count(df).first().n_duplicates == 2
+    assert duplicates.duplicate_count(df.where("a = 9")).first().n_duplicates == 0
+
+
+def test_columns_with_dots_and_spaces(frame):
+    df = frame([(1, 2), (1, 2)], "`a.b` int, `c d` int")
+    assert [tuple(r) for r in duplicates.duplicate_rows(df).collect()] == [(1, 2)]
+    assert column(profile.table_profile(df), "n_values") == [2, 2]
+
+
+@pytest.mark.parametrize("n", [0, 1, 9, 10, 11, 20, 95])
+def test_hot_rows_are_split_in_blocks(frame, n):
+    df = frame([("hot", n), ("cold", 2)], "a string, n long")
+    counts = {r.a: r["count"] for r in duplicates.repeat_rows(df, "n", per_block=10).groupBy("a").count().collect()}
+    assert counts == ({"hot": n, "cold": 2} if n else {"cold": 2})
+
+
+def test_hot_rows_are_written_by_many_tasks(frame):
+    df = frame([("hot", 400)], "a string, n long")
+    tasks = duplicates.repeat_rows(df, "n", per_block=10).select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks > 1
+
+
+def test_keys_with_nulls(frame):
+    df = frame([(1,), (None,), (None,)], "k int")
+    assert keys.key_uniqueness(df, ["k"]).first().is_unique is False
+    assert [tuple(r) for r in keys.key_violations(df, ["k"]).collect()] == [(None, 2)]
+    one_null = frame([(1,), (None,)], "k int")
+    assert keys.key_uniqueness(one_null, ["k"]).first().is_unique is True
+    assert [tuple(r) for r in keys.key_violations(one_null, ["k"]).collect()] == [(None, 1)]
+    assert keys.key_uniqueness(df.where("k = 5"), ["k"]).first().is_unique is True
+
+
+def test_unreadable_key_becomes_a_violation(frame):
+    df = keys.cast_keys(frame([("1",), ("x",)], "k string"), ["k"])
+    assert column(df, "k") == [1, None]
+    assert column(keys.key_violations(df, ["k"]), "k") == [None]
+
+
+@pytest.mark.parametrize("rank", [first_ranked, first_ranked_with_copies])
+def test_rank_ties_and_nulls(frame, rank):
+    ties = frame([("01", 10.0), ("01", 10.0), ("01", 5.0), ("02", 1.0)], "m string, v double")
+    assert sorted(tuple(r) for r in rank(ties, "m", "v", True).collect()) == [("01", 10.0), ("01", 10.0), ("02", 1.0)]
+    nulls = frame([("01", None), ("01", 5.0)], "m string, v double")
+    assert column(rank(nulls, "m", "v", False), "v") == [None]
+    assert column(rank(nulls, "m", "v", True), "v") == [5.0]
+
+
+def test_histogram_edges(frame):
+    df = frame([(float(i),) for i in range(21)] + [(None,), (float("nan"),)], "v double")
+    rows = sorted(histogram(df, "v", 20).collect())
+    assert [r.n for r in rows] == [1] * 19 + [2]
+    assert (rows[0].low, rows[-1].high) == (0.0, 20.0)
+    constant = sorted(histogram(frame([(3.0,)] * 4, "v double"), "v", 20).collect())
+    assert [r.n for r in constant] == [0] * 10 + [4] + [0] * 9
+    assert histogram(df.where("v < 0"), "v").collect() == []
+
+
+def test_numeric_summary_without_values(frame):
+    row = profile.numeric_summary(frame([(None,)], "v double"), ["v"]).first()
+    assert (row.n, row.mean, row.p50) == (0, None, None)
+
+
+def test_numeric_summary_of_integers(frame):
+    rows = profile.numeric_summary(frame([(i, 1.0) for i in (1, 2, 3, 4)], "a int, b double"), ["a", "b"]).collect()
+    assert [(r.column_name, r.n, r.mean, r.min, r.p25, r.p50, r.p75, r.max) for r in rows] == [
+        ("a", 4, 2.5, 1.0, 1.75, 2.5, 3.25, 4.0),
+        ("b", 4, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0),
+    ]
+
+
+def test_profile_counts_nan_as_missing(frame):
+    df = frame([(1.0, "a", True, dt.date(2020, 1, 1), 1), (float("nan"), None, None, None, None)],
+               "f double, s string, b boolean, d date, i int")
+    assert [tuple(r) for r in profile.table_profile(df).collect()] == [
+        (1, "f", "float", 1),
+        (2, "s", "text", 1),
+        (3, "b", "text", 1),
+        (4, "d", "date", 1),
+        (5, "i", "int", 1),
+    ]
+
+
+def test_groups_without_key_are_left_out(frame):
+    df = frame([("a", 1.0), ("a", None), (None, 5.0)], "k string, v double")
+    assert [tuple(r) for r in profile.mean_by_group(df, "k", "v", "m").collect()] == [("a", 1.0)]
+    assert [tuple(r) for r in profile.count_by_group(df, "k").collect()] == [("a", 1)]
+
+
+def test_bands(frame):
+    df = frame([(9.9,), (10.0,), (49.0,), (50.0,), (None,)], "w double")
+    bands = profile.count_by_band(df, "w", ((10.0, "0-10"), (50.0, "10-50"), (None, "50+")), "band")
+    assert {r.band: r.n for r in bands.collect()} == {"0-10": 1, "10-50": 2, "50+": 1}
+
+
+def test_row_failing_two_rules_is_logged_twice(frame):
+    df = frame([(1, None, None, "L"), (2, None, "Current", "42"), (3, dt.datetime(2020, 1, 1), "Current", None)],
+               "ProductKey int, StartDate timestamp_ntz, Status string, Size string")
+    log = table_errors(df, spec_of("dimproduct"))
+    assert sorted((r.ProductKey, r.error_type) for r in log.collect()) == [
+        (1, "potentially_dismissed_prod"),
+        (1, "size_inconcistency"),
+        (2, "potentially_dismissed_prod"),
+    ]
+
+
+CUSTOMER = "CustomerKey string, BirthDate string, DateFirstPurchase string, Phone string"
+
+
+def test_customer_log_keeps_raw_text(frame):
+    rows = [
+        ("1", "1965-01-02", "2011-05-05", "245-555-0173"),
+        ("2", "12/31/70", "2011-05-05", "1 (11) 500 555-0162"),
+        ("3", "n/a", "2011-05-05", None),
+        ("4", "1970-01-01", None, "call me"),
+        ("1", "1965-01-02", "2011-05-05", "245-555-0173"),
+    ]
+    df = frame(rows, CUSTOMER)
+    log = table_errors(df, spec_of("dimcustomer"))
+    assert sorted((r.CustomerKey, r.BirthDate, r.error_type) for r in log.collect()) == [
+        ("1", "1965-01-02", "duplicated_row_in_raw_table"),
+        ("2", "12/31/70", "date_inconcistency"),
+        ("3", "n/a", "date_inconcistency"),
+        ("3", "n/a", "date_unparseable"),
+        ("4", "1970-01-01", "date_inconcistency"),
+        ("4", "1970-01-01", "phone_unparseable"),
+    ]
+    clean = {r.CustomerKey: r for r in normalize(df, spec_of("dimcustomer")).collect()}
+    assert clean[2].BirthDate == dt.datetime(1970, 12, 31)
+    assert clean[2].Phone == 1115005550162
+    assert (clean[3].BirthDate, clean[3].Phone, clean[4].DateFirstPurchase) == (None, None, None)
+
+
+def test_territory_without_region_is_dropped(frame):
+    df = frame([(1, "North"), (None, None)], "SalesTerritoryKey int, SalesTerritoryRegion string")
+    assert column(normalize(df, spec_of("DimSalesTerritory")), "SalesTerritoryKey") == [1]
+
+
+def test_table_without_rules_logs_only_repeats(frame):
+    df = frame([(1,), (1,), (2,)], "a int")
+    assert [tuple(r) for r in table_errors(df, TableSpec("t")).collect()] == [(1, "duplicated_row_in_raw_table")]
+
+
+def test_unknown_table_is_named():
+    with pytest.raises(KeyError, match="nosuch"):
+        spec_of("nosuch")
+
+
+def test_ages(frame):
+    years = [1992, 1991, 1976, 1975, None]
+    df = frame([(y and dt.date(y, 6, 1), "M", "F") for y in years], "BirthDate date, MaritalStatus string, Gender string")
+    as_of = F.lit("2026-01-01").cast("date")
+    assert tuple(questions.age_bands(df, as_of).first()) == ("M", "F", 1, 2, 1)
+
+
+def test_rollup_leaves_out_null_keys(frame):
+    df = frame([("M", "F", 1, 2, 3), (None, "F", 10, 0, 0), ("S", None, 0, 0, 7)],
+               "marital_status string, gender string, age_less_than_35 long, age_between_35_50 long, age_more_than_50 long")
+    rows = {tuple(r)[:3]: tuple(r)[3:] for r in charts.age_bands_rollup(df).collect()}
+    assert rows == {
+        ("both", "M", "F"): (1, 2, 3),
+        ("both", None, "F"): (10, 0, 0),
+        ("both", "S", None): (0, 0, 7),
+        ("gender", None, "F"): (11, 2, 3),
+        ("marital_status", "M", None): (1, 2, 3),
+        ("marital_status", "S", None): (0, 0, 7),
+    }
+
+
+SALE = "ProductKey int, SalesTerritoryKey int, OrderDate timestamp_ntz, ShipDate timestamp_ntz, SalesAmount double"
+
+
+def test_only_positive_sales_are_summed(frame):
+    day = dt.datetime(2012, 3, 4)
+    sales = frame([(1, 1, day, day, v) for v in (0.0, -1.0, 5.0)], SALE)
+    product = frame([(1,)], "ProductKey int")
+    months = questions.product_month_sales(sales, product, 2012)
+    assert [tuple(r) for r in months.collect()] == [(1, 5.0, "03")]
+    matrix = charts.product_month_matrix(months).first()
+    assert matrix.m03 == 5.0 and sum(matrix[f"m{m:02d}"] for m in range(1, 13)) == 5.0
+
+
+def test_repeated_dimension_rows_multiply_sales_as_a_join_does(frame):
+    day = dt.datetime(2012, 3, 4)
+    sales = frame([(1, 1, day, day, 5.0)], SALE)
+    product = frame([(1, "a"), (1, "a")], "ProductKey int, ProductName string")
+    territory = frame([(1, "UK")], "SalesTerritoryKey int, SalesTerritoryCountry string")
+    assert questions.product_month_sales(sales, product, 2012).first().SalesAmount == 10.0
+    assert questions.lowest_revenue_per_month(sales, product, territory, 2012).first().sales_amount == 10.0
+
+
+def test_scenario_without_rows_is_null(frame):
+    finance = frame([(1, 1, dt.datetime(2011, 1, 1), 4.0), (1, 1, dt.datetime(2011, 5, 1), None), (1, 2, dt.datetime(2011, 1, 1), None)],
+                    "AccountKey int, ScenarioKey int, Date timestamp_ntz, Amount double")
+    account = frame([(1, "Assets")], "AccountKey int, AccountType string")
+    scenario = frame([(1, "Actual"), (2, "BUDGET"), (3, "Forecast")], "ScenarioKey int, ScenarioName string")
+    row = questions.avg_amount_by_scenario(finance, account, scenario, 2011).first()
+    assert tuple(row) == ("Assets", 4.0, None, None)
+
+
+def test_amounts_of_four_decimals_are_summed_exactly(frame):
+    day = dt.datetime(2012, 3, 4)
+    sales = frame([(1, 1, day, day, 0.0001)] * 10 + [(1, 1, day, day, 2024.994)], SALE)
+    assert questions.product_month_sales(sales, frame([(1,)], "ProductKey int"), 2012).first().SalesAmount == 2024.995
+
+
+def test_join_drops_null_keys_and_checks_size(frame):
+    fact = frame([(1, 5.0), (None, 6.0)], "k int, v double")
+    dim = frame([(1, "a"), (None, "b")], "k int, name string")
+    assert [tuple(r) for r in fact_dim_join(fact, dim, "k", ["name", "v"]).collect()] == [("a", 5.0)]
+    assert "broadcast" in sized_broadcast(dim, 2)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in sized_broadcast(dim, 1)._jdf.queryExecution().logical().toString()
