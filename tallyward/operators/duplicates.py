@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.text import named
+from tallyward.operators.joins import sized_broadcast
+from tallyward.sources.shared import shared_folder
 
 DUPLICATE = "duplicated_row_in_raw_table"
 
 # Copies that one task writes out for one row; a row with more is split over many tasks.
 COPIES_PER_BLOCK = 100_000
 
+# Fingerprints of repeated rows that are broadcast: 16 bytes each, so some ten megabytes.
+FINGERPRINTS = 1_000_000
+
 
 def copies(df: DataFrame, count_name: str) -> DataFrame:
     """Each distinct row once, with its number of copies. Nulls count as equal.
@@ -45,6 +50,25 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return repeat_rows(extra, "_copies")
 
 
+def duplicate_wide_rows(df: DataFrame) -> DataFrame:
+    """As `duplicate_rows`, for large tables with wide rows of which few are repeated.
+
+    A first pass shuffles only an 8-byte fingerprint per row, and stores the few that repeat. Only rows
+    with one of these are then shuffled whole and compared exactly, so equal fingerprints of unlike rows
+    do no harm. Where very many repeat, all rows are shuffled, as in `duplicate_rows`.
+    """
+    print_ = F.xxhash64(*[named(c) for c in df.columns])
+    path = f"{shared_folder(df.sparkSession)}/fingerprints"
+    df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "_print"
+    ).write.parquet(path)
+    repeated = df.sparkSession.read.parquet(path)
+    small = sized_broadcast(repeated, FINGERPRINTS)
+    if small is repeated:
+        return duplicate_rows(df)
+    return duplicate_rows(df.withColumn("_print", print_).join(small, "_print", "left_semi").drop("_print"))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Number of copies beyond the first, as one row."""
     return copies(df, "_copies").agg(

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.text import joined_key, named
-from tallyward.operators.duplicates import DUPLICATE, duplicate_rows
+from tallyward.operators.duplicates import DUPLICATE, duplicate_rows, duplicate_wide_rows
 
 
 @dataclass(frozen=True)
@@ -23,25 +22,23 @@ class Rule:
 
 def failing_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per failed rule, with its `error_type`, from a single scan."""
-    predicates = [r.predicate(df) for r in rules]
     if len(rules) == 1:
-        return df.where(predicates[0]).withColumn("error_type", F.lit(rules[0].error_type))
-    failed = F.array_compact(
-        F.array(*[F.when(p, F.lit(r.error_type)) for p, r in zip(predicates, rules)])
-    )
-    return (
-        df.where(reduce(lambda a, b: a | b, predicates))
-        .withColumn("_failed", failed)
-        .select(*[named(c) for c in df.columns], F.explode("_failed").alias("error_type"))
+        return df.where(rules[0].predicate(df)).withColumn("error_type", F.lit(rules[0].error_type))
+    # Not compacted and not filtered before: each predicate is evaluated once per row.
+    failed = F.array(*[F.when(r.predicate(df), F.lit(r.error_type)) for r in rules])
+    return df.select(*[named(c) for c in df.columns], F.explode(failed).alias("error_type")).where(
+        "error_type is not null"
     )
 
 
-def error_log(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def error_log(df: DataFrame, rules: Sequence[Rule], wide: bool = False) -> DataFrame:
     """Repeated rows and failing rows of one table, in its own columns and as they came in.
 
-    A row that fails two rules is logged twice.
+    A row that fails two rules is logged twice. `wide` chooses the search for repeated rows in large
+    tables, which runs its first pass at once.
     """
-    log = duplicate_rows(df).withColumn("error_type", F.lit(DUPLICATE))
+    repeated = duplicate_wide_rows(df) if wide else duplicate_rows(df)
+    log = repeated.withColumn("error_type", F.lit(DUPLICATE))
     return log.unionByName(failing_rows(df, rules), allowMissingColumns=True) if rules else log
 
 

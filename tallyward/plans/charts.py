@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions.numbers import money_mean
+
 MONTHS = tuple(f"{m:02d}" for m in range(1, 13))
 BANDS = ("age_less_than_35", "age_between_35_50", "age_more_than_50")
 
@@ -23,7 +25,7 @@ def chart_frames(top_transactions: DataFrame, lowest_revenue: DataFrame) -> Data
     return (
         first.unionByName(second)
         .groupBy("chart", "month", "hue")
-        .agg(F.avg("sales_amount").alias("value"))
+        .agg(money_mean(F.col("sales_amount")).alias("value"))
     )
 
 

@@ -18,7 +18,7 @@ from tallyward.plans.specs import TableSpec
 
 def table_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Error log of one table, with the raw values."""
-    return error_log(df, spec.rules)
+    return error_log(df, spec.rules, spec.wide)
 
 
 def normalize(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -31,7 +31,8 @@ def cleanse(spark: SparkSession, names: list[str], root: str) -> list[tuple[str,
         raw = read_layer(spark, root, RAW, name)
         log = common_log(table_errors(raw, spec), name, spec.row_key)
         written.append((name, ERRORS, write_layer(log, root, ERRORS, name, ["error_type"])))
-        written.append((name, NORMALIZED, write_layer(normalize(raw, spec), root, NORMALIZED, name)))
+        clean = normalize(raw, spec)
+        written.append((name, NORMALIZED, write_layer(clean, root, NORMALIZED, name, sorted_by=spec.sorted_by)))
     return written
 
 

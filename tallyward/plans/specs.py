@@ -17,7 +17,11 @@ from tallyward.operators.rules import Rule
 
 @dataclass(frozen=True)
 class TableSpec:
-    """`key` is unique in the normalized table; `identify` names a row in the shared log."""
+    """`key` is unique in the normalized table; `identify` names a row in the shared log.
+
+    `wide` marks large tables, see `error_log`. `sorted_by` orders the rows within each stored file, so
+    that a date filter skips most pages of it.
+    """
 
     name: str
     key: tuple[str, ...] = ()
@@ -28,6 +32,8 @@ class TableSpec:
     date_columns: tuple[str, ...] = ()
     phone_columns: tuple[str, ...] = ()
     date_formats: tuple[str, ...] = DATE_FORMATS
+    wide: bool = False
+    sorted_by: tuple[str, ...] = ()
 
     @property
     def row_key(self) -> tuple[str, ...]:
@@ -101,8 +107,16 @@ SPECS = {
         ),
         TableSpec("dimsalesterritory", key=("SalesTerritoryKey",), required=("SalesTerritoryRegion",)),
         TableSpec("dimscenario", key=("ScenarioKey",)),
-        TableSpec("factfinance", key=("FinanceKey",), integer_columns=("FinanceKey",)),
-        TableSpec("factresellersales", identify=SALES_KEYS, integer_columns=SALES_KEYS),
+        TableSpec(
+            "factfinance", key=("FinanceKey",), integer_columns=("FinanceKey",), sorted_by=("Date",)
+        ),
+        TableSpec(
+            "factresellersales",
+            identify=SALES_KEYS,
+            integer_columns=SALES_KEYS,
+            wide=True,
+            sorted_by=("OrderDate",),
+        ),
     )
 }
 

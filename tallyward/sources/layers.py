@@ -15,9 +15,23 @@ def layer_path(root: str, layer: str, name: str) -> str:
 
 
 def write_layer(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: Sequence[str] = (),
+    sorted_by: Sequence[str] = (),
 ) -> int:
-    """Replace a stored table by `df`; returns the rows written, counted during the write."""
+    """Replace a stored table by `df`; returns the rows written, counted during the write.
+
+    Rows are gathered by the partition columns, else every task writes a small file per partition; a
+    partition that grows large is split again. `sorted_by` sorts within each file, without a shuffle.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    if sorted_by:
+        df = df.sortWithinPartitions(*sorted_by)
+    # Counted last: below a shuffle, the count of an empty table gets lost.
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
     counted.write.mode("overwrite").partitionBy(*partition_by).parquet(layer_path(root, layer, name))

@@ -69,7 +69,7 @@ SALES = f"""sales AS (
          CAST(round(l_discount * 100) AS BIGINT) AS "PromotionKey",
          CAST(round(l_tax * 100) AS BIGINT) AS "CurrencyKey", l_suppkey AS "SalesTerritoryKey",
          o_orderdate AS "OrderDate", l_shipdate AS "ShipDate", l_extendedprice AS "SalesAmount",
-         l_quantity AS "OrderQuantity"
+         l_quantity AS "OrderQuantity", l_extendedprice / l_quantity AS "UnitPrice"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 DATE_TEXTS = f"""date_texts AS (
@@ -115,7 +115,7 @@ SALES_KEYS = (
     "ProductKey", "OrderDateKey", "DueDateKey", "ShipDateKey", "ResellerKey", "EmployeeKey",
     "PromotionKey", "CurrencyKey", "SalesTerritoryKey",
 )
-SALES_COLUMNS = ", ".join(f'"{c}"' for c in (*SALES_KEYS, "OrderDate", "ShipDate", "SalesAmount", "OrderQuantity"))
+SALES_COLUMNS = ", ".join(f'"{c}"' for c in (*SALES_KEYS, "OrderDate", "ShipDate", "SalesAmount", "OrderQuantity", "UnitPrice"))
 
 UNEXPECTED_VALUE = """SELECT *, 'potential_data_corruption' AS error_type FROM accounts
   WHERE "CustomMembers" IS NOT NULL"""
@@ -190,6 +190,8 @@ _PROFILE_TYPES = (
     ("Status", "text"), ("Size", "text"), ("Weight", "float"), ("DealerPrice", "float"),
 )
 
+_MEAN = "CAST(sum(CAST(sales_amount AS DECIMAL(18, 4))) AS DOUBLE) / count(sales_amount)"
+
 ORDER_CLASSES = """classes AS (
   SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders)"""
 
@@ -233,6 +235,8 @@ ORACLE: dict[str, str] = {
     "quantity_by_date_since": f"""WITH {SALES}
       SELECT "OrderDate", CAST(sum(CAST("OrderQuantity" AS DECIMAL(18, 4))) AS DOUBLE) AS quantity
       FROM sales WHERE "OrderDate" >= TIMESTAMP '2001-06-01' GROUP BY "OrderDate" ORDER BY "OrderDate\"""",
+    "sales_since": f"""WITH {SALES} SELECT "OrderDate", "ShipDate", "UnitPrice", "OrderQuantity" FROM sales
+      WHERE "OrderDate" >= TIMESTAMP '2001-06-01'""",
     "distinct_values": "SELECT DISTINCT l_quantity FROM lineitem",
     "head_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "null_rows": f'WITH {PRODUCTS} SELECT "ProductKey", "Size" FROM products WHERE "Size" IS NULL',
@@ -297,10 +301,10 @@ ORACLE: dict[str, str] = {
     "avg_amount_by_scenario": AVG_AMOUNT,
     "product_month_sales": f'{PRODUCT_MONTH} ORDER BY "ProductKey", "OrderMonth"',
     "age_bands": f"WITH {BIRTHS} {AGE_BANDS}",
-    "chart_frames": f"""SELECT 'qa1' AS chart, month, CAST(NULL AS VARCHAR) AS hue, avg(sales_amount) AS value
+    "chart_frames": f"""SELECT 'qa1' AS chart, month, CAST(NULL AS VARCHAR) AS hue, {_MEAN} AS value
         FROM ({TOP_TRANSACTIONS}) GROUP BY month
-      UNION ALL SELECT 'qa2a', month, sales_territory_country, avg(sales_amount) FROM ({LOWEST_REVENUE}) GROUP BY ALL
-      UNION ALL SELECT 'qa2b', month, product_name, avg(sales_amount) FROM ({LOWEST_REVENUE}) GROUP BY ALL""",
+      UNION ALL SELECT 'qa2a', month, sales_territory_country, {_MEAN} FROM ({LOWEST_REVENUE}) GROUP BY ALL
+      UNION ALL SELECT 'qa2b', month, product_name, {_MEAN} FROM ({LOWEST_REVENUE}) GROUP BY ALL""",
     "product_month_matrix": 'SELECT "ProductKey", '
     + ", ".join(
         f"""coalesce(sum("SalesAmount") FILTER ("OrderMonth" = '{m:02d}'), 0.0) AS m{m:02d}""" for m in range(1, 13)

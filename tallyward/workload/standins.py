@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.dates import date_of_key
-
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy")
 
 
@@ -142,6 +140,7 @@ def sales(lineitem: DataFrame, orders: DataFrame, products: DataFrame | None = N
         F.col("l_shipdate").alias("ShipDate"),
         F.col("l_extendedprice").alias("SalesAmount"),
         F.col("l_quantity").alias("OrderQuantity"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("UnitPrice"),
     )
 
 
@@ -166,7 +165,3 @@ def order_date_texts(orders: DataFrame) -> DataFrame:
 
 def order_date_keys(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", date_key(F.col("o_orderdate")).alias("date_key"))
-
-
-def parsed_date_keys(orders: DataFrame) -> DataFrame:
-    return order_date_keys(orders).withColumn("key_date", date_of_key(F.col("date_key")))

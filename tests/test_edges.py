@@ -318,3 +318,13 @@ def test_join_drops_null_keys_and_checks_size(frame):
     assert [tuple(r) for r in fact_dim_join(fact, dim, "k", ["name", "v"]).collect()] == [("a", 5.0)]
     assert "broadcast" in sized_broadcast(dim, 2)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in sized_broadcast(dim, 1)._jdf.queryExecution().logical().toString()
+
+
+@pytest.mark.parametrize("bound", [0, 100])
+def test_wide_repeats_equal_plain_ones(frame, monkeypatch, bound):
+    monkeypatch.setattr(duplicates, "FINGERPRINTS", bound)
+    rows = [(1, None, -0.0), (1, None, 0.0), (None, 1, 2.0), (None, 1, 2.0), (1, None, 2.0), (3, 3, float("nan"))] * 2
+    df = frame(rows, "a int, b int, c double")
+    plain = sorted(str(tuple(r)) for r in duplicates.duplicate_rows(df).collect())
+    assert len(plain) == 8
+    assert sorted(str(tuple(r)) for r in duplicates.duplicate_wide_rows(df).collect()) == plain

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyward.__main__ import main
 from tallyward.plans import etl
 from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, write_layer
 from tallyward.sources.reports import read_report, report_from_sql, write_report
@@ -115,6 +116,18 @@ def test_written_rows_are_counted_during_the_write(spark, frame, tmp_path):
     assert write_layer(df, str(tmp_path), RAW, "T", ["b"]) == 10
     assert write_layer(df.where("a < 0"), str(tmp_path), RAW, "T") == 0
     assert read_layer(spark, str(tmp_path), RAW, "t").count() == 0
+    assert write_layer(df.where("a < 0"), str(tmp_path), ERRORS, "T", ["b"], ["a"]) == 0
+    assert write_layer(df.repartition(3).where("a > 100"), str(tmp_path), ERRORS, "T", ["b"]) == 0
+    assert write_layer(df.groupBy("b").count().where("b > 9"), str(tmp_path), ERRORS, "T", ["b"]) == 0
+
+
+def test_command_line(spark, source, tmp_path, monkeypatch, capsys):
+    config = tmp_path / "config.json"
+    config.write_text(json.dumps({"DATABASE": {"TABLES": TABLE_NAMES}}))
+    monkeypatch.setattr("sys.argv", ["tallyward", source, f"{tmp_path}/out", "--config", str(config)])
+    main()
+    assert "factresellersales" in capsys.readouterr().out
+    assert read_layer(spark, f"{tmp_path}/out", NORMALIZED, "DimProduct").count() == 3
 
 
 def test_empty_text_of_a_report_reads_back_as_null(spark, frame, tmp_path):
