@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a few narrow columns, so some ten megabytes at most.
 BROADCAST_ROWS = 200_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Marks a narrow frame for broadcast after counting that it has at most `max_rows` rows.
 
-    Meant for a filtered dimension: the planner only knows its size before the filter, and would
+    Meant for dimensions: of a filtered or derived one the planner does not know the size, and would
     shuffle the whole fact table. The count is one pass over the filtered columns. A larger frame is
     returned as it is, and then joined by a shuffle on the key, whose hot keys adaptive execution splits.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows) else df
 
 
 def fact_dim_join(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -30,3 +30,23 @@ def fact_dim_join(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[s
     left = fact.select(*[c for c in fact.columns if c in needed])
     right = dim.select(*[c for c in dim.columns if c == key or (c in needed and c not in left.columns)])
     return left.join(right, key).select(*columns)
+
+
+def star_sum(
+    fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str], sums: Mapping[str, Column]
+) -> DataFrame:
+    """Sums of a fact table by columns of its own and of dimensions, each joined on its key.
+
+    `sums` are additive aggregates over the fact table: sums and counts. Small dimensions are broadcast, and
+    one shuffle then carries one row per task and group. With a larger one, the fact table is first
+    summed per key: a key that makes up a third of it then enters the join with a few rows per task.
+    """
+    marked = {key: sized_broadcast(dim) for key, dim in dims.items()}
+    all_small = all(marked[key] is not dim for key, dim in dims.items())
+    if not all_small:
+        own = [*dims, *[c for c in by if c in fact.columns and c not in dims]]
+        fact = fact.groupBy(*own).agg(*[s.alias(name) for name, s in sums.items()])
+        sums = {name: F.sum(name) for name in sums}
+    for key, dim in marked.items():
+        fact = fact.join(dim, key)
+    return fact.groupBy(*by).agg(*[s.alias(name) for name, s in sums.items()])

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, TimestampNTZType, TimestampType
 
-from tallyward.functions.numbers import missing, money_sum
+from tallyward.functions.numbers import missing
 from tallyward.functions.text import fixed_point, named
 from tallyward.operators.quantiles import quantiles
 
@@ -98,9 +98,10 @@ def count_by_band(df: DataFrame, value: str, bands: Sequence[tuple[float | None,
 
 
 def sum_by_date(df: DataFrame, date: str, value: str, name: str) -> DataFrame:
-    """Exact sum per date, in order of date; rows without a date are left out."""
-    sums = df.where(named(date).isNotNull()).groupBy(named(date)).agg(money_sum(named(value)).alias(name))
-    return sums.withColumn(name, F.col(name).cast("double")).orderBy(named(date))
+    """Sum per date, in order of date; rows without a date are left out."""
+    present = F.when(~missing(df, value), named(value))
+    sums = df.where(named(date).isNotNull()).groupBy(named(date)).agg(F.sum(present).alias(name))
+    return sums.orderBy(named(date))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.functions.numbers import without_nan
 from tallyward.operators.rules import common_log
 from tallyward.plans import charts, questions
 from tallyward.plans.cleansing import all_key_violations, normalize, table_errors
@@ -19,8 +20,8 @@ SUMMARY = "table_name string, layer string, n_rows bigint"
 
 
 def stage(tables: Mapping[str, DataFrame], root: str) -> list[tuple[str, str, int]]:
-    """Store every table untouched."""
-    return [(name, RAW, write_layer(df, root, RAW, name)) for name, df in tables.items()]
+    """Store every table untouched, but for NaN, which is stored as null."""
+    return [(name, RAW, write_layer(without_nan(df), root, RAW, name)) for name, df in tables.items()]
 
 
 def cleanse(spark: SparkSession, names: list[str], root: str) -> list[tuple[str, str, int]]:

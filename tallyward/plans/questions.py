@@ -1,8 +1,4 @@
-"""The five questions. Each takes normalized tables and gives the answer as a DataFrame.
-
-Sales are summed per key before any join: a product that makes up a third of all sales then enters the
-join with a few rows per task, and the shuffle carries sums instead of sales.
-"""
+"""The five questions. Each takes normalized tables and gives the answer as a DataFrame."""
 
 from __future__ import annotations
 
@@ -12,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.dates import age_in_years, in_year, month_text, two_digits
-from tallyward.functions.numbers import MONEY, money_sum
+from tallyward.functions.numbers import amount, money_sum
 from tallyward.functions.text import same_text
-from tallyward.operators.joins import sized_broadcast
+from tallyward.operators.joins import sized_broadcast, star_sum
 from tallyward.operators.ranking import first_ranked, first_ranked_with_copies
 
 # Result column -> scenario name.
@@ -42,16 +38,14 @@ def top_transaction_per_month(sales: DataFrame, products: DataFrame, year: int)
 
 def lowest_revenue_per_month(sales: DataFrame, product: DataFrame, territory: DataFrame, year: int) -> DataFrame:
     """Product and country of least revenue in each ship month; equal revenues are all kept."""
-    per_key = (
-        sales.where(in_year(F.col("ShipDate"), year))
-        .groupBy("ProductKey", "SalesTerritoryKey", F.month("ShipDate").alias("m"))
-        .agg(money_sum(F.col("SalesAmount")).alias("amount"))
-    )
-    revenue = (
-        per_key.join(product.select("ProductKey", "ProductName"), "ProductKey")
-        .join(territory.select("SalesTerritoryKey", "SalesTerritoryCountry"), "SalesTerritoryKey")
-        .groupBy("m", "SalesTerritoryCountry", "ProductName")
-        .agg(F.sum("amount").alias("amount"))
+    revenue = star_sum(
+        sales.where(in_year(F.col("ShipDate"), year)).withColumn("m", F.month("ShipDate")),
+        {
+            "ProductKey": product.select("ProductKey", "ProductName"),
+            "SalesTerritoryKey": territory.select("SalesTerritoryKey", "SalesTerritoryCountry"),
+        },
+        ["m", "SalesTerritoryCountry", "ProductName"],
+        {"amount": money_sum(F.col("SalesAmount"))},
     )
     lowest = first_ranked(revenue, "m", "amount", descending=False)
     return lowest.select(
@@ -70,15 +64,16 @@ def avg_amount_by_scenario(
     scenarios: Mapping[str, str] = SCENARIOS,
 ) -> DataFrame:
     """Mean amount per account type, one column per scenario; null for a scenario without rows."""
-    per_key = (
-        finance.where(in_year(F.col("Date"), year))
-        .groupBy("AccountKey", "ScenarioKey")
-        .agg(F.sum(F.col("Amount").cast(MONEY)).alias("total"), F.count("Amount").alias("n"))
+    totals = star_sum(
+        finance.where(in_year(F.col("Date"), year)),
+        {
+            "AccountKey": account.select("AccountKey", "AccountType"),
+            "ScenarioKey": scenario.select("ScenarioKey", "ScenarioName"),
+        },
+        ["AccountType", "ScenarioName"],
+        {"total": money_sum(F.col("Amount")), "n": F.count(amount(F.col("Amount")))},
     )
-    joined = per_key.join(account.select("AccountKey", "AccountType"), "AccountKey").join(
-        scenario.select("ScenarioKey", "ScenarioName"), "ScenarioKey"
-    )
-    return joined.groupBy("AccountType").agg(*[_mean_where(n, c) for c, n in scenarios.items()])
+    return totals.groupBy("AccountType").agg(*[_mean_where(n, c) for c, n in scenarios.items()])
 
 
 def _mean_where(scenario_name: str, result: str) -> Column:
@@ -90,18 +85,16 @@ def _mean_where(scenario_name: str, result: str) -> Column:
 
 def product_month_sales(sales: DataFrame, product: DataFrame, year: int) -> DataFrame:
     """Sum of the positive sales per product and order month."""
-    per_key = (
-        sales.where(in_year(F.col("OrderDate"), year) & (F.col("SalesAmount") > 0))
-        .groupBy("ProductKey", F.month("OrderDate").alias("m"))
-        .agg(money_sum(F.col("SalesAmount")).alias("amount"))
-    )
-    return (
-        per_key.join(product.select("ProductKey"), "ProductKey")
-        .groupBy("ProductKey", "m")
-        .agg(F.sum("amount").cast("double").alias("SalesAmount"))
-        .select("ProductKey", "SalesAmount", two_digits(F.col("m")).alias("OrderMonth"))
-        .orderBy("ProductKey", "OrderMonth")
+    sold = sales.where(in_year(F.col("OrderDate"), year) & (F.col("SalesAmount") > 0))
+    totals = star_sum(
+        sold.withColumn("m", F.month("OrderDate")),
+        {"ProductKey": product.select("ProductKey")},
+        ["ProductKey", "m"],
+        {"amount": money_sum(F.col("SalesAmount"))},
     )
+    return totals.select(
+        "ProductKey", F.col("amount").cast("double").alias("SalesAmount"), two_digits(F.col("m")).alias("OrderMonth")
+    ).orderBy("ProductKey", "OrderMonth")
 
 
 def age_bands(customer: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -230,10 +230,10 @@ ORACLE: dict[str, str] = {
       count("DealerPrice") AS "DealerPrice" FROM products GROUP BY "ProductName\"""",
     "weight_bands": f"""WITH {PRODUCTS} SELECT CASE WHEN "Weight" < 10 THEN '0-10' WHEN "Weight" < 50 THEN '10-50'
       ELSE '50+' END AS size_cat, count(*) AS n FROM products WHERE "Weight" IS NOT NULL GROUP BY 1""",
-    "amount_by_date": """SELECT o_orderdate, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 4))) AS DOUBLE) AS amount
+    "amount_by_date": """SELECT o_orderdate, round(sum(o_totalprice), 2) AS amount
       FROM orders GROUP BY o_orderdate ORDER BY o_orderdate""",
     "quantity_by_date_since": f"""WITH {SALES}
-      SELECT "OrderDate", CAST(sum(CAST("OrderQuantity" AS DECIMAL(18, 4))) AS DOUBLE) AS quantity
+      SELECT "OrderDate", sum("OrderQuantity") AS quantity
       FROM sales WHERE "OrderDate" >= TIMESTAMP '2001-06-01' GROUP BY "OrderDate" ORDER BY "OrderDate\"""",
     "sales_since": f"""WITH {SALES} SELECT "OrderDate", "ShipDate", "UnitPrice", "OrderQuantity" FROM sales
       WHERE "OrderDate" >= TIMESTAMP '2001-06-01'""",

@@ -127,7 +127,8 @@ def weight_bands(spark, t):
 
 @query
 def amount_by_date(spark, t):
-    return profile.sum_by_date(t["orders"], "o_orderdate", "o_totalprice", "amount")
+    sums = profile.sum_by_date(t["orders"], "o_orderdate", "o_totalprice", "amount")
+    return sums.withColumn("amount", F.round("amount", 2))
 
 
 @query

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as driver
+from tallyward.operators import joins
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -54,14 +55,22 @@ def test_scans_read_only_used_columns(plans):
     assert "ReadSchema: struct<c_acctbal:double,c_mktsegment:string>" in plans["mean_by_group"]
 
 
-def test_sales_are_summed_before_they_are_joined(spark):
+def test_small_dimensions_are_broadcast_before_the_only_shuffle(plans):
+    lines = plans["lowest_revenue_per_month"].splitlines()
+    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
+    partial = next(i for i, line in enumerate(lines) if "partial_sum" in line)
+    assert partial < min(joins)
+
+
+def test_sales_are_summed_before_a_join_with_large_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         for name in ("lowest_revenue_per_month", "avg_amount_by_scenario"):
             lines = plan(driver.queries()[name](spark, FOLDER)).splitlines()
-            joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+            merges = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
             fact = next(i for i, line in enumerate(lines) if "FileScan" in line and ("l_extendedprice" in line or "o_totalprice" in line))
-            assert any("partial_sum" in line for line in lines[max(j for j in joins if j < fact) : fact])
+            assert any("partial_sum" in line for line in lines[max(j for j in merges if j < fact) : fact])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -1,13 +1,16 @@
 """Properties on random frames, against plain Python and numpy."""
 
+import datetime as dt
 import random
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import duplicates, profile
+from tallyward.functions.numbers import money_mean, money_sum
+from tallyward.operators import duplicates, joins, profile
 from tallyward.operators.histogram import histogram
 from tallyward.operators.quantiles import quantiles
 from tallyward.operators.ranking import first_ranked_with_copies
@@ -110,9 +113,21 @@ def test_flagged_and_clean_rows_make_up_all_rows_and_normalizing_twice_changes_n
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-def test_questions_with_a_hot_product_equal_brute_force(spark, frame, seed):
-    import datetime as dt
+def test_money_is_summed_exactly(frame, seed):
+    r = random.Random(seed)
+    amounts = [Decimal(r.randint(-(10**r.randint(1, 15)), 10**15)) / 10000 for _ in range(300)]
+    rows = [(float(a),) for a in amounts] + [(None,), (float("nan"),)]
+    row = frame(rows, "v double").agg(money_sum(F.col("v")).alias("s"), money_mean(F.col("v")).alias("m")).first()
+    assert row.s == sum(amounts)
+    assert row.m == float(sum(amounts)) / len(amounts)
+    empty = frame([(None,)], "v double").agg(money_sum(F.col("v")).alias("s"), money_mean(F.col("v")).alias("m")).first()
+    assert tuple(empty) == (None, None)
+
 
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("largest_broadcast", [0, 1000])
+def test_questions_with_a_hot_product_equal_brute_force(spark, frame, monkeypatch, seed, largest_broadcast):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", largest_broadcast)
     r = random.Random(seed)
     rows = []
     for _ in range(600):
