@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.numbers import missing
@@ -44,13 +44,23 @@ def _wanted_ranges(counts: DataFrame, probabilities: Sequence[float], range_bits
     position's offset in that range. Two positions per probability, at most 2**range_bits ranges."""
     n_ranges = 2**range_bits
     steps = ", ".join(f"{i / n_ranges}D" for i in range(1, n_ranges))
-    cuts = counts.agg(F.expr(f"percentile_approx(value, array({steps}), {2 * n_ranges})")).scalar()
+    # The total comes along, so that this pass needs the counts too and reads them from the same shuffle.
+    cuts = counts.agg(
+        F.struct(
+            F.expr(f"percentile_approx(value, array({steps}), {2 * n_ranges})").alias("cuts"),
+            F.sum("n").alias("total"),
+        )
+    )
     ranges = (
-        counts.withColumn("cuts", cuts)
-        .groupBy(_range_number(F.col("value"), F.col("cuts"), range_bits).alias("number"))
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n"))
+        _with_range_number(counts.withColumn("all", cuts.scalar()).select("value", "n", "all.*"), range_bits)
+        .groupBy("number")
+        .agg(
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.sum("n").alias("n"),
+            F.any_value("total").alias("total"),
+        )
         .withColumn("before", F.sum("n").over(Window.orderBy("number")) - F.col("n"))
-        .withColumn("total", F.sum("n").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     )
     positions = []
     for i, p in enumerate(probabilities):
@@ -72,9 +82,15 @@ def _wanted_ranges(counts: DataFrame, probabilities: Sequence[float], range_bits
     return holding.agg(F.collect_list(F.struct("which", "upper", "part", "offset", "low", "high")))
 
 
-def _range_number(value: Column, cuts: Column, range_bits: int) -> Column:
-    """Number of cuts at or below the value, by halving. Any cuts give right quantiles; even ones, even ranges."""
-    steps = F.array(*[F.lit(2**b) for b in reversed(range(range_bits))])
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at)
-    )
+def _with_range_number(df: DataFrame, range_bits: int) -> DataFrame:
+    """Adds the number of cuts at or below the value, by halving, one generated step per bit.
+
+    Any cuts give right quantiles; even cuts give even ranges.
+    """
+    number = F.col("number")
+    df = df.withColumn("number", F.lit(0))
+    for bit in reversed(range(range_bits)):
+        step = 2**bit
+        below = F.get("cuts", number + (step - 1)) <= F.col("value")
+        df = df.withColumn("number", number + F.when(below, step).otherwise(0))
+    return df
