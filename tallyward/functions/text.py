@@ -34,9 +34,14 @@ def fixed_point(column: Column) -> Column:
 
 def joined_key(columns: list[str]) -> Column:
     """Key columns as one text, for logs over tables of different shape."""
-    return F.concat_ws("|", *[F.coalesce(named(c).cast("string"), F.lit("")) for c in columns])
+    return F.concat_ws("|", *[F.expr(f"coalesce(cast({quoted(c)} as string), '')") for c in columns])
+
+
+def quoted(column: str) -> str:
+    """Reference to a column of exactly this name, also where the name holds a dot or a space."""
+    return "`" + column.replace("`", "``") + "`"
 
 
 def named(column: str) -> Column:
-    """Column of exactly this name, also where the name holds a dot or a space."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    """Column of exactly this name."""
+    return F.col(quoted(column))

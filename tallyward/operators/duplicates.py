@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.text import named
+from tallyward.functions.text import quoted
 from tallyward.operators.joins import sized_broadcast
 from tallyward.sources.shared import shared_folder
 
@@ -24,29 +24,28 @@ def copies(df: DataFrame, count_name: str) -> DataFrame:
     Copies are counted before the shuffle, so a row that makes up a third of the table costs one
     record per task.
     """
-    return df.groupBy(*[named(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count_name))
+    return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count_name))
 
 
 def repeat_rows(df: DataFrame, times: str, per_block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Each row as often as its integer column `times` says; that column is dropped."""
-    n = named(times)
-    few = df.where((n >= 1) & (n <= per_block)).withColumn("_copy", F.explode(F.sequence(F.lit(1), n)))
+    n = quoted(times)
+    kept = [quoted(c) for c in df.columns if c != times]
+    few = df.where(f"{n} between 1 and {per_block}").select(*kept, F.expr(f"explode(sequence(1, {n}))").alias("_copy"))
     # A fixed number of partitions: the blocks are few bytes, and would else be merged into one task.
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
-        df.where(n > per_block)
-        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), _floor_div(n - 1, per_block))))
-        .withColumn("_size", F.least(F.lit(per_block).cast("bigint"), n - F.col("_block") * per_block))
+        df.where(f"{n} > {per_block}")
+        .select("*", F.expr(f"explode(sequence(0L, ({n} - 1) div {per_block}))").alias("_block"))
         .repartition(spread, "_block")
     )
-    many = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
-    kept = [named(c) for c in df.columns if c != times]
-    return few.select(*kept).unionAll(many.select(*kept))
+    in_block = F.expr(f"explode(sequence(1L, least({per_block}L, {n} - _block * {per_block})))").alias("_copy")
+    return few.unionAll(blocks.select(*kept, in_block)).drop("_copy")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Every copy of a row beyond its first."""
-    extra = copies(df, "_copies").where("_copies > 1").withColumn("_copies", F.col("_copies") - 1)
+    extra = copies(df, "_copies").where("_copies > 1").withColumn("_copies", F.expr("_copies - 1"))
     return repeat_rows(extra, "_copies")
 
 
@@ -57,7 +56,7 @@ def duplicate_wide_rows(df: DataFrame) -> DataFrame:
     with one of these are then shuffled whole and compared exactly, so equal fingerprints of unlike rows
     do no harm. Where very many repeat, all rows are shuffled, as in `duplicate_rows`.
     """
-    print_ = F.xxhash64(*[named(c) for c in df.columns])
+    print_ = F.xxhash64(*[quoted(c) for c in df.columns])
     path = f"{shared_folder(df.sparkSession)}/fingerprints"
     df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "_print"
@@ -74,7 +73,3 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return copies(df, "_copies").agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("n_duplicates")
     )
-
-
-def _floor_div(a: Column, b: int) -> Column:
-    return F.floor(a / F.lit(b)).cast("bigint")

@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.text import named
+from tallyward.functions.text import named, quoted
 
 
 def _key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.groupBy(*[named(k) for k in key]).agg(F.count(F.lit(1)).alias("copies"))
+    return df.groupBy(*[quoted(k) for k in key]).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def key_uniqueness(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.text import joined_key, named
+from tallyward.functions.text import joined_key, quoted
 from tallyward.operators.duplicates import DUPLICATE, duplicate_rows, duplicate_wide_rows
 
 
@@ -26,7 +26,7 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         return df.where(rules[0].predicate(df)).withColumn("error_type", F.lit(rules[0].error_type))
     # Not compacted and not filtered before: each predicate is evaluated once per row.
     failed = F.array(*[F.when(r.predicate(df), F.lit(r.error_type)) for r in rules])
-    return df.select(*[named(c) for c in df.columns], F.explode(failed).alias("error_type")).where(
+    return df.select(*[quoted(c) for c in df.columns], F.explode(failed).alias("error_type")).where(
         "error_type is not null"
     )
 
@@ -44,7 +44,7 @@ def error_log(df: DataFrame, rules: Sequence[Rule], wide: bool = False) -> DataF
 
 def common_log(log: DataFrame, table_name: str, key: Sequence[str]) -> DataFrame:
     """An error log in the form shared by all tables."""
-    data = [named(c) for c in log.columns if c != "error_type"]
+    data = [quoted(c) for c in log.columns if c != "error_type"]
     return log.select(
         F.lit(table_name).alias("table_name"),
         joined_key(list(key)).alias("row_key"),
