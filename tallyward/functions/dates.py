@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -60,8 +61,29 @@ def short_date_flag(column: Column) -> Column:
 def parse_date(column: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that reads the whole text; null if none does."""
     text = column.cast("string")
-    parsed = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*parsed)
+    return F.coalesce(*[_parse_one(text, f) for f in formats])
+
+
+def _parse_one(text: Column, date_format: str) -> Column:
+    """A text of another shape is not even tried: each failed try costs an exception inside the parser."""
+    parsed = F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
+    return F.when(text.rlike(_shape(date_format)), parsed)
+
+
+def _shape(date_format: str) -> str:
+    """Regular expression that every text of the format meets."""
+    shape = ""
+    for part in re.finditer(r"'[^']*'|([A-Za-z])\1*|.", date_format):
+        token = part.group()
+        if token in ("[", "]"):
+            shape += "(" if token == "[" else ")?"
+        elif part.group(1) is None:
+            shape += ".*" if token.startswith("'") else re.escape(token)
+        elif token[0] in "MdHhms" and len(token) <= 2:
+            shape += r"\d{1,2}" if len(token) == 1 else r"\d{2}"
+        else:
+            shape += r"\d{4}" if token == "yyyy" else ".+"
+    return f"^{shape}$"
 
 
 def with_century(column: Column, century: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyward.functions.numbers import without_nan
 from tallyward.operators.rules import common_log
@@ -14,9 +13,10 @@ from tallyward.plans.cleansing import all_key_violations, normalize, table_error
 from tallyward.plans.specs import spec_of
 from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, write_layer
 from tallyward.sources.reports import write_report
-from tallyward.sources.tables import Tables
+from tallyward.sources.tables import LackingTable, Tables
 
-SUMMARY = "table_name string, layer string, n_rows bigint"
+REPORTS = "reports"
+SUMMARY = "table_name string, layer string, n_rows bigint, left_out string"
 
 
 def stage(tables: Mapping[str, DataFrame], root: str) -> list[tuple[str, str, int]]:
@@ -44,36 +44,39 @@ def answer(
     finance_year: int = 2011,
     product_name: str = "Sport-100 Helmet, Red",
     as_of: Column | None = None,
-) -> dict[str, DataFrame]:
-    """Write the reports of the five questions and their charts' frames; returns them as read back."""
-    wanted = questions.products_named(tables["dimproduct"], product_name)
-    sales, product = tables["factresellersales"], tables["dimproduct"]
-    reports = {}
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Write the reports of the five questions and their charts' frames.
 
-    def report(name: str, df: DataFrame) -> DataFrame:
-        reports[name] = write_report(df, root, name)
-        return reports[name]
-
-    qa1 = report("qa1", questions.top_transaction_per_month(sales, wanted, sales_year))
-    qa2 = report(
-        "qa2", questions.lowest_revenue_per_month(sales, product, tables["dimsalesterritory"], sales_year)
-    )
-    report(
-        "qa3",
-        questions.avg_amount_by_scenario(
+    Returns the reports as read back, and for each one left out which table it lacks.
+    """
+    reports = Tables()
+    plans = {
+        "qa1": lambda: questions.top_transaction_per_month(
+            tables["factresellersales"], questions.products_named(tables["dimproduct"], product_name), sales_year
+        ),
+        "qa2": lambda: questions.lowest_revenue_per_month(
+            tables["factresellersales"], tables["dimproduct"], tables["dimsalesterritory"], sales_year
+        ),
+        "qa3": lambda: questions.avg_amount_by_scenario(
             tables["factfinance"], tables["dimaccounts"], tables["dimscenario"], finance_year
         ),
-    )
-    qa4 = report("qa4", questions.product_month_sales(sales, product, sales_year))
-    qa5 = report("qa5", questions.age_bands(tables["dimcustomer"], as_of))
-    report("chart_frames", charts.chart_frames(qa1, qa2))
-    report("product_month_matrix", charts.product_month_matrix(qa4))
-    report("age_bands_rollup", charts.age_bands_rollup(qa5))
-    return reports
+        "qa4": lambda: questions.product_month_sales(tables["factresellersales"], tables["dimproduct"], sales_year),
+        "qa5": lambda: questions.age_bands(tables["dimcustomer"], as_of),
+        "chart_frames": lambda: charts.chart_frames(reports["qa1"], reports["qa2"]),
+        "product_month_matrix": lambda: charts.product_month_matrix(reports["qa4"]),
+        "age_bands_rollup": lambda: charts.age_bands_rollup(reports["qa5"]),
+    }
+    left_out = {}
+    for name, plan in plans.items():
+        try:
+            reports[name] = write_report(plan(), root, name)
+        except LackingTable as lacking:
+            left_out[name] = lacking.args[0]
+    return reports, left_out
 
 
 def run(spark: SparkSession, tables: Tables, root: str, **question_options) -> DataFrame:
-    """Run everything; returns one row per stored table with its number of rows."""
+    """Run everything; returns one row per stored table with its rows, and per report left out with the reason."""
     names = list(tables)
     written = stage(tables, root) + cleanse(spark, names, root)
     normalized = Tables({n: read_layer(spark, root, NORMALIZED, n) for n in names})
@@ -81,5 +84,8 @@ def run(spark: SparkSession, tables: Tables, root: str, **question_options) -> D
     if any(keys.values()):
         violations = all_key_violations(normalized, keys)
         written.append(("key_violations", ERRORS, write_layer(violations, root, ERRORS, "key_violations")))
-    answer(normalized, root, **question_options)
-    return spark.createDataFrame(written, SUMMARY).withColumn("path", F.concat_ws("/", F.lit(root), "layer", "table_name"))
+    reports, left_out = answer(normalized, root, **question_options)
+    summary = [(*row, None) for row in written]
+    summary += [(name, REPORTS, None, None) for name in reports]
+    summary += [(name, REPORTS, None, reason) for name, reason in left_out.items()]
+    return spark.createDataFrame(summary, SUMMARY)

@@ -23,11 +23,15 @@ TABLE_NAMES = {
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 
+class LackingTable(KeyError):
+    """A table that was asked for is not there."""
+
+
 class Tables(dict):
     """Tables by name. Asking for a table that was not loaded says which one is lacking."""
 
     def __missing__(self, name: str) -> DataFrame:
-        raise KeyError(f"table {name!r} was not loaded; loaded: {', '.join(sorted(self)) or 'none'}")
+        raise LackingTable(f"table {name!r} was not loaded; loaded: {', '.join(sorted(self)) or 'none'}")
 
 
 def table_names(config_path: str) -> dict[str, str]:

@@ -11,7 +11,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 def spark():
     from tallyward.session import local_session
 
-    session = local_session("tests", 4, 4)
+    session = local_session("tests", 8, 2)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

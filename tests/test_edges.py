@@ -42,6 +42,23 @@ def test_formats_are_tried_in_order(frame):
     ]
 
 
+@pytest.mark.parametrize(
+    "date_format, text",
+    [
+        ("yyyy-MM-dd'T'HH:mm", "1965-02-03T00:00"),
+        ("d MMM yyyy", "3 Feb 1965"),
+        ("MMMM d, yyyy", "February 3, 1965"),
+        ("yyyyMMdd", "19650203"),
+        ("d.M.yyyy[ H:m]", "3.2.1965"),
+        ("d.M.yyyy[ H:m]", "3.2.1965 0:00"),
+        ("yyyy-MM-dd HH:mm:ss.SSS", "1965-02-03 00:00:00.000"),
+    ],
+)
+def test_other_formats(frame, date_format, text):
+    df = frame([(text,), ("no date",)], "d string").select(parse_date(F.col("d"), [date_format]).alias("p"))
+    assert column(df, "p") == [dt.datetime(1965, 2, 3), None]
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
 def test_repair_in_any_time_zone(spark, frame, zone):
     rows = [("1965-01-02",), ("1970-06-07",), ("12/31/70",), ("1/2/65",), ("31-12-70",), ("n/a",), (None,)]
