@@ -61,7 +61,7 @@ def duplicate_wide_rows(df: DataFrame) -> DataFrame:
     df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "_print"
     ).write.parquet(path)
-    repeated = df.sparkSession.read.parquet(path)
+    repeated = df.sparkSession.read.schema("_print bigint").parquet(path)
     small = sized_broadcast(repeated, FINGERPRINTS)
     if small is repeated:
         return duplicate_rows(df)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 RAW, NORMALIZED, ERRORS = "raw", "normalized", "errors"
 
@@ -38,5 +39,9 @@ def write_layer(
     return written.get["n_rows"]
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, name))
+def read_layer(
+    spark: SparkSession, root: str, layer: str, name: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """A stored table; without a schema, one of its files is opened to learn it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(layer_path(root, layer, name))

@@ -24,6 +24,7 @@ from tallyward.sources.reports import write_report
 from tallyward.sources.shared import shared_folder
 from tallyward.sources.tables import load_tables
 from tallyward.workload import standins
+from tallyward.workload.schemas import SCHEMAS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +43,7 @@ class OnDemand(dict):
         self.spark, self.folder = spark, folder
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = load_tables(self.spark, self.folder, [name])[name]
+        self[name] = load_tables(self.spark, self.folder, [name], schemas=SCHEMAS)[name]
         return self[name]
 
 
@@ -57,7 +58,7 @@ def query(function: Callable[[SparkSession, OnDemand], DataFrame]) -> Callable:
 
 @query
 def load_tables_(spark, t):
-    tables = load_tables(t.spark, t.folder, STAR_TABLES)
+    tables = load_tables(t.spark, t.folder, STAR_TABLES, schemas=SCHEMAS)
     names = [df.select(F.lit(n).alias("table_name")) for n, df in tables.items()]
     return reduce(DataFrame.unionAll, names).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -66,7 +67,7 @@ def load_tables_(spark, t):
 def stage_raw_roundtrip(spark, t):
     root = shared_folder(spark)
     written = write_layer(t["orders"], root, RAW, "orders")
-    return read_layer(spark, root, RAW, "orders").withColumn("rows_written", F.lit(written).cast("bigint"))
+    return read_layer(spark, root, RAW, "orders", t["orders"].schema).withColumn("rows_written", F.lit(written).cast("bigint"))
 
 
 @query
