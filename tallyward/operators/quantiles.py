@@ -30,13 +30,13 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], range_
     upto = F.sum("n").over(Window.partitionBy("which", "upper").orderBy("value"))
     at = hits.withColumn("upto", upto).where("upto - n <= offset and offset < upto")
     ends = at.groupBy("which").agg(
-        F.max(F.when(~F.col("upper"), F.col("value"))).alias("a"),
-        F.max(F.when(F.col("upper"), F.col("value"))).alias("b"),
-        F.max("part").alias("part"),
+        F.expr("max(value) filter (where not upper) as a"),
+        F.expr("max(value) filter (where upper) as b"),
+        F.expr("max(part) as part"),
     )
-    value = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    found = ends.agg(F.map_from_entries(F.collect_list(F.struct("which", value))).alias("found"))
-    return found.select(F.array(*[F.try_element_at("found", F.lit(i)) for i in range(len(probabilities))]).alias("quantiles"))
+    found = ends.agg(F.expr("map_from_entries(collect_list(struct(which, a + (b - a) * part)))").alias("found"))
+    entries = ", ".join(f"try_element_at(found, {i})" for i in range(len(probabilities)))
+    return found.selectExpr(f"array({entries}) as quantiles")
 
 
 def _wanted_ranges(counts: DataFrame, probabilities: Sequence[float], range_bits: int) -> DataFrame:
@@ -63,23 +63,19 @@ def _wanted_ranges(counts: DataFrame, probabilities: Sequence[float], range_bits
         .withColumn("before", F.sum("n").over(Window.orderBy("number")) - F.col("n"))
     )
     positions = []
-    for i, p in enumerate(probabilities):
-        exact = F.lit(float(p)) * (F.col("total") - 1)
-        for upper, position in ((False, F.floor(exact)), (True, F.ceil(exact))):
+    for which, p in enumerate(probabilities):
+        exact = f"({float(p)!r}D * (total - 1))"
+        for upper, rounded in (("false", "floor"), ("true", "ceil")):
             positions.append(
-                F.struct(
-                    F.lit(i).alias("which"),
-                    F.lit(upper).alias("upper"),
-                    position.cast("bigint").alias("position"),
-                    (exact - F.floor(exact)).alias("part"),
-                )
+                f"named_struct('which', {which}, 'upper', {upper}, 'part', {exact} - floor({exact}), "
+                f"'position', cast({rounded}({exact}) as bigint))"
             )
     holding = (
-        ranges.withColumn("p", F.explode(F.array(*positions)))
+        ranges.select("*", F.expr(f"explode(array({', '.join(positions)}))").alias("p"))
         .where("before <= p.position and p.position < before + n")
-        .select("p.which", "p.upper", "p.part", (F.col("p.position") - F.col("before")).alias("offset"), "low", "high")
+        .selectExpr("p.which", "p.upper", "p.part", "p.position - before as offset", "low", "high")
     )
-    return holding.agg(F.collect_list(F.struct("which", "upper", "part", "offset", "low", "high")))
+    return holding.agg(F.expr("collect_list(struct(which, upper, part, offset, low, high))"))
 
 
 def _with_range_number(df: DataFrame, range_bits: int) -> DataFrame:
@@ -87,10 +83,9 @@ def _with_range_number(df: DataFrame, range_bits: int) -> DataFrame:
 
     Any cuts give right quantiles; even cuts give even ranges.
     """
-    number = F.col("number")
-    df = df.withColumn("number", F.lit(0))
+    steps, at = [], "0"
     for bit in reversed(range(range_bits)):
         step = 2**bit
-        below = F.get("cuts", number + (step - 1)) <= F.col("value")
-        df = df.withColumn("number", number + F.when(below, step).otherwise(0))
-    return df
+        steps.append(f"{at} + if(get(cuts, {at} + {step - 1}) <= value, {step}, 0) as at_{bit}")
+        at = f"at_{bit}"
+    return df.selectExpr("*", *steps).withColumnRenamed(at, "number")
