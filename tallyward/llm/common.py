@@ -14,7 +14,7 @@ from tallyward.sources.shared import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Entries that one Python worker keeps of a cache; it is emptied beyond that.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

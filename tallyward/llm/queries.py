@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyward.llm.common import table
 from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
+from tallyward.llm.pieces import encoded
 from tallyward.llm.quality import quality_scores
 from tallyward.llm.toxicity import toxicity_scores
 
@@ -17,6 +18,10 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(table(spark, folder, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
@@ -29,7 +34,7 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op4_exact_dedup, op7_toxicity, op10_hilbert_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op4_exact_dedup, op7_toxicity, op10_hilbert_shards)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
