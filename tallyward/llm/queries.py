@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.common import table
+from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
+from tallyward.llm.html_text import page_texts
 from tallyward.llm.pieces import encoded
 from tallyward.llm.quality import quality_scores
 from tallyward.llm.toxicity import toxicity_scores
@@ -22,10 +24,18 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(table(spark, folder, "documents"))
 
 
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -34,7 +44,7 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op4_exact_dedup, op7_toxicity, op10_hilbert_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op6_decontamination, op7_toxicity, op10_hilbert_shards)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
