@@ -12,6 +12,7 @@ from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
 from tallyward.llm.html_text import page_texts
 from tallyward.llm.pieces import encoded
+from tallyward.llm.pii import personal_data
 from tallyward.llm.quality import quality_scores
 from tallyward.llm.toxicity import toxicity_scores
 
@@ -40,11 +41,15 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
 def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op6_decontamination, op7_toxicity, op10_hilbert_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op6_decontamination, op7_toxicity, op8_personal_data, op10_hilbert_shards)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
