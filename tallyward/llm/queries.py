@@ -11,6 +11,7 @@ from tallyward.llm.decontaminate import contaminated
 from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
 from tallyward.llm.html_text import page_texts
+from tallyward.llm.jaccard_join import near_groups
 from tallyward.llm.pieces import encoded
 from tallyward.llm.pii import personal_data
 from tallyward.llm.quality import quality_scores
@@ -33,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -49,7 +54,7 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op6_decontamination, op7_toxicity, op8_personal_data, op10_hilbert_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op10_hilbert_shards)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
