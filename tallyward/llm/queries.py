@@ -15,6 +15,7 @@ from tallyward.llm.jaccard_join import near_groups
 from tallyward.llm.pieces import encoded
 from tallyward.llm.pii import personal_data
 from tallyward.llm.quality import quality_scores
+from tallyward.llm.suffix_dedup import without_repeats
 from tallyward.llm.toxicity import toxicity_scores
 
 
@@ -50,11 +51,15 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(table(spark, folder, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(table(spark, folder, "documents")).drop("removed")
+
+
 def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op10_hilbert_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
