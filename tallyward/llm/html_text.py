@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree of its elements, with the implied ends of HTML. What is never article text goes first: menus,
-page headers and footers, sidebars, forms, scripts, styles, hidden parts, and containers that call themselves adverts,
+headers and footers (but the titled header of an article), sidebars, forms, scripts, styles, hidden parts, and containers that call themselves adverts,
 notices or comments. Then every node gets its density: characters per tag, weighted by how little of them is link text
 (see `_densities`). The node whose children's densities have the greatest sum is the body of the article; the least
 density on its path up to `body` is the threshold, and other subtrees of at least that density add their own
@@ -55,6 +55,7 @@ NOT_TEXT_NAMES = set(
     "pager pagination paywall popup promo promotion related replies respond share sharing sidebar signup social sponsor sponsored sponsors subscribe "
     "subscription toolbar widget widgets".split()
 )
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 KEEP = {"html", "body", "article", "main"}
 
 
@@ -131,15 +132,17 @@ class Page:
 
 def _dropped(page: Page) -> list[bool]:
     """Whether a node is, or lies in, something that is no article text."""
-    holds = [False] * len(page.tags)  # an article or main element
+    holds, titled = [False] * len(page.tags), [False] * len(page.tags)  # an article or main element, a heading
     for node in range(len(page.tags) - 1, 0, -1):
+        if titled[node] or page.tags[node] in HEADINGS:
+            titled[page.parents[node]] = True
         if holds[node] or page.tags[node] in ("article", "main"):
             holds[page.parents[node]] = True
     dropped, in_article = [False] * len(page.tags), [False] * len(page.tags)
     for node in range(1, len(page.tags)):
         tag, parent = page.tags[node], page.parents[node]
         in_article[node] = in_article[parent] or tag in ("article", "main")
-        dropped[node] = dropped[parent] or tag in NOT_TEXT or tag == "header" and not in_article[node] and not holds[node]
+        dropped[node] = dropped[parent] or tag in NOT_TEXT or tag == "header" and not holds[node] and not (in_article[node] and titled[node])
         if not dropped[node] and page.attributes[node].strip(" /") and tag not in KEEP and not holds[node]:
             given = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTRIBUTE.findall(page.attributes[node])}
             words = set(NAME.findall(f"{given.get('class', '')} {given.get('id', '')}"))

@@ -11,7 +11,7 @@ not add up in long texts.
 The positives and the unlabelled rows are at most `max_rows` each (documented bounds: the least hashes of the ids);
 words are read in all tasks, the descent runs in one. All rows are scored, by their whole texts.
 
-Defined results: null and empty texts score as the bias alone; without positives every score is 0; an id labelled twice
+Defined results: null and empty texts score as the bias alone; without positives every score is 0, and without telling words it is the prior; an id labelled twice
 counts as the larger label; a null id is held out; repeated rows are each scored; an empty table gives no rows; further
 columns are not read.
 """
@@ -75,6 +75,8 @@ def descend(texts: list[list[str]], positive: np.ndarray, prior: float, settings
         return p >= least * u and p - u >= settings.deviations * np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
 
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in in_p.items() if n >= settings.min_texts and telling(w)))}
+    if not vocabulary:
+        return {}, float(np.log(max(prior, 1e-9) / max(1 - prior, 1e-9)))
     rows, columns = [], []
     for i, words in enumerate(texts):
         own = [vocabulary[w] for w in words if w in vocabulary]
