@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tallyward.plans.etl import run
+from tallyward.plans.etl import FINANCE_YEAR, PRODUCT_NAME, SALES_YEAR, run
 from tallyward.sources.tables import TABLE_NAMES, load_tables, table_names
 
 
@@ -15,9 +15,9 @@ def main() -> None:
     parser.add_argument("source", help="folder with one Parquet file or folder per table")
     parser.add_argument("output", help="folder for layers and reports; shared by all executors")
     parser.add_argument("--config", help="JSON file with the source-to-table names")
-    parser.add_argument("--sales-year", type=int, default=2012)
-    parser.add_argument("--finance-year", type=int, default=2011)
-    parser.add_argument("--product-name", default="Sport-100 Helmet, Red")
+    parser.add_argument("--sales-year", type=int, default=SALES_YEAR)
+    parser.add_argument("--finance-year", type=int, default=FINANCE_YEAR)
+    parser.add_argument("--product-name", default=PRODUCT_NAME)
     options = parser.parse_args()
     spark = SparkSession.builder.appName("tallyward").getOrCreate()
     names = table_names(options.config) if options.config else TABLE_NAMES

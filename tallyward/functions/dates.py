@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions.text import named
+
 # Order matters: year first, then month first, then day first.
 DATE_FORMATS = ("yyyy-M-d[ HH:mm:ss]",) + tuple(
     order.replace("/", sign) for sign in "/-." for order in ("M/d/yyyy", "d/M/yyyy")
@@ -38,6 +40,18 @@ def in_year(column: Column, year: int) -> Column:
     return (column >= F.lit(f"{year:04d}-01-01")) & (column < F.lit(f"{year + 1:04d}-01-01"))
 
 
+def rows_of_year(df: DataFrame, column: str, year: int) -> DataFrame:
+    """Rows of a calendar year; of a table stored by the year of that column, only its folder is read."""
+    rows = df.where(in_year(named(column), year))
+    folder = year_column(column)
+    return rows.where(named(folder) == year) if folder in df.columns else rows
+
+
+def year_column(column: str) -> str:
+    """The column that a table stored by the year of `column` is partitioned by."""
+    return f"{column}_year"
+
+
 def since(column: Column, day: str) -> Column:
     """Rows on or after a day given as yyyy-MM-dd; the column stays bare, as above."""
     return column >= F.lit(day)
@@ -45,7 +59,7 @@ def since(column: Column, day: str) -> Column:
 
 def date_of_key(column: Column) -> Column:
     """Date of an integer key of the form yyyyMMdd; null where the key is no date."""
-    return F.try_to_timestamp(column.cast("string"), F.lit("yyyyMMdd")).cast("timestamp_ntz")
+    return _read(column.cast("string"), "yyyyMMdd")
 
 
 def age_in_years(birth: Column, as_of: Column | None = None) -> Column:
@@ -66,8 +80,13 @@ def parse_date(column: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 def _parse_one(text: Column, date_format: str) -> Column:
     """A text of another shape is not even tried: each failed try costs an exception inside the parser."""
-    parsed = F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
-    return F.when(text.rlike(_shape(date_format)), parsed)
+    return F.when(text.rlike(_shape(date_format)), _read(text, date_format))
+
+
+def _read(text: Column, date_format: str) -> Column:
+    """The time of a text, whatever the session's time zone: read as UTC and counted from 1970 without a zone."""
+    utc = F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(f"{date_format}XXX"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(utc), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def _shape(date_format: str) -> str:

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
 
 from tallyward.functions.text import named
 
-# Amounts are summed as whole units of a ten-thousandth, which keeps a four-decimal money type whole.
-# Such sums are exact, so they and the ranks over them do not depend on the order in which tasks finish,
-# and they are several times faster than sums of decimals.
-UNIT_DIGITS = 4
-
-# The high and the low bits of the units are summed apart: neither sum overflows in 10**12 rows.
-LOW_BITS = 24
+# Part of a floating-point amount that is added as a decimal. Ten digits after the point hold every amount of
+# money; eighteen before it leave room for 10**10 of the greatest in one sum.
+EXACT = "decimal(28,10)"
 
 
 def amount(column: Column) -> Column:
@@ -22,22 +20,40 @@ def amount(column: Column) -> Column:
     return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
 
 
-def money_sum(column: Column) -> Column:
-    """Exact sum of an amount as a decimal of four digits; null where there is no amount."""
-    units = F.rint(amount(column) * 10**UNIT_DIGITS).cast("bigint")
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(28,0)")
-    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(19,0)")
-    return (high * _decimal(2**LOW_BITS, "decimal(8,0)") + low) * _decimal("0.0001", "decimal(4,4)")
+def sum_parts(df: DataFrame, column: str, name: str) -> dict[str, Column]:
+    """Aggregates whose values may be added again, and from which `sum_of` makes the sum of a column.
+
+    Decimals and integers are added as they are. A floating-point number is cut into a decimal, which adds up
+    the same in any order, and what the decimal does not hold: zero for amounts of money, the whole for a
+    number beyond its range or an infinite one. So nothing is rounded away, and sums of money do not depend
+    on the order in which tasks finish.
+    """
+    kind, value = df.schema[column].dataType, named(column)
+    if isinstance(kind, DecimalType):
+        return {name: F.sum(value)}
+    if isinstance(kind, IntegralType):
+        return {name: F.sum(value.cast("decimal(20,0)"))}
+    value = amount(value)
+    exact = F.coalesce(value.try_cast(EXACT), F.when(value.isNotNull(), F.lit(0).cast(EXACT)))
+    return {name: F.sum(exact), f"{name}_rest": F.sum(value - exact.cast("double"))}
+
+
+def sum_of(parts: Mapping[str, Column], name: str) -> Column:
+    """The sum itself, from the columns that hold the parts: a decimal, or a double if there is a rest."""
+    rest = f"{name}_rest"
+    return F.col(name).cast("double") + F.col(rest) if rest in parts else F.col(name)
 
 
-def _decimal(value: int | str, kind: str) -> Column:
-    return F.lit(value).cast(kind)
+def money_sum(df: DataFrame, column: str) -> Column:
+    """Sum of an amount; null where there is no amount."""
+    parts = list(sum_parts(df, column, "sum").values())
+    return parts[0] if len(parts) == 1 else parts[0].cast("double") + parts[1]
 
 
-def money_mean(column: Column) -> Column:
-    """Mean of an amount by its exact sum; null where there is no amount."""
-    n = F.count(amount(column))
-    return F.when(n > 0, money_sum(column).cast("double") / n)
+def money_mean(df: DataFrame, column: str) -> Column:
+    """Mean of an amount by its sum; null where there is no amount."""
+    n = F.count(amount(named(column)))
+    return F.when(n > 0, money_sum(df, column).cast("double") / n)
 
 
 def missing(df: DataFrame, column: str) -> Column:

@@ -33,8 +33,8 @@ def fixed_point(column: Column) -> Column:
 
 
 def joined_key(columns: list[str]) -> Column:
-    """Key columns as one text, for logs over tables of different shape."""
-    return F.concat_ws("|", *[F.expr(f"coalesce(cast({quoted(c)} as string), '')") for c in columns])
+    """Key columns as one text, for logs over tables of different shape: a JSON array, in which no two keys look alike."""
+    return F.to_json(F.array(*[F.expr(f"cast({quoted(c)} as string)") for c in columns]))
 
 
 def quoted(column: str) -> str:

@@ -6,16 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.text import quoted
-from tallyward.operators.joins import sized_broadcast
 from tallyward.sources.shared import shared_folder
 
 DUPLICATE = "duplicated_row_in_raw_table"
 
-# Copies that one task writes out for one row; a row with more is split over many tasks.
-COPIES_PER_BLOCK = 100_000
-
-# Fingerprints of repeated rows that are broadcast: 16 bytes each, so some ten megabytes.
-FINGERPRINTS = 1_000_000
+# Copies in one block. Blocks of one row are dealt to tasks as those of different rows are.
+COPIES_PER_BLOCK = 10_000
 
 
 def copies(df: DataFrame, count_name: str) -> DataFrame:
@@ -27,20 +23,24 @@ def copies(df: DataFrame, count_name: str) -> DataFrame:
     return df.groupBy(*[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(count_name))
 
 
-def repeat_rows(df: DataFrame, times: str, per_block: int = COPIES_PER_BLOCK) -> DataFrame:
-    """Each row as often as its integer column `times` says; that column is dropped."""
+def numbered_copies(df: DataFrame, times: str, per_block: int = COPIES_PER_BLOCK) -> DataFrame:
+    """Each row as often as its integer column `times` says, which gives way to the copy's number, `_copy`.
+
+    Every count is cut into blocks, which are dealt by row and block before they are written out. The number
+    of partitions is fixed: the blocks are a few bytes each, and would else be merged into one task.
+    """
     n = quoted(times)
     kept = [quoted(c) for c in df.columns if c != times]
-    few = df.where(f"{n} between 1 and {per_block}").select(*kept, F.expr(f"explode(sequence(1, {n}))").alias("_copy"))
-    # A fixed number of partitions: the blocks are few bytes, and would else be merged into one task.
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = (
-        df.where(f"{n} > {per_block}")
-        .select("*", F.expr(f"explode(sequence(0L, ({n} - 1) div {per_block}))").alias("_block"))
-        .repartition(spread, "_block")
-    )
-    in_block = F.expr(f"explode(sequence(1L, least({per_block}L, {n} - _block * {per_block})))").alias("_copy")
-    return few.unionAll(blocks.select(*kept, in_block)).drop("_copy")
+    blocks = df.where(f"{n} > 0").select("*", F.expr(f"explode(sequence(0L, ({n} - 1) div {per_block}))").alias("_block"))
+    dealt = blocks.repartition(spread, *kept, "_block")
+    first, last = f"_block * {per_block} + 1", f"least((_block + 1) * {per_block}, cast({n} as bigint))"
+    return dealt.select(*kept, F.expr(f"explode(sequence({first}, {last}))").alias("_copy"))
+
+
+def repeat_rows(df: DataFrame, times: str, per_block: int = COPIES_PER_BLOCK) -> DataFrame:
+    """Each row as often as its integer column `times` says; that column is dropped."""
+    return numbered_copies(df, times, per_block).drop("_copy")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -50,22 +50,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def duplicate_wide_rows(df: DataFrame) -> DataFrame:
-    """As `duplicate_rows`, for large tables with wide rows of which few are repeated.
+    """As `duplicate_rows`, for large tables with wide rows.
 
-    A first pass shuffles only an 8-byte fingerprint per row, and stores the few that repeat. Only rows
-    with one of these are then shuffled whole and compared exactly, so equal fingerprints of unlike rows
-    do no harm. Where very many repeat, all rows are shuffled, as in `duplicate_rows`.
+    A first pass shuffles only an 8-byte fingerprint per row, and stores those that repeat. Rows with one of
+    these are then shuffled whole and compared exactly, so equal fingerprints of unlike rows do no harm. The
+    stored table's size in bytes is known, by which Spark broadcasts or shuffles it.
     """
     print_ = F.xxhash64(*[quoted(c) for c in df.columns])
     path = f"{shared_folder(df.sparkSession)}/fingerprints"
-    df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        "_print"
-    ).write.parquet(path)
+    counts = df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n"))
+    counts.where("n > 1").select("_print").write.parquet(path)
     repeated = df.sparkSession.read.schema("_print bigint").parquet(path)
-    small = sized_broadcast(repeated, FINGERPRINTS)
-    if small is repeated:
-        return duplicate_rows(df)
-    return duplicate_rows(df.withColumn("_print", print_).join(small, "_print", "left_semi").drop("_print"))
+    return duplicate_rows(df.withColumn("_print", print_).join(repeated, "_print", "left_semi").drop("_print"))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:

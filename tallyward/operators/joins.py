@@ -4,21 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a few narrow columns, so some ten megabytes at most.
-BROADCAST_ROWS = 200_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Marks a narrow frame for broadcast after counting that it has at most `max_rows` rows.
-
-    Meant for dimensions: of a filtered or derived one the planner does not know the size, and would
-    shuffle the whole fact table. The count is one pass over the filtered columns. A larger frame is
-    returned as it is, and then joined by a shuffle on the key, whose hot keys adaptive execution splits.
-    """
-    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows) else df
+from tallyward.functions.numbers import amount, sum_of, sum_parts
+from tallyward.functions.text import named
 
 
 def fact_dim_join(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -32,21 +22,37 @@ def fact_dim_join(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[s
     return left.join(right, key).select(*columns)
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark will broadcast the frame: its size in bytes, as the optimizer bounds it from the files
+    that it reads, is within the session's threshold. Runs nothing."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    threshold = session.conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
+
+
 def star_sum(
-    fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str], sums: Mapping[str, Column]
+    fact: DataFrame,
+    dims: Mapping[str, DataFrame],
+    by: Sequence[str],
+    sums: Mapping[str, str],
+    counts: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Sums of a fact table by columns of its own and of dimensions, each joined on its key.
+    """Sums and counts of a fact table's columns, by columns of its own and of dimensions joined on their keys.
 
-    `sums` are additive aggregates over the fact table: sums and counts. Small dimensions are broadcast, and
-    one shuffle then carries one row per task and group. With a larger one, the fact table is first
-    summed per key: a key that makes up a third of it then enters the join with a few rows per task.
+    Small dimensions come first; Spark broadcasts them, so they cost no shuffle. If others are left, the
+    rows are summed by their keys and by the wanted columns known so far: a key that makes up a third of
+    the table then enters the shuffle with a few rows per task. Without any, one shuffle carries one row
+    per task and group.
     """
-    marked = {key: sized_broadcast(dim) for key, dim in dims.items()}
-    all_small = all(marked[key] is not dim for key, dim in dims.items())
-    if not all_small:
-        own = [*dims, *[c for c in by if c in fact.columns and c not in dims]]
-        fact = fact.groupBy(*own).agg(*[s.alias(name) for name, s in sums.items()])
-        sums = {name: F.sum(name) for name in sums}
-    for key, dim in marked.items():
+    parts = {k: v for name, column in sums.items() for k, v in sum_parts(fact, column, name).items()}
+    totals = parts | {name: F.count(amount(named(c))) for name, c in (counts or {}).items()}
+    summed = False
+    for key, dim in sorted(dims.items(), key=lambda item: not is_small(item[1])):
+        if not is_small(dim) and not summed:
+            left = [k for k in dims if k in fact.columns and not is_small(dims[k])]
+            fact = fact.groupBy(*dict.fromkeys([*left, *[c for c in by if c in fact.columns]])).agg(*[t.alias(n) for n, t in totals.items()])
+            totals, summed = {n: F.sum(n) for n in totals}, True
         fact = fact.join(dim, key)
-    return fact.groupBy(*by).agg(*[s.alias(name) for name, s in sums.items()])
+    found = fact.groupBy(*by).agg(*[t.alias(n) for n, t in totals.items()])
+    return found.select(*by, *[sum_of(parts, n).alias(n) for n in sums], *(counts or {}))

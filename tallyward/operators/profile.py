@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, NumericType, TimestampNTZType, TimestampType
 
 from tallyward.functions.numbers import missing
 from tallyward.functions.text import fixed_point, named
@@ -44,26 +43,25 @@ def table_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per numeric column: count, mean, sample deviation, least, exact quartiles, greatest."""
-    return reduce(DataFrame.unionAll, [_summary(df, c) for c in columns])
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
 
 
-def _summary(df: DataFrame, column: str) -> DataFrame:
-    v = F.when(~missing(df, column), named(column).cast("double"))
-    quartiles = quantiles(df, column, list(QUARTILES.values()))
-    basics = df.agg(
-        F.lit(column).alias("column_name"),
-        F.count(v).alias("n"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
+def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per numeric column, all of them by default: count, mean, sample deviation, least, exact quartiles,
+    greatest. Two passes over the table, whatever the number of columns."""
+    columns = numeric_columns(df) if columns is None else list(columns)
+    value = {c: F.when(~missing(df, c), named(c).cast("double")) for c in columns}
+    measures = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    basics = df.agg(*[f(value[c]).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, f in measures.items()])
+    rows = [
+        F.struct(F.lit(i).alias("number"), F.lit(c).alias("column_name"), *[F.col(f"{name}_{i}").alias(name) for name in measures])
+        for i, c in enumerate(columns)
+    ]
+    quartiles = F.broadcast(quantiles(df, columns, list(QUARTILES.values())))  # one row per column
     named_quartiles = [F.col("quantiles")[i].alias(name) for i, name in enumerate(QUARTILES)]
-    return basics.withColumn("quantiles", quartiles.scalar()).select(
-        "column_name", "n", "mean", "std", "min", *named_quartiles, "max"
-    )
+    summary = basics.select(F.inline(F.array(*rows))).join(quartiles, "number", "left")
+    return summary.select("column_name", "n", "mean", "std", "min", *named_quartiles, "max")
 
 
 def numeric_summary_text(summary: DataFrame) -> DataFrame:

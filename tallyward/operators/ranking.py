@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.text import named
-from tallyward.operators.duplicates import copies, repeat_rows
+from tallyward.operators.duplicates import copies, numbered_copies
 
 
 def first_ranked(df: DataFrame, group: str, value: str, descending: bool) -> DataFrame:
     """Rows of rank 1 by `value` within `group`; nulls come first ascending, last descending.
 
-    The filter right above the rank lets every task drop all but its own first rows before the shuffle.
+    For groups of which there are few, such as months: the best value of each, one row per group, is
+    broadcast and joined back, so rows are neither sorted nor gathered by group, however many share the
+    first rank.
     """
-    order = named(value).desc_nulls_last() if descending else named(value).asc_nulls_first()
-    ranked = df.withColumn("_rank", F.rank().over(Window.partitionBy(named(group)).orderBy(order)))
-    return ranked.where("_rank = 1").drop("_rank")
+    v = named(value)
+    best = F.max(v) if descending else F.when(F.count(v) == F.count(F.lit(1)), F.min(v))
+    first = df.groupBy(named(group).alias("_group")).agg(best.alias("_best"))
+    found = df.join(F.broadcast(first), named(group).eqNullSafe(F.col("_group")) & v.eqNullSafe(F.col("_best")))
+    return found.drop("_group", "_best")
 
 
 def first_ranked_with_copies(df: DataFrame, group: str, value: str, descending: bool) -> DataFrame:
     """As `first_ranked`, for tables where very many equal rows may share the first rank.
 
-    Equal rows are counted before the shuffle, ranked as one, and written out again after it.
+    Equal rows are counted before the shuffle, ranked as one, and written out again after it, each with the
+    number of its copy in `_copy`.
     """
-    return repeat_rows(first_ranked(copies(df, "_copies"), group, value, descending), "_copies")
+    return numbered_copies(first_ranked(copies(df, "_copies"), group, value, descending), "_copies")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tallyward.functions.dates import DATE_FORMATS, parse_date, short_date_flag, with_century
 from tallyward.functions.text import named
@@ -22,15 +23,25 @@ def century_of(df: DataFrame, column: str, formats: Sequence[str] = DATE_FORMATS
     return df.agg(F.substring(F.median(full_year).cast("string"), 1, 2).alias("century"))
 
 
-def repaired_date(df: DataFrame, column: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The date of a text column of `df`, with short years placed in the column's century."""
+def is_date(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (DateType, TimestampType, TimestampNTZType))
+
+
+def complete_text(df: DataFrame, column: str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """The text of a date with a full year: a short one gets the column's century. To be read by `parse_date`.
+
+    A column of its own, so that the century is looked up once and not once per format.
+    """
     text = named(column)
     century = century_of(df, column, formats).scalar()
-    return F.when(short_date_flag(text) == 0, parse_date(text, formats)).otherwise(
-        parse_date(with_century(text, century), formats)
-    )
+    return F.when(short_date_flag(text) == 0, text).otherwise(with_century(text, century))
 
 
 def repair_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Replace text columns by their repaired dates."""
-    return df.withColumns({c: repaired_date(df, c, formats) for c in columns})
+    """Replace text columns by their dates, with short years placed in the column's century. Columns that hold
+    dates or times already stay as they are, but for their type."""
+    texts = [c for c in columns if not is_date(df, c)]
+    completed = df.withColumns({c: complete_text(df, c, formats) for c in texts}) if texts else df
+    times = {c: parse_date(named(c), formats) for c in texts}
+    times |= {c: named(c).cast("timestamp_ntz") for c in columns if c not in texts}
+    return completed.withColumns(times) if times else df

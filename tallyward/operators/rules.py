@@ -14,21 +14,25 @@ from tallyward.operators.duplicates import DUPLICATE, duplicate_rows, duplicate_
 
 @dataclass(frozen=True)
 class Rule:
-    """A row that meets `predicate` is logged under `error_type`; a null predicate counts as not met."""
+    """A row that meets `predicate` is logged under `error_type`; a null predicate counts as not met.
+
+    `helpers` are columns that the predicate uses several times, by name; they are computed once per row.
+    """
 
     error_type: str
     predicate: Callable[[DataFrame], Column]
+    helpers: Callable[[DataFrame], dict[str, Column]] = lambda df: {}
 
 
 def failing_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per failed rule, with its `error_type`, from a single scan."""
-    if len(rules) == 1:
-        return df.where(rules[0].predicate(df)).withColumn("error_type", F.lit(rules[0].error_type))
-    # Not compacted and not filtered before: each predicate is evaluated once per row.
-    failed = F.array(*[F.when(r.predicate(df), F.lit(r.error_type)) for r in rules])
-    return df.select(*[quoted(c) for c in df.columns], F.explode(failed).alias("error_type")).where(
-        "error_type is not null"
-    )
+    columns = [quoted(c) for c in df.columns]
+    helpers = {name: column for rule in rules for name, column in rule.helpers(df).items()}
+    rows = df.withColumns(helpers) if helpers else df
+    # Each row once, or as often as it fails. Outer, since a plain explode makes the optimizer add a filter on the
+    # array, which evaluates all predicates twice.
+    failed = F.array_compact(F.array(*[F.when(r.predicate(df), F.lit(r.error_type)) for r in rules]))
+    return rows.select(*columns, F.explode_outer(failed).alias("error_type")).where("error_type is not null")
 
 
 def error_log(df: DataFrame, rules: Sequence[Rule], wide: bool = False) -> DataFrame:

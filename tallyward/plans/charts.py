@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyward.functions.numbers import money_mean
 
 MONTHS = tuple(f"{m:02d}" for m in range(1, 13))
+# The names of the age bands.
 BANDS = ("age_less_than_35", "age_between_35_50", "age_more_than_50")
 
 
@@ -22,11 +23,8 @@ def chart_frames(top_transactions: DataFrame, lowest_revenue: DataFrame) -> Data
         F.struct(F.lit("qa2b").alias("chart"), F.col("product_name").alias("hue")),
     )
     second = lowest_revenue.select("month", "sales_amount", F.inline(hues))
-    return (
-        first.unionByName(second)
-        .groupBy("chart", "month", "hue")
-        .agg(money_mean(F.col("sales_amount")).alias("value"))
-    )
+    both = first.unionByName(second)
+    return both.groupBy("chart", "month", "hue").agg(money_mean(both, "sales_amount").alias("value"))
 
 
 def product_month_matrix(product_month: DataFrame) -> DataFrame:

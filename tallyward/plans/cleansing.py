@@ -8,10 +8,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.numbers import missing
+from tallyward.functions.numbers import missing, without_nan
 from tallyward.functions.text import joined_key, named, phone_number
 from tallyward.operators.keys import key_violations
-from tallyward.operators.repair import repaired_date
+from tallyward.operators.repair import repair_dates
 from tallyward.operators.rules import common_log, error_log
 from tallyward.plans.specs import TableSpec
 
@@ -22,15 +22,15 @@ def table_errors(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def normalize(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The table without rows that lack a required column, with repaired dates, phones and integer keys.
+    """The table without rows that lack a required column, with repaired dates, phones and integer keys, and null for NaN.
 
     Columns keep their order. Normalizing a normalized table changes nothing.
     """
-    kept = df
+    kept = without_nan(df)
     for column in spec.required:
-        kept = kept.where(~missing(df, column))
-    changed = {c: repaired_date(df, c, spec.date_formats) for c in spec.date_columns}
-    changed |= {c: phone_number(named(c)) for c in spec.phone_columns}
+        kept = kept.where(~missing(kept, column))
+    kept = repair_dates(kept, spec.date_columns, spec.date_formats)
+    changed = {c: phone_number(named(c)) for c in spec.phone_columns}
     changed |= {c: named(c).try_cast("bigint") for c in spec.integer_columns}
     return kept.withColumns(changed) if changed else kept
 

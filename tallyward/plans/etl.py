@@ -5,50 +5,66 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tallyward.functions.numbers import without_nan
+from tallyward.functions.dates import year_column
 from tallyward.operators.rules import common_log
 from tallyward.plans import charts, questions
 from tallyward.plans.cleansing import all_key_violations, normalize, table_errors
 from tallyward.plans.specs import spec_of
-from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, write_layer
-from tallyward.sources.reports import write_report
+from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, remove_others, write_by_year, write_layer
+from tallyward.sources.reports import clear_reports, write_report
 from tallyward.sources.tables import LackingTable, Tables
 
-REPORTS = "reports"
+REPORTS, VIOLATIONS = "reports", "key_violations"
 SUMMARY = "table_name string, layer string, n_rows bigint, left_out string"
 
 
 def stage(tables: Mapping[str, DataFrame], root: str) -> list[tuple[str, str, int]]:
-    """Store every table untouched, but for NaN, which is stored as null."""
-    return [(name, RAW, write_layer(without_nan(df), root, RAW, name)) for name, df in tables.items()]
+    """Store every table untouched."""
+    return [(name, RAW, write_layer(df, root, RAW, name)) for name, df in tables.items()]
 
 
-def cleanse(spark: SparkSession, names: list[str], root: str) -> list[tuple[str, str, int]]:
-    """Store error log and normalized table of each staged table."""
-    written = []
-    for name in names:
+def cleanse(spark: SparkSession, tables: Mapping[str, DataFrame], root: str) -> tuple[list[tuple[str, str, int]], Tables]:
+    """Store error log and normalized table of each staged table; returns the rows written and the normalized tables.
+
+    Layers are read back with the schema they were written with, so an empty one is read like any other.
+    """
+    written, normalized = [], Tables()
+    for name, source in tables.items():
         spec = spec_of(name)
-        raw = read_layer(spark, root, RAW, name)
+        raw = read_layer(spark, root, RAW, name, source.schema)
         log = common_log(table_errors(raw, spec), name, spec.row_key)
         written.append((name, ERRORS, write_layer(log, root, ERRORS, name, ["error_type"])))
         clean = normalize(raw, spec)
-        written.append((name, NORMALIZED, write_layer(clean, root, NORMALIZED, name, sorted_by=spec.sorted_by)))
-    return written
+        if spec.stored_by:
+            rows = write_by_year(clean, root, NORMALIZED, name, spec.stored_by)
+            schema = StructType([*clean.schema, StructField(year_column(spec.stored_by), IntegerType())])
+        else:
+            rows, schema = write_layer(clean, root, NORMALIZED, name), clean.schema
+        written.append((name, NORMALIZED, rows))
+        normalized[name] = read_layer(spark, root, NORMALIZED, name, schema)
+    return written, normalized
+
+
+# What the questions ask for.
+SALES_YEAR, FINANCE_YEAR, PRODUCT_NAME = 2012, 2011, "Sport-100 Helmet, Red"
 
 
 def answer(
+    spark: SparkSession,
     tables: Tables,
     root: str,
-    sales_year: int = 2012,
-    finance_year: int = 2011,
-    product_name: str = "Sport-100 Helmet, Red",
+    sales_year: int = SALES_YEAR,
+    finance_year: int = FINANCE_YEAR,
+    product_name: str = PRODUCT_NAME,
     as_of: Column | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Write the reports of the five questions and their charts' frames.
+    """Write the reports of the five questions and their charts' frames, after removing all earlier reports.
 
     Returns the reports as read back, and for each one left out which table it lacks.
     """
+    clear_reports(spark, root)
     reports = Tables()
     plans = {
         "qa1": lambda: questions.top_transaction_per_month(
@@ -76,16 +92,22 @@ def answer(
 
 
 def run(spark: SparkSession, tables: Tables, root: str, **question_options) -> DataFrame:
-    """Run everything; returns one row per stored table with its rows, and per report left out with the reason."""
-    names = list(tables)
-    written = stage(tables, root) + cleanse(spark, names, root)
-    normalized = Tables({n: read_layer(spark, root, NORMALIZED, n) for n in names})
-    keys = {n: spec_of(n).key for n in names}
+    """Run everything; returns one row per stored table with its rows, and per report or table left out with the reason.
+
+    Tables without checks are refused before anything is written. What earlier runs stored of other tables,
+    and their reports, is removed.
+    """
+    keys = {n: spec_of(n).key for n in tables}
+    remove_others(spark, root, [*tables, VIOLATIONS])
+    written = stage(tables, root)
+    cleansed, normalized = cleanse(spark, tables, root)
+    written += cleansed
     if any(keys.values()):
         violations = all_key_violations(normalized, keys)
-        written.append(("key_violations", ERRORS, write_layer(violations, root, ERRORS, "key_violations")))
-    reports, left_out = answer(normalized, root, **question_options)
+        written.append((VIOLATIONS, ERRORS, write_layer(violations, root, ERRORS, VIOLATIONS)))
+    reports, left_out = answer(spark, normalized, root, **question_options)
     summary = [(*row, None) for row in written]
+    summary += [(name, RAW, None, f"not found at {path}") for name, path in getattr(tables, "absent", {}).items()]
     summary += [(name, REPORTS, None, None) for name in reports]
     summary += [(name, REPORTS, None, reason) for name, reason in left_out.items()]
     return spark.createDataFrame(summary, SUMMARY)

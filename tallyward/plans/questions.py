@@ -7,10 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.dates import age_in_years, in_year, month_text, two_digits
-from tallyward.functions.numbers import amount, money_sum
+from tallyward.functions.dates import age_in_years, month_text, rows_of_year, two_digits
 from tallyward.functions.text import same_text
-from tallyward.operators.joins import sized_broadcast, star_sum
+from tallyward.operators.joins import star_sum
 from tallyward.operators.ranking import first_ranked, first_ranked_with_copies
 
 # Result column -> scenario name.
@@ -18,14 +17,17 @@ SCENARIOS = {"ActualScenario": "Actual", "BudgetScenario": "Budget", "ForecastSc
 
 
 def products_named(product: DataFrame, name: str) -> DataFrame:
-    """Keys of the products of one name, whatever its case; marked for broadcast if they are few."""
-    return sized_broadcast(product.where(same_text(F.col("ProductName"), name)).select("ProductKey"))
+    """Keys of the products of one name, whatever its case."""
+    return product.where(same_text(F.col("ProductName"), name)).select("ProductKey")
 
 
-def top_transaction_per_month(sales: DataFrame, products: DataFrame, year: int) -> DataFrame:
-    """Highest single sale of each order month among the given products; equal sales are all kept."""
+def top_transaction_per_month(sales: DataFrame, products: DataFrame, year: int, ordered: bool = True) -> DataFrame:
+    """Highest single sale of each order month among the given products; equal sales are all kept.
+
+    Ordered by month, and within it by copy, so that a month of very many equal sales is no single task.
+    """
     rows = (
-        sales.where(in_year(F.col("OrderDate"), year))
+        rows_of_year(sales, "OrderDate", year)
         .join(products.select("ProductKey"), "ProductKey")
         .select(
             month_text(F.col("OrderDate")).alias("month"),
@@ -33,27 +35,33 @@ def top_transaction_per_month(sales: DataFrame, products: DataFrame, year: int)
             F.col("OrderDate").alias("order_date"),
         )
     )
-    return first_ranked_with_copies(rows, "month", "sales_amount", descending=True).orderBy("month")
+    first = first_ranked_with_copies(rows, "month", "sales_amount", descending=True)
+    return (first.orderBy("month", "_copy") if ordered else first).drop("_copy")
+
 
+def lowest_revenue_per_month(
+    sales: DataFrame, product: DataFrame, territory: DataFrame, year: int, ordered: bool = True
+) -> DataFrame:
+    """Product and country of least revenue in each ship month; equal revenues are all kept.
 
-def lowest_revenue_per_month(sales: DataFrame, product: DataFrame, territory: DataFrame, year: int) -> DataFrame:
-    """Product and country of least revenue in each ship month; equal revenues are all kept."""
+    Ordered by month, and within it by country and product.
+    """
     revenue = star_sum(
-        sales.where(in_year(F.col("ShipDate"), year)).withColumn("m", F.month("ShipDate")),
+        rows_of_year(sales, "ShipDate", year).withColumn("m", F.month("ShipDate")),
         {
             "ProductKey": product.select("ProductKey", "ProductName"),
             "SalesTerritoryKey": territory.select("SalesTerritoryKey", "SalesTerritoryCountry"),
         },
         ["m", "SalesTerritoryCountry", "ProductName"],
-        {"amount": money_sum(F.col("SalesAmount"))},
+        {"amount": "SalesAmount"},
     )
-    lowest = first_ranked(revenue, "m", "amount", descending=False)
-    return lowest.select(
+    lowest = first_ranked(revenue, "m", "amount", descending=False).select(
         two_digits(F.col("m")).alias("month"),
         F.col("SalesTerritoryCountry").alias("sales_territory_country"),
         F.col("ProductName").alias("product_name"),
         F.col("amount").cast("double").alias("sales_amount"),
-    ).orderBy("month")
+    )
+    return lowest.orderBy("month", "sales_territory_country", "product_name") if ordered else lowest
 
 
 def avg_amount_by_scenario(
@@ -65,13 +73,14 @@ def avg_amount_by_scenario(
 ) -> DataFrame:
     """Mean amount per account type, one column per scenario; null for a scenario without rows."""
     totals = star_sum(
-        finance.where(in_year(F.col("Date"), year)),
+        rows_of_year(finance, "Date", year),
         {
             "AccountKey": account.select("AccountKey", "AccountType"),
             "ScenarioKey": scenario.select("ScenarioKey", "ScenarioName"),
         },
         ["AccountType", "ScenarioName"],
-        {"total": money_sum(F.col("Amount")), "n": F.count(amount(F.col("Amount")))},
+        {"total": "Amount"},
+        {"n": "Amount"},
     )
     return totals.groupBy("AccountType").agg(*[_mean_where(n, c) for c, n in scenarios.items()])
 
@@ -85,12 +94,12 @@ def _mean_where(scenario_name: str, result: str) -> Column:
 
 def product_month_sales(sales: DataFrame, product: DataFrame, year: int) -> DataFrame:
     """Sum of the positive sales per product and order month."""
-    sold = sales.where(in_year(F.col("OrderDate"), year) & (F.col("SalesAmount") > 0))
+    sold = rows_of_year(sales, "OrderDate", year).where(F.col("SalesAmount") > 0)
     totals = star_sum(
         sold.withColumn("m", F.month("OrderDate")),
         {"ProductKey": product.select("ProductKey")},
         ["ProductKey", "m"],
-        {"amount": money_sum(F.col("SalesAmount"))},
+        {"amount": "SalesAmount"},
     )
     return totals.select(
         "ProductKey", F.col("amount").cast("double").alias("SalesAmount"), two_digits(F.col("m")).alias("OrderMonth")

@@ -7,11 +7,12 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from tallyward.functions.dates import DATE_FORMATS, short_date_flag
+from tallyward.functions.dates import DATE_FORMATS, parse_date, short_date_flag
 from tallyward.functions.numbers import missing
 from tallyward.functions.text import has_size_letter, named, phone_number
-from tallyward.operators.repair import repaired_date
+from tallyward.operators.repair import complete_text, is_date
 from tallyward.operators.rules import Rule
 
 
@@ -19,8 +20,9 @@ from tallyward.operators.rules import Rule
 class TableSpec:
     """`key` is unique in the normalized table; `identify` names a row in the shared log.
 
-    `wide` marks large tables, see `error_log`. `sorted_by` orders the rows within each stored file, so
-    that a date filter skips most pages of it.
+    `wide` marks large tables, see `error_log`. `stored_by` is the date of a fact: the normalized table has a
+    folder per year of it, in files sorted by it, so that a date filter opens few files and skips most of
+    their pages.
     """
 
     name: str
@@ -33,7 +35,7 @@ class TableSpec:
     phone_columns: tuple[str, ...] = ()
     date_formats: tuple[str, ...] = DATE_FORMATS
     wide: bool = False
-    sorted_by: tuple[str, ...] = ()
+    stored_by: str | None = None
 
     @property
     def row_key(self) -> tuple[str, ...]:
@@ -47,12 +49,19 @@ def _any(conditions: Sequence[Column]) -> Column:
 def date_rules(columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> tuple[Rule, ...]:
     """Rows whose date text is short or null, and rows whose date text cannot be read even after repair."""
 
+    def full(column: str) -> str:
+        return f"_full_{column}"
+
+    def texts(df: DataFrame) -> list[str]:
+        return [c for c in columns if not is_date(df, c)]
+
     def unreadable(df: DataFrame) -> Column:
-        return _any([named(c).isNotNull() & repaired_date(df, c, formats).isNull() for c in columns])
+        conditions = [named(c).isNotNull() & parse_date(named(full(c)), formats).isNull() for c in texts(df)]
+        return _any(conditions) if conditions else F.lit(False)
 
     return (
         Rule("date_inconcistency", lambda df: _any([short_date_flag(named(c)) == 1 for c in columns])),
-        Rule("date_unparseable", unreadable),
+        Rule("date_unparseable", unreadable, lambda df: {full(c): complete_text(df, c, formats) for c in texts(df)}),
     )
 
 
@@ -107,15 +116,13 @@ SPECS = {
         ),
         TableSpec("dimsalesterritory", key=("SalesTerritoryKey",), required=("SalesTerritoryRegion",)),
         TableSpec("dimscenario", key=("ScenarioKey",)),
-        TableSpec(
-            "factfinance", key=("FinanceKey",), integer_columns=("FinanceKey",), sorted_by=("Date",)
-        ),
+        TableSpec("factfinance", key=("FinanceKey",), integer_columns=("FinanceKey",), wide=True, stored_by="Date"),
         TableSpec(
             "factresellersales",
             identify=SALES_KEYS,
             integer_columns=SALES_KEYS,
             wide=True,
-            sorted_by=("OrderDate",),
+            stored_by="OrderDate",
         ),
     )
 }

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyward.functions.dates import year_column
+from tallyward.functions.text import named
+from tallyward.sources.shared import folders_in, remove
+
 RAW, NORMALIZED, ERRORS = "raw", "normalized", "errors"
 
 
@@ -39,9 +43,24 @@ def write_layer(
     return written.get["n_rows"]
 
 
+def write_by_year(df: DataFrame, root: str, layer: str, name: str, date: str) -> int:
+    """Replace a stored table by `df`, with a folder per year of a date; that year is one more column."""
+    dated = df.withColumn(year_column(date), F.year(named(date)))
+    return write_layer(dated, root, layer, name, [year_column(date)], [date])
+
+
 def read_layer(
     spark: SparkSession, root: str, layer: str, name: str, schema: StructType | str | None = None
 ) -> DataFrame:
-    """A stored table; without a schema, one of its files is opened to learn it."""
+    """A stored table; without a schema, one of its files is opened to learn it, and there must be one."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(layer_path(root, layer, name))
+
+
+def remove_others(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
+    """Remove the stored tables of all layers but those named; returns what was removed."""
+    kept = {name.lower() for name in names}
+    gone = [f"{root}/{layer}/{n}" for layer in (RAW, NORMALIZED, ERRORS) for n in folders_in(spark, f"{root}/{layer}") if n not in kept]
+    for path in gone:
+        remove(spark, path)
+    return gone

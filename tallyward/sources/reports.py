@@ -7,8 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallyward.sources.shared import remove
 from tallyward.sources.tables import CSV_OPTIONS
 
+# Stands for null in a report, and so cannot be a text of it; an empty text is a quoted empty field.
+NULL = "\\N"
 
 # Blanks at the ends of a text and microseconds are kept.
 WHOLE_VALUES = {
@@ -16,6 +19,7 @@ WHOLE_VALUES = {
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "nullValue": NULL,
 }
 
 
@@ -27,8 +31,7 @@ def write_report(df: DataFrame, root: str, name: str) -> DataFrame:
     """Replace the report `name`, and return it as read back from its files.
 
     Not squeezed into one file: a report per product grows with the products. Small results come out
-    as one file anyway, and the files of a sorted result follow each other in order. CSV does not tell
-    an empty text from null: both read back as null.
+    as one file anyway, and the files of a sorted result follow each other in order.
     """
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"}
     df.write.mode("overwrite").options(**options, **WHOLE_VALUES).csv(report_path(root, name))
@@ -40,6 +43,11 @@ def read_report(spark: SparkSession, root: str, name: str, schema: StructType |
     return reader.csv(report_path(root, name))
 
 
+def clear_reports(spark: SparkSession, root: str) -> None:
+    """Remove all reports."""
+    remove(spark, f"{root}/reports")
+
+
 def report_from_sql(
     spark: SparkSession, tables: Mapping[str, DataFrame], query: str, root: str, name: str
 ) -> DataFrame:

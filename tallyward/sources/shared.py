@@ -10,13 +10,37 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, wherever Spark can reach it; nothing happens if there is none."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context.hadoopConfiguration()).delete(where, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(context.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(where)) if store.exists(where) else []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below `spark.checkpoint.dir`; a temporary one only for a local session without it."""
+    """A fresh folder below `spark.checkpoint.dir`, removed when the program ends; a temporary one only for a
+    local session without that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        return f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
+        folder = f"{base.rstrip('/')}/tallyward-{uuid.uuid4().hex}"
+        atexit.register(_remove_at_exit, spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tallyward-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Without a running session there is nothing left to remove it with."""
+    if spark.sparkContext._jsc is not None:
+        remove(spark, folder)

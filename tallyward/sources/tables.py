@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -28,7 +29,14 @@ class LackingTable(KeyError):
 
 
 class Tables(dict):
-    """Tables by name. Asking for a table that was not loaded says which one is lacking."""
+    """Tables by name. Asking for a table that was not loaded says which one is lacking.
+
+    `absent` holds the names that were asked for and not found, each with the path it was looked for at.
+    """
+
+    def __init__(self, *args, **kwargs) -> None:
+        super().__init__(*args, **kwargs)
+        self.absent: dict[str, str] = {}
 
     def __missing__(self, name: str) -> DataFrame:
         raise LackingTable(f"table {name!r} was not loaded; loaded: {', '.join(sorted(self)) or 'none'}")
@@ -50,6 +58,8 @@ def load_tables(
 ) -> Tables:
     """The tables among `names` that lie in `directory`, one file or folder each, read lazily.
 
+    A name without a file is warned of and kept in `absent` of the result.
+
     CSV needs a schema per table, so that no pass over the data infers one. `multi_line` lets a CSV
     value hold line breaks, but then a file cannot be split among tasks.
     """
@@ -65,9 +75,13 @@ def load_tables(
             raise ValueError(f"no schema given for CSV table {source!r}")
         if file_format == "csv":
             reader = reader.options(**CSV_OPTIONS, multiLine=multi_line)
+        path = f"{directory}/{source}.{file_format}"
         try:
-            tables[table] = reader.format(file_format).load(f"{directory}/{source}.{file_format}")
+            tables[table] = reader.format(file_format).load(path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+            tables.absent[table] = path
+    if tables.absent:
+        warnings.warn("not found: " + ", ".join(f"{t} at {path}" for t, path in tables.absent.items()), stacklevel=2)
     return tables

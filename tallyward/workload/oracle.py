@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyward.plans.specs import SALES_KEYS
+
 # The star schema, derived from the given tables.
 
 ACCOUNTS = """accounts AS (
@@ -100,8 +102,8 @@ def _duplicates(table: str, columns: str) -> str:
       FROM (SELECT *, row_number() OVER (PARTITION BY {columns}) AS copy FROM {table}) WHERE copy > 1"""
 
 
-def _common(table: str, log: str, key: str) -> str:
-    return f"SELECT '{table}' AS table_name, {key} AS row_key, error_type FROM ({log})"
+def _common(table: str, log: str, key: str, row: str) -> str:
+    return f"SELECT '{table}' AS table_name, {key} AS row_key, error_type, {row} AS row_json FROM ({log})"
 
 
 ACCOUNT_COLUMNS = '"AccountKey", "AccountDescription", "AccountType", "CustomMembers"'
@@ -110,11 +112,8 @@ PRODUCT_COLUMNS = (
     '"ProductKey", "ProductName", "ProductAlternateKey", "StartDate", "Status", "Size", "Weight", "DealerPrice"'
 )
 TERRITORY_COLUMNS = '"SalesTerritoryKey", "SalesTerritoryRegion", "SalesTerritoryGroup"'
+SCENARIO_COLUMNS = '"ScenarioKey", "ScenarioName"'
 FINANCE_COLUMNS = '"FinanceKey", "AccountKey", "ScenarioKey", "Date", "Amount"'
-SALES_KEYS = (
-    "ProductKey", "OrderDateKey", "DueDateKey", "ShipDateKey", "ResellerKey", "EmployeeKey",
-    "PromotionKey", "CurrencyKey", "SalesTerritoryKey",
-)
 SALES_COLUMNS = ", ".join(f'"{c}"' for c in (*SALES_KEYS, "OrderDate", "ShipDate", "SalesAmount", "OrderQuantity", "UnitPrice"))
 
 UNEXPECTED_VALUE = """SELECT *, 'potential_data_corruption' AS error_type FROM accounts
@@ -135,9 +134,32 @@ PRODUCT_LOG = f"""{_duplicates('products', PRODUCT_COLUMNS)}
   UNION ALL {MISSING_ATTRIBUTE} UNION ALL {SIZE_UNIT}"""
 
 
+def _json_text(value: str) -> str:
+    escaped = f"replace(replace(replace({value}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n')"
+    return f"coalesce('\"' || {escaped} || '\"', 'null')"
+
+
 def _key(*columns: str) -> str:
-    return " || '|' || ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '')" for c in columns)
+    """The keys as a JSON array of texts."""
+    parts = " || ',' || ".join(_json_text(f'CAST("{c}" AS VARCHAR)') for c in columns)
+    return f"'[' || {parts} || ']'"
+
+
+def _row(columns: str, times: str = "", numbers: str = "") -> str:
+    """The row as a JSON object; columns named in `times` and `numbers` are no texts."""
+    parts = []
+    for c in [x.strip().strip('"') for x in columns.split(",")]:
+        if c in times.split():
+            value = _json_text(f"strftime(\"{c}\", '%Y-%m-%dT%H:%M:%S.%g')")
+        elif c in numbers.split():
+            value = f"coalesce(CAST(\"{c}\" AS VARCHAR), 'null')"
+        else:
+            value = _json_text(f'"{c}"')
+        parts.append(f"'\"{c}\":' || {value}")
+    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
+
 
+PRODUCT_ROW = _row(PRODUCT_COLUMNS, "StartDate", "ProductKey Weight DealerPrice")
 
 # The questions.
 
@@ -151,14 +173,14 @@ TOP_TRANSACTIONS = """SELECT month, sales_amount, order_date FROM (
 LOWEST_REVENUE = """SELECT month, sales_territory_country, product_name, CAST(amount AS DOUBLE) AS sales_amount FROM (
     SELECT *, rank() OVER (PARTITION BY month ORDER BY amount ASC NULLS FIRST) AS rnk FROM (
       SELECT strftime(l_shipdate, '%m') AS month, n_name AS sales_territory_country, p_name AS product_name,
-             sum(CAST(l_extendedprice AS DECIMAL(18, 4))) AS amount
+             sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(28, 10))) AS amount
       FROM lineitem JOIN part ON l_partkey = p_partkey
       JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
       WHERE year(l_shipdate) = 1998 GROUP BY ALL))
   WHERE rnk = 1"""
 
 AVG_AMOUNT = "SELECT c_mktsegment AS \"AccountType\", " + ", ".join(
-    f"""CAST(sum(CAST(o_totalprice AS DECIMAL(18, 4))) FILTER (s ILIKE '{status}') AS DOUBLE)
+    f"""CAST(sum(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(28, 10))) FILTER (s ILIKE '{status}') AS DOUBLE)
         / count(o_totalprice) FILTER (s ILIKE '{status}') AS scenario_{status}"""
     for status in "fox"
 ) + """ FROM orders JOIN customer ON o_custkey = c_custkey
@@ -166,7 +188,7 @@ AVG_AMOUNT = "SELECT c_mktsegment AS \"AccountType\", " + ", ".join(
   WHERE year(o_orderdate) = 1997 GROUP BY c_mktsegment"""
 
 PRODUCT_MONTH = """SELECT p_partkey AS "ProductKey",
-    CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 4))) AS DOUBLE) AS "SalesAmount",
+    CAST(sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(28, 10))) AS DOUBLE) AS "SalesAmount",
     strftime(o_orderdate, '%m') AS "OrderMonth"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
   WHERE year(o_orderdate) = 1998 AND l_extendedprice > 0 GROUP BY ALL"""
@@ -185,12 +207,16 @@ _SUMMARY = """count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}
   round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
   round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max"""
 
+_LINE_NUMBERS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+)
+
 _PROFILE_TYPES = (
     ("ProductKey", "int"), ("ProductName", "text"), ("ProductAlternateKey", "text"), ("StartDate", "date"),
     ("Status", "text"), ("Size", "text"), ("Weight", "float"), ("DealerPrice", "float"),
 )
 
-_MEAN = "CAST(sum(CAST(sales_amount AS DECIMAL(18, 4))) AS DOUBLE) / count(sales_amount)"
+_MEAN = "CAST(sum(CAST(CAST(sales_amount AS VARCHAR) AS DECIMAL(28, 10))) AS DOUBLE) / count(sales_amount)"
 
 ORDER_CLASSES = """classes AS (
   SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders)"""
@@ -202,12 +228,21 @@ ORACLE: dict[str, str] = {
     ),
     "stage_raw_roundtrip": "SELECT *, (SELECT count(*) FROM orders) AS rows_written FROM orders",
     "report_csv_roundtrip": AVG_AMOUNT,
+    "load_mapped_tables": """SELECT 'r' AS table_name, TRUE AS found, count(*) AS n_rows, 1 AS n_absent FROM region
+      UNION ALL SELECT 'n', TRUE, count(*), 1 FROM nation""",
+    "normalized_roundtrip": f"""WITH {SALES} SELECT *, CAST(year("OrderDate") AS INTEGER) AS "OrderDate_year",
+      (SELECT count(*) FROM sales) AS rows_written FROM sales WHERE year("OrderDate") = 1998""",
+    "error_log_roundtrip": f"""WITH {PRODUCTS} SELECT 'dimproduct' AS table_name, error_type, count(*) AS n,
+      (SELECT count(*) FROM ({PRODUCT_LOG})) AS rows_written FROM ({PRODUCT_LOG}) GROUP BY error_type""",
     "table_profile": f"WITH {PRODUCTS} "
     + " UNION ALL ".join(
         f"SELECT {i + 1} AS position, '{c}' AS column_name, '{k}' AS sql_type, count(\"{c}\") AS n_values FROM products"
         for i, (c, k) in enumerate(_PROFILE_TYPES)
     ),
     "numeric_summary": f"SELECT 'value' AS column_name, {_SUMMARY.format(c='value')} FROM events",
+    "numeric_summary_all": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {_SUMMARY.format(c=f'CAST({c} AS DOUBLE)')} FROM lineitem" for c in _LINE_NUMBERS
+    ),
     "numeric_summary_text": "SELECT column_name, "
     + ", ".join(
         f"printf('%.6f', CAST({m} AS DOUBLE)) AS {m}" for m in ("n", "mean", "std", "min", "p25", "p50", "p75", "max")
@@ -242,9 +277,9 @@ ORACLE: dict[str, str] = {
     "null_rows": f'WITH {PRODUCTS} SELECT "ProductKey", "Size" FROM products WHERE "Size" IS NULL',
     "key_uniqueness": """SELECT 'o_orderkey' AS key_columns, count(*) = count(DISTINCT o_orderkey) AS is_unique FROM orders
       UNION ALL SELECT 'l_orderkey,l_linenumber', count(*) = count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem""",
-    "key_violations": """SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS row_key, count(*) AS copies
+    "key_violations": f"""SELECT 'orders' AS table_name, {_key('o_orderkey')} AS row_key, count(*) AS copies
       FROM orders GROUP BY o_orderkey HAVING count(*) > 1
-      UNION ALL SELECT 'lineitem', l_orderkey || '|' || l_linenumber, count(*)
+      UNION ALL SELECT 'lineitem', {_key('l_orderkey', 'l_linenumber')}, count(*)
       FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "duplicate_rows": f"""WITH {ORDER_CLASSES}
       SELECT o_orderstatus, o_orderpriority, order_year FROM (
@@ -264,13 +299,16 @@ ORACLE: dict[str, str] = {
     "error_log_all": f"WITH {ACCOUNTS}, {CUSTOMERS}, {PRODUCTS}, {RAW_TERRITORIES}, {RAW_SCENARIOS}, {FINANCE}, {SALES} "
     + " UNION ALL ".join(
         (
-            _common("dimaccounts", ACCOUNT_LOG, _key("AccountKey")),
-            _common("dimcustomer", CUSTOMER_LOG, _key("CustomerKey")),
-            _common("dimproduct", PRODUCT_LOG, _key("ProductKey")),
-            _common("dimsalesterritory", _duplicates("territories", TERRITORY_COLUMNS), _key("SalesTerritoryKey")),
-            _common("dimscenario", _duplicates("scenarios", '"ScenarioKey", "ScenarioName"'), _key("ScenarioKey")),
-            _common("factfinance", _duplicates("finance", FINANCE_COLUMNS), _key("FinanceKey")),
-            _common("factresellersales", _duplicates("sales", SALES_COLUMNS), _key(*SALES_KEYS)),
+            _common("dimaccounts", ACCOUNT_LOG, _key("AccountKey"), _row(ACCOUNT_COLUMNS, "", "AccountKey")),
+            _common("dimcustomer", CUSTOMER_LOG, _key("CustomerKey"), _row(CUSTOMER_COLUMNS, "", "CustomerKey YearlyIncome")),
+            _common("dimproduct", PRODUCT_LOG, _key("ProductKey"), PRODUCT_ROW),
+            _common("dimsalesterritory", _duplicates("territories", TERRITORY_COLUMNS), _key("SalesTerritoryKey"),
+                    _row(TERRITORY_COLUMNS, "", "SalesTerritoryKey SalesTerritoryGroup")),
+            _common("dimscenario", _duplicates("scenarios", SCENARIO_COLUMNS), _key("ScenarioKey"), _row(SCENARIO_COLUMNS)),
+            _common("factfinance", _duplicates("finance", FINANCE_COLUMNS), _key("FinanceKey"),
+                    _row(FINANCE_COLUMNS, "Date", "FinanceKey AccountKey Amount")),
+            _common("factresellersales", _duplicates("sales", SALES_COLUMNS), _key(*SALES_KEYS),
+                    _row(SALES_COLUMNS, "OrderDate ShipDate", " ".join([*SALES_KEYS, "SalesAmount OrderQuantity UnitPrice"]))),
         )
     ),
     "date_parts": """SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year_text, strftime(o_orderdate, '%m') AS month_text,
@@ -289,6 +327,10 @@ ORACLE: dict[str, str] = {
         {_repaired('customers', '"BirthDate"')} AS "BirthDate",
         {_repaired('customers', '"DateFirstPurchase"')} AS "DateFirstPurchase",
         CAST(regexp_replace("Phone", '[() -]', '', 'g') AS BIGINT) AS "Phone") FROM customers""",
+    "normalize_customer_twice": f"""WITH {CUSTOMERS} SELECT * REPLACE (
+        {_repaired('customers', '"BirthDate"')} AS "BirthDate",
+        {_repaired('customers', '"DateFirstPurchase"')} AS "DateFirstPurchase",
+        CAST(regexp_replace("Phone", '[() -]', '', 'g') AS BIGINT) AS "Phone") FROM customers""",
     "normalize_product": f"WITH {PRODUCTS} SELECT * FROM products",
     "normalize_territory": f'WITH {RAW_TERRITORIES} SELECT * FROM territories WHERE "SalesTerritoryRegion" IS NOT NULL',
     "normalize_copy": "SELECT * FROM region",

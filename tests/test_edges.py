@@ -5,11 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.functions.dates import date_of_key, in_year, parse_date, short_date_flag
-from tallyward.functions.text import fixed_point, has_size_letter, phone_number, same_text
+from tallyward.functions.dates import DATE_FORMATS, date_of_key, in_year, parse_date, short_date_flag
+from tallyward.functions.numbers import money_mean, money_sum
+from tallyward.functions.text import fixed_point, has_size_letter, joined_key, phone_number, same_text
 from tallyward.operators import duplicates, keys, profile
+from tallyward.operators import quantiles as quantiles_module
 from tallyward.operators.histogram import histogram
-from tallyward.operators.joins import fact_dim_join, sized_broadcast
+from tallyward.operators.joins import fact_dim_join, star_sum
 from tallyward.operators.ranking import first_ranked, first_ranked_with_copies
 from tallyward.operators.repair import century_of, repair_dates
 from tallyward.plans import charts, questions
@@ -165,7 +167,7 @@ def test_unreadable_key_becomes_a_violation(frame):
 @pytest.mark.parametrize("rank", [first_ranked, first_ranked_with_copies])
 def test_rank_ties_and_nulls(frame, rank):
     ties = frame([("01", 10.0), ("01", 10.0), ("01", 5.0), ("02", 1.0)], "m string, v double")
-    assert sorted(tuple(r) for r in rank(ties, "m", "v", True).collect()) == [("01", 10.0), ("01", 10.0), ("02", 1.0)]
+    assert sorted(tuple(r)[:2] for r in rank(ties, "m", "v", True).collect()) == [("01", 10.0), ("01", 10.0), ("02", 1.0)]
     nulls = frame([("01", None), ("01", 5.0)], "m string, v double")
     assert column(rank(nulls, "m", "v", False), "v") == [None]
     assert column(rank(nulls, "m", "v", True), "v") == [5.0]
@@ -329,19 +331,127 @@ def test_amounts_of_four_decimals_are_summed_exactly(frame):
     assert questions.product_month_sales(sales, frame([(1,)], "ProductKey int"), 2012).first().SalesAmount == 2024.995
 
 
-def test_join_drops_null_keys_and_checks_size(frame):
+def test_join_drops_null_keys(frame):
     fact = frame([(1, 5.0), (None, 6.0)], "k int, v double")
     dim = frame([(1, "a"), (None, "b")], "k int, name string")
     assert [tuple(r) for r in fact_dim_join(fact, dim, "k", ["name", "v"]).collect()] == [("a", 5.0)]
-    assert "broadcast" in sized_broadcast(dim, 2)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in sized_broadcast(dim, 1)._jdf.queryExecution().logical().toString()
-
-
-@pytest.mark.parametrize("bound", [0, 100])
-def test_wide_repeats_equal_plain_ones(frame, monkeypatch, bound):
-    monkeypatch.setattr(duplicates, "FINGERPRINTS", bound)
-    rows = [(1, None, -0.0), (1, None, 0.0), (None, 1, 2.0), (None, 1, 2.0), (1, None, 2.0), (3, 3, float("nan"))] * 2
-    df = frame(rows, "a int, b int, c double")
-    plain = sorted(str(tuple(r)) for r in duplicates.duplicate_rows(df).collect())
-    assert len(plain) == 8
-    assert sorted(str(tuple(r)) for r in duplicates.duplicate_wide_rows(df).collect()) == plain
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_wide_repeats_equal_plain_ones(spark, frame, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        rows = [(1, None, -0.0), (1, None, 0.0), (None, 1, 2.0), (None, 1, 2.0), (1, None, 2.0), (3, 3, float("nan"))] * 2
+        df = frame(rows, "a int, b int, c double")
+        plain = sorted(str(tuple(r)) for r in duplicates.duplicate_rows(df).collect())
+        assert len(plain) == 8
+        assert sorted(str(tuple(r)) for r in duplicates.duplicate_wide_rows(df).collect()) == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def eight_parts(spark):
+    """Eight partitions that are not merged for being small."""
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    """Rows of the largest of eight partitions, as a share of an even part."""
+    rows = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(rows) * 8 / sum(rows)
+
+
+@pytest.mark.parametrize("rows, copies", [(200, 150_000), (40, 90_000)])
+def test_many_hot_rows_are_written_by_all_tasks(eight_parts, rows, copies):
+    out = duplicates.repeat_rows(eight_parts.range(rows).selectExpr("id", f"{copies}L AS n"), "n")
+    assert out.count() == rows * copies
+    assert largest_share(out) < 1.6
+
+
+@pytest.mark.parametrize("value", ["5.0", "cast(null AS double)"])
+def test_equal_sales_of_one_month_leave_in_several_tasks(eight_parts, value):
+    sales = eight_parts.range(400_000).selectExpr("1 AS ProductKey", "timestamp_ntz'2012-03-04' AS OrderDate", f"{value} AS SalesAmount")
+    top = questions.top_transaction_per_month(sales, eight_parts.range(1, 2).selectExpr("id AS ProductKey"), 2012)
+    assert top.count() == 400_000
+    assert largest_share(top) < 3
+
+
+def test_null_revenues_of_one_month_leave_in_several_tasks(eight_parts):
+    keys = eight_parts.range(100_000)
+    sales = keys.selectExpr("id AS ProductKey", "1 AS SalesTerritoryKey", "timestamp_ntz'2012-03-04' AS ShipDate", "cast(null AS double) AS SalesAmount")
+    territory = eight_parts.range(1).selectExpr("1 AS SalesTerritoryKey", "'UK' AS SalesTerritoryCountry")
+    low = questions.lowest_revenue_per_month(sales, keys.selectExpr("id AS ProductKey", "concat('p', id) AS ProductName"), territory, 2012)
+    assert low.count() == 100_000
+    assert largest_share(low) < 3
+
+
+@pytest.mark.parametrize(
+    "kind, value, times, total",
+    [
+        ("double", "0.00004D", 1_000_000, 40.0),
+        ("decimal(28,6)", "1.000049BD", 1000, 1000.049),
+        ("double", "1e15D", 1, 1e15),
+        ("double", "9e14D", 20_000_000, 1.8e22),
+        ("double", "1e300D", 2, 2e300),
+        ("double", "double('infinity')", 3, float("inf")),
+        ("bigint", "9223372036854775807", 4, 4 * 9223372036854775807.0),
+    ],
+)
+def test_sums_keep_every_digit(spark, kind, value, times, total):
+    df = spark.range(times).selectExpr(f"cast({value} AS {kind}) AS v")
+    row = df.agg(money_sum(df, "v").cast("double").alias("s"), money_mean(df, "v").alias("m")).first()
+    assert row.s == total
+    assert row.m == total / times
+    parts = star_sum(df.selectExpr("*", "1 AS k"), {"k": spark.range(1, 2).selectExpr("id AS k")}, ["k"], {"s": "v"})
+    assert parts.selectExpr("cast(s AS double)").first()[0] == total
+
+
+FORMAT_LISTS = [DATE_FORMATS, ("yyyy-MM-dd", "dd/MM/yyyy"), ("M/d/yyyy",)]
+
+
+@pytest.mark.parametrize("formats", FORMAT_LISTS)
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+def test_dates_that_are_dates_already_stay(spark, formats, kind):
+    df = spark.sql(f"SELECT cast(timestamp_ntz'1965-01-02 03:04:05.5' AS {kind}) AS BirthDate, cast(null AS {kind}) AS DateFirstPurchase, '245' AS Phone, 1 AS CustomerKey")
+    spec = spec_of("dimcustomer", formats)
+    once = normalize(df, spec)
+    want = dt.datetime(1965, 1, 2) if kind == "date" else dt.datetime(1965, 1, 2, 3, 4, 5, 500000)
+    assert once.first().BirthDate == want
+    assert normalize(once, spec).collect() == once.collect()
+    assert [r.error_type for r in table_errors(df, spec).collect()] == ["date_inconcistency"]
+
+
+@pytest.mark.parametrize("text", ["2018-11-04", "11/04/2018", "2018-11-04 00:00:00"])
+def test_midnight_that_a_time_zone_leaves_out(spark, frame, text):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = frame([(text, 20181104)], "d string, k long")
+        row = df.select(parse_date(F.col("d")).cast("string").alias("d"), date_of_key(F.col("k")).cast("string").alias("k")).first()
+        assert tuple(row) == ("2018-11-04 00:00:00", "2018-11-04 00:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_keys_that_look_alike_have_different_texts(frame):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, ""), ("", None), ('a","b', "c"), ("a", 'b","c')]
+    texts = column(frame(rows, "a string, b string").select(joined_key(["a", "b"]).alias("t")), "t")
+    assert len(set(texts)) == len(rows)
+
+
+@pytest.mark.parametrize("small", [10, 100_000])
+def test_summary_of_all_columns(spark, small, monkeypatch):
+    monkeypatch.setattr(quantiles_module.quantiles, "__defaults__", (5, small))
+    df = spark.range(5000).selectExpr("id", "cast(id % 7 AS double) AS w", "if(id % 3 = 0, null, exp(id % 100)) AS x", "'t' AS t", "cast(null AS float) AS none")
+    rows = {r.column_name: tuple(r)[1:] for r in profile.numeric_summary(df).collect()}
+    assert set(rows) == {"id", "w", "x", "none"}
+    for name in ("id", "w", "x"):
+        assert rows[name] == pytest.approx(tuple(df.select(name).toPandas()[name].astype(float).describe()), rel=1e-9)
+    assert rows["none"] == (0, None, None, None, None, None, None, None)

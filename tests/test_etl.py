@@ -11,7 +11,7 @@ from tallyward.plans import etl
 from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, write_layer
 from tallyward.sources.reports import read_report, report_from_sql, write_report
 from tallyward.sources.shared import shared_folder
-from tallyward.sources.tables import TABLE_NAMES, load_tables, table_names
+from tallyward.sources.tables import TABLE_NAMES, Tables, load_tables, table_names
 
 DAY = dt.datetime(2012, 3, 4)
 HELMET = "Sport-100 Helmet, Red"
@@ -55,15 +55,15 @@ def test_whole_run(spark, source, tmp_path, monkeypatch, capsys):
     assert written["dimsalesterritory", RAW] == 2 and written["dimsalesterritory", NORMALIZED] == 1
     assert written["dimscenario", ERRORS] == 0
     log = read_layer(spark, root, ERRORS, "dimproduct").collect()
-    assert sorted((r.row_key, r.error_type) for r in log) == [
+    assert sorted((json.loads(r.row_key)[0], r.error_type) for r in log) == [
         ("1", "size_inconcistency"),
         ("2", "duplicated_row_in_raw_table"),
         ("2", "potentially_dismissed_prod"),
         ("2", "potentially_dismissed_prod"),
     ]
-    assert json.loads(next(r for r in log if r.row_key == "1").row_json)["ProductName"] == HELMET
+    assert json.loads(next(r for r in log if r.row_key == '["1"]').row_json)["ProductName"] == HELMET
     violations = read_layer(spark, root, ERRORS, "key_violations").collect()
-    assert [tuple(r) for r in violations] == [("dimproduct", "2", 2)]
+    assert [tuple(r) for r in violations] == [("dimproduct", '["2"]', 2)]
     raw = read_layer(spark, root, RAW, "dimcustomer")
     assert raw.where("CustomerKey = 2").first().BirthDate == "12/31/70"
     assert read_layer(spark, root, NORMALIZED, "dimcustomer").where("CustomerKey = 2").first().BirthDate == dt.datetime(1970, 12, 31)
@@ -134,9 +134,46 @@ def test_written_rows_are_counted_during_the_write(spark, frame, tmp_path):
     assert write_layer(df.groupBy("b").count().where("b > 9"), str(tmp_path), ERRORS, "T", ["b"]) == 0
 
 
-def test_empty_text_of_a_report_reads_back_as_null(spark, frame, tmp_path):
-    df = frame([(1, "")], "k long, s string")
-    assert [tuple(r) for r in write_report(df, str(tmp_path), "r").collect()] == [(1, None)]
+def test_empty_text_and_null_of_a_report_read_back_as_written(spark, frame, tmp_path):
+    rows = [(1, ""), (2, None), (3, "null"), (4, '""'), (5, " ")]
+    df = frame(rows, "k long, s string")
+    assert sorted(map(tuple, write_report(df, str(tmp_path), "r").collect())) == rows
+
+
+def test_stale_reports_and_tables_are_removed(spark, source, tmp_path):
+    root = f"{tmp_path}/out"
+    etl.run(spark, load_tables(spark, source), root)
+    assert (tmp_path / "out/reports/qa1").exists() and (tmp_path / "out/raw/dimproduct").exists()
+    few = load_tables(spark, source, {n: TABLE_NAMES[n] for n in ("DimCustomer", "DimScenario")})
+    rows = {(r.table_name, r.layer) for r in etl.run(spark, few, root).collect()}
+    assert not (tmp_path / "out/reports/qa1").exists() and (tmp_path / "out/reports/qa5").exists()
+    assert sorted(p.name for p in (tmp_path / "out/raw").iterdir()) == ["dimcustomer", "dimscenario"]
+    assert ("qa1", "reports") in rows
+
+
+def test_names_that_are_not_found_are_reported(spark, source, tmp_path):
+    with pytest.warns(UserWarning, match="nosuch"):
+        tables = load_tables(spark, source, {"DimScenario": "dimscenario", "NoSuch": "nosuch"})
+    assert list(tables) == ["dimscenario"] and list(tables.absent) == ["nosuch"]
+    rows = {r.table_name: r for r in etl.run(spark, tables, f"{tmp_path}/out").collect()}
+    assert "not found" in rows["nosuch"].left_out
+
+
+def test_unknown_table_is_refused_before_anything_is_written(spark, frame, tmp_path):
+    with pytest.raises(KeyError, match="eighth"):
+        etl.run(spark, Tables(eighth=frame([(1,)], "a int")), f"{tmp_path}/out")
+    assert not (tmp_path / "out").exists()
+
+
+def test_empty_error_log_reads_back(spark, frame, tmp_path):
+    rows = frame([(1, "x")], "a int, error_type string").where("a > 1")
+    assert write_layer(rows, str(tmp_path), ERRORS, "T", ["error_type"]) == 0
+    assert read_layer(spark, str(tmp_path), ERRORS, "T", rows.schema).collect() == []
+
+
+def test_raw_layer_keeps_nan(spark, frame, tmp_path):
+    etl.stage({"t": frame([(float("nan"),), (None,)], "v double")}, str(tmp_path))
+    assert sorted(str(r.v) for r in read_layer(spark, str(tmp_path), RAW, "t").collect()) == ["None", "nan"]
 
 
 def test_shared_folder_follows_the_session(spark):
