@@ -63,9 +63,7 @@ class Pieces:
             if len(p) > 2:
                 self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 0))
         self.low = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
-        joined = "".join(sorted(set("".join(p for p in self.ids if len(p) > 1)) - {MARK}))
-        crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)  # then a text is one word
-        self.words = re.compile("(?s).+" if crossing else f"{MARK}*[{re.escape(joined)}]+|{MARK}+|(?s:.)" if joined else "(?s:.)")
+        self.words = self._words()
         self.ranks = {p: -self.scores[i] for p, i in self.ids.items()} if self.merges else {}
         self.edges: dict[str, tuple | None] = {}
         for p in self.ranks:
@@ -77,6 +75,19 @@ class Pieces:
         for b, i in self.bytes.items():
             self.text_of[i] = bytes([b])
 
+    def _words(self) -> re.Pattern:
+        """Cuts a marked text where no piece can cross: before marks, around characters that only stand alone, and, if
+        no piece mixes them, between letters and other signs."""
+        long = [p for p in self.ids if len(p) > 1]
+        if any(re.search(f"[^{MARK}]{MARK}", p) for p in long):
+            return re.compile("(?s).+")
+        joined = sorted(set("".join(long)) - {MARK})
+        kinds = [[c for c in joined if c.isalpha()], [c for c in joined if not c.isalpha()]]
+        if any(len({c.isalpha() for c in p.lstrip(MARK)}) > 1 for p in long):
+            kinds = [joined]
+        runs = [f"{MARK}*[{re.escape(''.join(k))}]+" for k in kinds if k]
+        return re.compile("|".join([*runs, f"{MARK}+", "(?s:.)"]))
+
     # -- segmentation ------------------------------------------------------
 
     def _halves(self, piece: str) -> tuple[str, str] | None:
@@ -116,28 +127,38 @@ class Pieces:
             else:
                 j += 1
 
-    def _step(self, word: str, end: int, states: list) -> tuple:
-        """The forward state after `end` characters: the last piece's right edge (BPE) or the score, and that piece."""
-        reach = self.reach.get(word[end - 3 : end], 2) if end > 2 else end
-        if self.merges:
+    def _forward_merges(self, word: str, states: list) -> None:
+        """Appends the states of the characters of a word that have none yet: the last piece's right edge, and it."""
+        edges_of, fit, reach_of = self.edges.get, self._fit, self.reach.get
+        for end in range(len(states), len(word) + 1):
+            start = max(0, end - reach_of(word[end - 3 : end], 2)) if end > 2 else 0
+            while start < end:
+                edges = edges_of(piece := word[start:end])
+                if edges is not None and (not start or fit(states[start][0], edges[1])):
+                    states.append((edges[0], piece))
+                    break
+                start += 1
+            else:  # a character that is no piece
+                states.append((self._edges(word[end - 1])[0], word[end - 1]))
+
+    def _forward_scores(self, word: str, states: list) -> None:
+        """The same for scores: the best sum of any segmentation up to here, and its last piece."""
+        for end in range(len(states), len(word) + 1):
+            reach = self.reach.get(word[end - 3 : end], 2) if end > 2 else end
+            best = None
             for start in range(max(0, end - reach), end):
-                edges = self.edges.get(word[start:end])
-                if edges and (not start or self._fit(states[start][0], edges[1])):
-                    return edges[0], word[start:end]
-            return self._edges(word[end - 1])[0], word[end - 1]  # a character that is no piece
-        best = None
-        for start in range(max(0, end - reach), end):
-            piece = word[start:end]
-            at = self.ids.get(piece)
-            if at is None and end - start > 1:
-                continue
-            score = states[start][0] + (self.low if at is None else self.scores[at])
-            if best is None or score > best[0]:
-                best = score, piece
-        return best
+                piece = word[start:end]
+                at = self.ids.get(piece)
+                if at is None and end - start > 1:
+                    continue
+                score = states[start][0] + (self.low if at is None else self.scores[at])
+                if best is None or score > best[0]:
+                    best = score, piece
+            states.append(best)
 
     def segment_all(self, words: list[str]) -> dict[str, list[str]]:
         """The pieces of each word; the words are walked in order, as a trie."""
+        forward = self._forward_merges if self.merges else self._forward_scores
         found, states, before = {}, [(0.0, "")], ""
         for word in sorted(words):
             shared = 0
@@ -146,12 +167,12 @@ class Pieces:
                     break
                 shared += 1
             del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                states.append(self._step(word, end, states))
+            forward(word, states)
             pieces, end = [], len(word)
             while end:
-                pieces.append(states[end][1])
-                end -= len(states[end][1])
+                piece = states[end][1]
+                pieces.append(piece)
+                end -= len(piece)
             found[word] = pieces[::-1]
             before = word
         return found
@@ -164,7 +185,7 @@ class Pieces:
                 out.append(at)
             elif self.bytes:
                 out += [self.bytes[b] for b in piece.encode("utf-8", "surrogatepass")]
-            elif not out or out[-1] != self.unknown:  # neighbouring unknown characters are one piece
+            else:
                 out.append(self.unknown)
         return array("i", out).tobytes()
 
@@ -193,7 +214,10 @@ class Pieces:
             new.difference_update(again)
             self.known.update((word, self._ids(pieces)) for word, pieces in self.segment_all(list(new)).items())
             out += (np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32) for words in split)
-        return out
+        if self.bytes:
+            return out
+        unknown = [ids == self.unknown for ids in out]  # neighbouring unknown characters are one piece
+        return [ids[~(u & np.concatenate([[False], u[:-1]]))] if len(ids) else ids for ids, u in zip(out, unknown, strict=True)]
 
     def decode(self, ids) -> str:
         """The text of ids: byte pieces joined, marks as spaces, the first one dropped."""
