@@ -4,13 +4,13 @@ Sets. A document's set holds the 64-bit hashes of its distinct n-grams of words.
 the least id of them, so copies cost no more than one.
 
 Prefixes. If two sets of a and b hashes overlap in at least o, the a-o+k and b-o+k least hashes share at least k. Such
-extended prefixes (k about a twentieth of the set) are counted over all nodes, and hashes that only one node has go.
+extended prefixes (k a tenth of the set and at least 64; sets of up to 200 are taken whole) are counted over all nodes, and hashes that only one node has go.
 Since k of the prefix must be shared, all but the k-2 most frequent hashes of it are enough to share two, and these
 are the index: rare hashes are indexed alone, and hashes of the frequent class in combinations of two. No hash is left
 out: a pair either shares a rare hash or two frequent ones.
 
 Verification. Links are only needed to find groups, so a bucket of the index first yields a star: each member with the
-least member of its size class. The pairs are verified on the whole texts and joined to groups. What remains are
+middle one of its size class. The pairs are verified on the whole texts and joined to groups. What remains are
 buckets that hold several groups; of these, all pairs from different groups are verified, each member with those
 outside the bucket's largest group. A hash is of the frequent class if more than `FREQUENT` entries of its bucket are
 outside that group. So a group of thousands of near copies costs about one verification each, and no link between
@@ -37,6 +37,11 @@ from tallyward.llm.common import WordHashes, id_and_text, mixed, per_batch, stor
 from tallyward.llm.components import components
 
 FREQUENT = 64
+#: Hashes of the sets that a task holds while it verifies pairs.
+HELD_HASHES = 4_000_000
+#: Sets of at most so many hashes are taken whole; the prefixes of others are extended by so many hashes at least.
+WHOLE = 200
+LEAST_EXTENSION = 64
 
 
 def shingles(text: str, words_each: int, known: WordHashes) -> np.ndarray:
@@ -57,53 +62,91 @@ def least_overlap(size: int, percent: int) -> int:
 
 
 def extension(size: int) -> int:
-    """How many hashes of the extended prefixes two linked sets share, if the smaller has this size."""
-    return size // 20 + 2
+    """By how many hashes the prefix of a set is extended."""
+    return size if size <= WHOLE else max(LEAST_EXTENSION, size // 10)
 
 
 def certain(size: int, percent: int) -> int:
-    """How many hashes of its extended prefix a set shares with any set it is linked to."""
+    """How many hashes the prefixes of a set and of any set it is linked to share at least.
+
+    Linked sets share the least extension of the two, and no more than they overlap. If the largest linked set is
+    taken whole, so are all of them, and the whole overlap is shared.
+    """
     least = least_overlap(size, percent)
-    return min(least, extension(least))
+    return least if size * 100 // percent <= WHOLE else min(least, max(LEAST_EXTENSION, max(least, WHOLE + 1) // 10))
 
 
 def _sets(words_each: int, percent: int):
-    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        known, sizes, marks, prefixes = WORDS, [], [], []
-        for text in batch.column(1).to_pylist():
-            own = shingles(text, words_each, known)
-            size = len(own)
+    """Of each row the size of its set, a digest of the set, how many of its first hashes a linked set has in its own
+    prefix if it has them at all, and the prefix; of rows with an id and set that the task has met before, no prefix.
+
+    The index holds the upper 48 bits of the hashes. That keeps their order, and the few that become equal only add
+    candidates.
+    """
+
+    def make(batch: pa.RecordBatch, seen: set) -> pa.RecordBatch:
+        sizes, marks, firsts, prefixes = [], [], [], []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = shingles(text, words_each, WORDS)
+            size, mark = len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest()
             sizes.append(size)
-            marks.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if size else None)
-            prefixes.append(own[: size - least_overlap(size, percent) + extension(size)].view(np.int64))
+            marks.append(mark if size else None)
+            firsts.append(size if size * 100 // percent <= WHOLE else certain(size, percent))
+            length = 0 if doc_id is None or (doc_id, mark) in seen else size - least_overlap(size, percent) + extension(size)
+            prefixes.append((own[:length] >> np.uint64(16)).view(np.int64))
+            seen.add((doc_id, mark))
         ends = np.cumsum([0, *map(len, prefixes)])
         prefix = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefixes), pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), prefix], ["doc_id", "n", "mark", "prefix"])
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(firsts, pa.int64()), prefix]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "mark", "first", "prefix"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()
+        yield from per_batch(lambda batch: make(batch, seen))(batches)
 
-    return per_batch(make)
+    return run
 
 
 #: One per Python worker.
 WORDS = WordHashes()
 
 
-def _same_size(percent: int, a: str, b: str) -> Column:
-    return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
+def _possible(percent: int, a: str, b: str) -> Column:
+    """Whether two sets can be linked by their sizes `n` and the hashes that each has `alone`, which are not shared."""
+    most = F.least(F.col(f"n_{a}") - F.col(f"alone_{a}"), F.col(f"n_{b}") - F.col(f"alone_{b}"))
+    return most * 100 >= (F.col(f"n_{a}") + F.col(f"n_{b}") - most) * percent
+
+
+class Sets(dict):
+    """Sets of texts, kept while there is room: pairs that arrive together share most of theirs."""
+
+    def __init__(self, words_each: int) -> None:
+        super().__init__()
+        self.words_each, self.held = words_each, 0
+
+    def __missing__(self, text: str) -> np.ndarray:
+        own = shingles(text, self.words_each, WORDS)
+        if self.held + len(own) > HELD_HASHES:
+            self.clear()
+            self.held = 0
+        self.held += len(own)
+        self[text] = own
+        return own
 
 
 def _linked(words_each: int, percent: int):
-    """Pairs whose whole texts reach the similarity; neighbouring rows often share the first text."""
+    """Pairs whose whole texts reach the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
+        sets = Sets(words_each)
         for batch in batches:
             a_ids, b_ids = [], []
             for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if text_a != last:
-                    last, own = text_a, shingles(text_a, words_each, WORDS)
-                other = shingles(text_b, words_each, WORDS)
-                places = np.searchsorted(own, other)
-                common = int((own[np.minimum(places, len(own) - 1)] == other).sum())
+                own, other = sorted((sets[text_a], sets[text_b]), key=len)
+                if 100 * len(own) < percent * len(other):
+                    continue
+                places = np.searchsorted(other, own)
+                common = int((other[np.minimum(places, len(other) - 1)] == own).sum())
                 if 100 * common >= percent * (len(own) + len(other) - common):
                     a_ids.append(a)
                     b_ids.append(b)
@@ -120,30 +163,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, words_each: int, percent: int)
 
 
 def _index(nodes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n): the entries of each node's prefix that more than one node has, without the most frequent ones."""
-    entries = nodes.select("node", "n", F.explode("prefix").alias("token"))
+    """(token, node, n, alone): the entries of each node's prefix that more than one node has, without the most frequent
+    ones, and how many of its first hashes no other node has."""
+    entries = nodes.select("node", "n", "first", F.posexplode("prefix").alias("place", "token"))
+    # Half of the columns take half of the shuffle: size and whether the hash is one of the first, in one number.
+    entries = entries.select("node", (F.col("n") * 2 + (F.col("place") < F.col("first")).cast("int")).alias("size"), "token")
     counts = entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     own = Window.partitionBy("node")
+    known = entries.join(counts, "token").select("token", "node", "df", (F.col("size") % 2).alias("is_first"), F.floor(F.col("size") / 2).alias("n"))
     least = F.ceil(F.col("n") * percent / 100)
-    sure = F.least(least, F.floor(least / 20) + 2)
-    ranked = entries.join(counts, "token").withColumns({"rank": F.row_number().over(own.orderBy("df", "token")), "shared": F.count("*").over(own)})
-    return ranked.filter(F.col("rank") <= F.col("shared") - sure + 2).select("token", "node", "n")
+    whole = F.floor(F.col("n") * 100 / percent) <= WHOLE
+    sure = F.when(whole, least).otherwise(F.least(least, F.greatest(F.lit(LEAST_EXTENSION), F.floor(F.greatest(least, F.lit(WHOLE + 1)) / 10))))
+    first = F.when(whole, F.col("n")).otherwise(sure)
+    ranked = known.withColumns({
+        "rank": F.row_number().over(own.orderBy("df", "token")), "shared": F.count("*").over(own), "shared_first": F.sum("is_first").over(own)
+    })
+    wanted = ranked.filter(F.col("rank") <= F.col("shared") - sure + 2)
+    return wanted.select("token", "node", "n", (first - F.col("shared_first")).alias("alone"))
 
 
 def _stars(index: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every entry's node with the least node of its bucket and size class; classes are cut at two offsets."""
+    """(a, b): every entry's node with the middle one of its bucket and size class, the node with the fewest hashes
+    of its own: of near copies, the one with the fewest changes. Classes are cut at two offsets."""
     step = float(-np.log(percent / 100))
     out = None
     for offset in (0.0, 0.5):
         rows = index.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step + offset))
-        hubs = rows.groupBy("token", "class").agg(F.min("node").alias("a"), F.count("*").alias("members")).filter("members > 1")
-        pairs = rows.join(hubs, ["token", "class"]).filter("node != a").select("a", F.col("node").alias("b"))
+        middle = F.min(F.struct("alone", "node", "n")).alias("middle")
+        hubs = rows.groupBy("token", "class").agg(middle, F.count("*").alias("members")).filter("members > 1")
+        hubs = hubs.select("token", "class", F.col("middle.node").alias("a"), F.col("middle.n").alias("n_a"), F.col("middle.alone").alias("alone_a"))
+        rows = rows.withColumnsRenamed({"node": "b", "n": "n_b", "alone": "alone_b"})
+        pairs = rows.join(hubs, ["token", "class"]).filter((F.col("a") != F.col("b")) & _possible(percent, "a", "b")).select("a", "b")
         out = pairs if out is None else out.unionByName(pairs)
     return out.distinct()
 
 
 def _mixed(entries: DataFrame) -> DataFrame:
-    """Entries (key, node, n, group) of the buckets with several groups, with the largest group and how many are outside."""
+    """Entries (key, node, n, alone, group) of the buckets with several groups, with the largest group and how many are outside."""
     sizes = entries.groupBy("key", "group").agg(F.count("*").alias("members"))
     buckets = sizes.groupBy("key").agg(F.max_by("group", F.struct("members", "group")).alias("largest"), (F.sum("members") - F.max("members")).alias("outside"))
     return entries.join(buckets.filter("outside > 0"), "key")
@@ -151,29 +207,32 @@ def _mixed(entries: DataFrame) -> DataFrame:
 
 def _across(entries: DataFrame, percent: int) -> DataFrame:
     """(a, b) of one bucket and different groups."""
-    one = entries.filter("group != largest").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("group_a"))
-    two = entries.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("group_b"), (F.col("group") == F.col("largest")).alias("inner"))
-    pairs = one.join(two, "key").filter((F.col("group_a") != F.col("group_b")) & (F.col("inner") | (F.col("a") < F.col("b"))) & _same_size(percent, "n_a", "n_b"))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda rows, s: rows.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "alone", "group", "inner")])
+    rows = entries.withColumn("inner", F.col("group") == F.col("largest"))
+    pairs = side(rows.filter("not inner"), "a").join(side(rows, "b"), "key")
+    pairs = pairs.filter((F.col("group_a") != F.col("group_b")) & (F.col("inner_b") | (F.col("node_a") < F.col("node_b"))) & _possible(percent, "a", "b"))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, words_each: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row the size of its set and the least id reachable by links."""
     rows = id_and_text(docs, doc_id, text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    sets = stored(rows.mapInArrow(_sets(words_each, percent), "doc_id long, n long, mark binary, prefix array<long>"))
-    nodes = sets.filter("n > 0").groupBy("mark").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    smallest = -(-percent // (100 - percent))  # sets below it are only linked if they are equal
-    index = stored(_index(nodes.filter((F.col("n") >= smallest) & F.col("node").isNotNull()), percent))
+    sets = stored(rows.mapInArrow(_sets(words_each, percent), "doc_id long, n long, mark binary, first long, prefix array<long>"))
+    nodes = stored(sets.filter("n > 0").groupBy("mark").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")))
+    smallest = -(-percent // (100 - percent)) - 1  # sets below it are only linked if they are equal
+    other = sets.select("doc_id", "mark").join(nodes.filter("copies > 1"), "mark").filter("doc_id != node").select("doc_id", "mark")
+    single = sets.filter((F.col("n") >= smallest) & (F.size("prefix") > 0)).join(stored(other), ["doc_id", "mark"], "left_anti")
+    index = stored(_index(single.withColumnRenamed("doc_id", "node"), percent))
     wanted = index.select("node").distinct()
     texts = stored(rows.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi").mapInArrow(_once, "node long, text string"))
     links = _verified(_stars(index, percent), texts, words_each, percent)
     groups = components(links)
-    entries = index.join(groups, "node", "left").select(F.col("token").alias("key"), "node", "n", F.coalesce("label", "node").alias("group"))
+    entries = index.join(groups, "node", "left").select(F.col("token").alias("key"), "node", "n", "alone", F.coalesce("label", "node").alias("group"))
     entries = stored(_mixed(entries))
     rare = _across(entries.filter(F.col("outside") <= FREQUENT), percent)
-    frequent = entries.filter(F.col("outside") > FREQUENT).select("key", "node", "n", "group")
+    frequent = entries.filter(F.col("outside") > FREQUENT).select("key", "node", "n", "alone", "group")
     second = frequent.select("node", F.col("key").alias("second"))
-    combined = frequent.join(second, "node").filter("key < second").select(F.xxhash64("key", "second").alias("key"), "node", "n", "group")
+    combined = frequent.join(second, "node").filter("key < second").select(F.xxhash64("key", "second").alias("key"), "node", "n", "alone", "group")
     pairs = rare.unionByName(_across(stored(_mixed(combined)), percent)).distinct()
     links = links.unionByName(_verified(pairs, texts, words_each, percent))
     groups = components(links)
