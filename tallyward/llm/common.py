@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from tallyward.sources.shared import shared_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Rows of a batch that become Python objects at a time.
+ROWS_AT_ONCE = 500
 #: Entries that one Python worker keeps of a cache; it is emptied beyond that.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,11 +39,23 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, UPPER.lower())
 
 
+#: Lets Spark remove the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the folder that all executors share and read again: they survive a lost executor."""
-    folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The rows, written to the folder that all executors share and read again: they survive a lost executor.
+
+    The shuffles behind them are not needed any more, and their files are removed.
+    """
+    spark = df.sparkSession
+    folder, before = shared_folder(spark), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def wide_parts(spark: SparkSession) -> int:
@@ -54,8 +68,9 @@ def per_batch(make: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callab
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := make(batch)) is not None:
-                yield out
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):  # long texts as Python objects take room
+                if (out := make(batch.slice(start, ROWS_AT_ONCE))) is not None:
+                    yield out
 
     return run
 
