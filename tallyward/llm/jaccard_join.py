@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 from tallyward.llm.common import WordHashes, id_and_text, mixed, per_batch, stored, words_of
 from tallyward.llm.components import components
 
-FREQUENT = 64
+FREQUENT = 1000
 #: Hashes of the sets that a task holds while it verifies pairs.
 HELD_HASHES = 4_000_000
 #: Sets of at most so many hashes are taken whole; the prefixes of others are extended by so many hashes at least.
