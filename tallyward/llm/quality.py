@@ -8,8 +8,8 @@ is the same score.
 
 Defined results: null and empty texts score as the layer's bias alone; without labels of both classes every score is the
 share of label 1 among the labels (0.5 without any); a null id is held out; an id labelled twice counts as the larger
-label; rows repeated in `documents` are each scored, and a repeated id in training counts as often; an empty table gives
-no rows; further columns are not read.
+label; rows repeated in `documents` are each scored, and a repeated id counts once in training, by its text of the least
+hash; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import id_and_text, mixed, per_batch
-from tallyward.llm.sampling import first_by_hash, fold, labelled_ids
+from tallyward.llm.sampling import first_by_hash, fold, labelled_ids, one_text_each
 
 SPACE = 32
 #: Keeps the buckets of looks apart from those of words.
@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
     """Learns from labelled documents outside fold 0."""
     chosen = F.broadcast(first_by_hash(labelled_ids(labels, label), settings.max_rows))  # at most max_rows ids
     rows = id_and_text(docs, doc_id, text).filter(fold() != 0).join(chosen, "doc_id").select("doc_id", "text", "label")
-    features = rows.mapInArrow(_features(settings), "doc_id long, label int, ids binary, shares binary")
+    features = one_text_each(rows, "label").mapInArrow(_features(settings), "doc_id long, label int, ids binary, shares binary")
     weights, bias = features.repartition(1).mapInArrow(_learn(settings), "weights binary, bias double").first()
     return Model(np.frombuffer(weights, np.float32), bias, settings.grams)
 

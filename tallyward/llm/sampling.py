@@ -19,6 +19,11 @@ def labelled_ids(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataF
     return rows.filter((fold() != 0) & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
 
 
+def one_text_each(rows: DataFrame, by: str) -> DataFrame:
+    """One row per id and `by`, the one whose text has the least hash: what many rows share an id never meets in one task."""
+    return rows.groupBy("doc_id", by).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", by)
+
+
 def first_by_hash(ids: DataFrame, rows: int) -> DataFrame:
     """At most `rows` of the rows, those whose ids have the least hashes: a sample that does not depend on the order."""
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

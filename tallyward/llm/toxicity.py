@@ -12,8 +12,8 @@ The positives and the unlabelled rows are at most `max_rows` each (documented bo
 words are read in all tasks, the descent runs in one. All rows are scored, by their whole texts.
 
 Defined results: null and empty texts score as the bias alone; without positives every score is 0, and without telling words it is the prior; an id labelled twice
-counts as the larger label; a null id is held out; repeated rows are each scored; an empty table gives no rows; further
-columns are not read.
+counts as the larger label; a null id is held out; repeated rows are each scored, and a repeated id counts once in training, by
+its text of the least hash; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.common import id_and_text, per_batch
-from tallyward.llm.sampling import first_by_hash, fold, labelled_ids
+from tallyward.llm.sampling import first_by_hash, fold, labelled_ids, one_text_each
 
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -133,9 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     known = labelled_ids(labels, label)
     prior = known.agg(F.avg("label")).first()[0] or 0.0
     positives = first_by_hash(known.filter("label = 1").select("doc_id"), settings.max_rows).select("doc_id", F.lit(1).alias("part"))
-    others = first_by_hash(rows.select("doc_id"), settings.max_rows).distinct().select("doc_id", F.lit(0).alias("part"))
+    others = first_by_hash(rows.select("doc_id").distinct(), settings.max_rows).select("doc_id", F.lit(0).alias("part"))
     chosen = F.broadcast(positives.unionByName(others))  # at most twice max_rows ids
-    words = rows.join(chosen, "doc_id").select("doc_id", "text", "part").mapInArrow(_words(), "doc_id long, part int, words array<string>")
+    words = one_text_each(rows.join(chosen, "doc_id"), "part").mapInArrow(_words(), "doc_id long, part int, words array<string>")
     learned = words.repartition(1).mapInArrow(_learn(prior, settings), "words array<string>, weights array<double>, bias double").first()
     return Model(dict(zip(learned.words, learned.weights, strict=True)), learned.bias)
 
