@@ -34,6 +34,8 @@ MARKUP = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 NAME = re.compile(r"[a-z0-9]+")
+#: Decimal references of many digits, which `int` may refuse; code points have seven at most.
+LONG_REFERENCE = re.compile(r"&#(?=[0-9]{8})0*+([0-9]*+);?")
 RAW_END = {t: re.compile(rf"</{t}\b[^>]*+(?:>|\Z)", re.I) for t in ("script", "style", "title", "textarea", "noscript", "iframe", "template", "xmp")}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
@@ -59,6 +61,11 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 KEEP = {"html", "body", "article", "main"}
 
 
+def _unescaped(text: str) -> str:
+    """References decoded; numbers beyond all code points become U+FFFD."""
+    return references.unescape(LONG_REFERENCE.sub(lambda m: "\ufffd" if len(m[1]) > 7 else f"&#{m[1] or 0};", text) if "&#" in text else text)
+
+
 class Page:
     """Elements in page order (parent before child) and what happens in that order."""
 
@@ -99,7 +106,7 @@ class Page:
 
     def _text(self, node: int, text: str) -> None:
         if text:
-            self.events.append((node, references.unescape(text)))
+            self.events.append((node, _unescaped(text)))
 
     def _close(self, open_nodes: list[int], depth: int) -> None:
         for node in reversed(open_nodes[depth:]):

@@ -52,7 +52,7 @@ def luhn(digits: str) -> bool:
 
 
 def byte_parts(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in text.split("."))
 
 
 def emails(text: str) -> list[Span]:
@@ -93,57 +93,6 @@ AT = re.compile(r"\x20?(?:@|[\[({](?:@|at)[\])}])\x20?|\x20at\x20")
 LABEL = re.compile(r"[A-Za-z0-9-]+")
 NEXT_LABEL = re.compile(r"\x20?[\[({]?(?:\.|\bdot\b)[\])}]?\x20?(?P<label>[A-Za-z0-9-]{2,})")
 SPELLED_LABEL = re.compile(r"\x20dot\x20(?P<label>[A-Za-z0-9-]{2,})")
-DIGIT = re.compile(r"[^0-9]+")
-
-
-def luhn(digits: str) -> bool:
-    total = sum(int(d) if i % 2 == 0 else (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)[int(d)] for i, d in enumerate(reversed(digits)))
-    return total % 10 == 0
-
-
-def byte_parts(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
-
-
-def emails(text: str) -> list[Span]:
-    """The leftmost matches of local part and domain, found from each `@`: no local part is read twice."""
-    found, end, at = [], 0, text.find("@")
-    while at >= 0:
-        start = at
-        while start > end and text[start - 1] in LOCAL:
-            start -= 1
-        if start < at and (domain := EMAIL_END.match(text, at)):
-            end = domain.end()
-            found.append(("email", start, end))
-        at = text.find("@", max(at + 1, end))
-    return found
-
-
-def base_spans(text: str) -> list[Span]:
-    """Spans of the fixed patterns, by kind and place."""
-    found = emails(text) if "@" in text else []
-    found += [("ip", *m.span()) for m in IP.finditer(text) if byte_parts(m[0])]
-    for m in CARD.finditer(text):
-        digits = NOT_DIGIT.sub("", m[0])
-        if 13 <= len(digits) <= 19 and luhn(digits):
-            found.append(("card", *m.span()))
-    if "+" in text:
-        found += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(NOT_DIGIT.sub("", m[0])) <= 15]
-    return found
-
-
-# -- candidates and features ------------------------------------------------
-
-#: No segment is longer: the bound of the dynamic programme.
-LONGEST = 64
-TOP = r"(?:\x20?[\[({]?(?:\.|\bdot\b)[\])}]?\x20?[A-Za-z0-9-]{2,12}){1,3}"
-WRITTEN = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,40}\x20?(?:@|[\[({](?:@|at)[\])}])\x20?[A-Za-z0-9-]{1,30}" + TOP)
-SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,40}\x20at\x20[A-Za-z0-9-]{1,30}(?:\x20dot\x20[A-Za-z0-9-]{2,12}){1,3}")
-NUMBERS = (
-    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\x20?[\[(]?\.[\])]?\x20?[0-9]{1,3}){3}(?![0-9])"),
-    re.compile(r"(?<![0-9])(?:\+|00)?\(?[0-9]{1,4}(?:[\x20().\-/]{1,2}[0-9]{2,6}){1,6}(?![0-9])"),
-    re.compile(r"(?<![0-9])[0-9]{7,19}(?![0-9])"),
-)
 DIGIT = re.compile("[0-9]")
 CUES = {
     "email": {"email", "mail", "e", "contact", "write", "courriel", "correo"},
