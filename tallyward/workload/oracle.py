@@ -234,6 +234,10 @@ ORACLE: dict[str, str] = {
       (SELECT count(*) FROM sales) AS rows_written FROM sales WHERE year("OrderDate") = 1998""",
     "error_log_roundtrip": f"""WITH {PRODUCTS} SELECT 'dimproduct' AS table_name, error_type, count(*) AS n,
       (SELECT count(*) FROM ({PRODUCT_LOG})) AS rows_written FROM ({PRODUCT_LOG}) GROUP BY error_type""",
+    "normalized_roundtrip_all": f"""WITH {SALES} SELECT *, CAST(year("OrderDate") AS INTEGER) AS "OrderDate_year",
+      (SELECT count(*) FROM sales) AS rows_written FROM sales""",
+    "error_log_roundtrip_all": f"""WITH {PRODUCTS} SELECT *, (SELECT count(*) FROM ({PRODUCT_LOG})) AS rows_written
+      FROM ({_common("dimproduct", PRODUCT_LOG, _key("ProductKey"), PRODUCT_ROW)})""",
     "table_profile": f"WITH {PRODUCTS} "
     + " UNION ALL ".join(
         f"SELECT {i + 1} AS position, '{c}' AS column_name, '{k}' AS sql_type, count(\"{c}\") AS n_values FROM products"

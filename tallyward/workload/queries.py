@@ -90,29 +90,50 @@ def load_mapped_tables(spark, t):
     return counts.withColumn("n_absent", F.lit(len(tables.absent)).cast("bigint"))
 
 
-@query
-def normalized_roundtrip(spark, t):
-    """Sales as normalized, stored by year, and one year of them read back."""
+def _stored_sales(spark, t):
+    """Sales as normalized, stored by year and read back; and how many were written."""
     root = shared_folder(spark)
     clean = normalize(standins.sales(t["lineitem"], t["orders"]), spec_of("factresellersales"))
     written = write_by_year(clean, root, NORMALIZED, "sales", "OrderDate")
     schema = StructType([*clean.schema, StructField("OrderDate_year", IntegerType())])
-    stored = rows_of_year(read_layer(spark, root, NORMALIZED, "sales", schema), "OrderDate", YEAR)
-    return stored.withColumn("rows_written", F.lit(written).cast("bigint"))
+    return read_layer(spark, root, NORMALIZED, "sales", schema), F.lit(written).cast("bigint")
 
 
 @query
-def error_log_roundtrip(spark, t):
-    """The log of the products and an empty one, stored by type of error and read back."""
+def normalized_roundtrip(spark, t):
+    """One year of the stored sales."""
+    stored, written = _stored_sales(spark, t)
+    return rows_of_year(stored, "OrderDate", YEAR).withColumn("rows_written", written)
+
+
+@query
+def normalized_roundtrip_all(spark, t):
+    """All stored sales, also those without a date."""
+    stored, written = _stored_sales(spark, t)
+    return stored.withColumn("rows_written", written)
+
+
+def _stored_logs(spark, t):
+    """The log of the products and an empty one, stored by type of error and read back; and how many rows were written."""
     root = shared_folder(spark)
     log = common_log(table_errors(standins.products(t["part"]), spec_of("dimproduct")), "dimproduct", ("ProductKey",))
     empty = common_log(table_errors(t["region"], spec_of("dimscenario")), "region", ("r_regionkey",))
-    stored = []
     for name, rows in (("products", log), ("region", empty)):
         written = write_layer(rows, root, ERRORS, name, ["error_type"])
-        back = read_layer(spark, root, ERRORS, name, rows.schema)
-        stored.append(back.groupBy("table_name", "error_type").agg(F.count(F.lit(1)).alias("n")).withColumn("rows_written", F.lit(written).cast("bigint")))
-    return reduce(DataFrame.unionByName, stored)
+        yield read_layer(spark, root, ERRORS, name, rows.schema), F.lit(written).cast("bigint")
+
+
+@query
+def error_log_roundtrip(spark, t):
+    """Rows of the stored logs by type of error."""
+    counts = [back.groupBy("table_name", "error_type").agg(F.count(F.lit(1)).alias("n")).withColumn("rows_written", n) for back, n in _stored_logs(spark, t)]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def error_log_roundtrip_all(spark, t):
+    """All rows and columns of the stored logs."""
+    return reduce(DataFrame.unionByName, [back.withColumn("rows_written", n) for back, n in _stored_logs(spark, t)])
 
 
 # Profiles
