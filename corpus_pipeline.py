@@ -41,8 +41,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids."""
-    return with_pieces(docs)
+    """The documents with their token ids, and whether these decode to the text."""
+    return with_pieces(docs, mark_name="round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -26,7 +26,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from tallyward.llm.common import CACHE_ENTRIES, id_and_text, per_batch
 
@@ -258,16 +258,23 @@ def encoded(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", text: s
     return id_and_text(docs, doc_id, text).mapInArrow(per_batch(make), "doc_id long, ids array<int>, n_ids long, decoded string, round_trip boolean")
 
 
-def with_pieces(docs: DataFrame, model: str = MODEL, text: str = "text", ids_name: str = "ids", count_name: str = "n_ids") -> DataFrame:
-    """The rows with all their columns and the ids; a clashing column gives way to the new one."""
+def with_pieces(docs: DataFrame, model: str = MODEL, text: str = "text", ids_name: str = "ids", count_name: str = "n_ids", mark_name: str | None = None) -> DataFrame:
+    """The rows with all their columns and the ids; a clashing column gives way to the new one.
+
+    With `mark_name`, the ids are decoded, and the mark says whether that is the text.
+    """
     shared = _model(docs, model)
     at = docs.columns.index(text)
-    kept = [i for i, c in enumerate(docs.columns) if c not in (ids_name, count_name)]
+    kept = [i for i, c in enumerate(docs.columns) if c not in (ids_name, count_name, mark_name)]
     schema = StructType([*(docs.schema[i] for i in kept), StructField(ids_name, ArrayType(IntegerType())), StructField(count_name, LongType())])
+    if mark_name is not None:
+        schema = schema.add(mark_name, BooleanType())
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = pieces(shared.value).encode_batch([t or "" for t in batch.column(at).to_pylist()])
-        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), _ids_column(ids), pa.array(map(len, ids), pa.int64())], schema.names)
+        own, texts = pieces(shared.value), [t or "" for t in batch.column(at).to_pylist()]
+        ids = own.encode_batch(texts)
+        marks = [pa.array([own.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_())] if mark_name is not None else []
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), _ids_column(ids), pa.array(map(len, ids), pa.int64()), *marks], schema.names)
 
     return docs.mapInArrow(per_batch(make), schema)
 
