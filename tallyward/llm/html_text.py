@@ -1,11 +1,14 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree of its elements, with the implied ends of HTML. What is never article text goes first: menus,
-headers and footers (but the titled header of an article), sidebars, forms, scripts, styles, hidden parts, and containers that call themselves adverts,
-notices or comments. Then every node gets its density: characters per tag, weighted by how little of them is link text
+headers and footers (but the titled header of an article), sidebars, forms, scripts, styles and hidden parts. Containers that
+call themselves adverts, notices or comments go if links dominate in them or their density is below the threshold (see
+next), unless they hold most of the text; one line that calls itself an advert goes in any case, and titles are no
+containers. Then every node gets its density: characters per tag, weighted by how little of them is link text
 (see `_densities`). The node whose children's densities have the greatest sum is the body of the article; the least
 density on its path up to `body` is the threshold, and other subtrees of at least that density add their own
-greatest-sum node. Inside an `article` or `main` element the whole element is taken, as it marks the article itself.
+greatest-sum node. Inside an `article` or `main` element the whole element is taken, as it marks the article itself; on a
+page that has one, only such elements are added.
 
 Text is put out block by block in page order: references decoded, white space in a block made one space, ends trimmed,
 blocks joined by a newline, empty blocks left out.
@@ -57,6 +60,7 @@ NOT_TEXT_NAMES = set(
     "pager pagination paywall popup promo promotion related replies respond share sharing sidebar signup social sponsor sponsored sponsors subscribe "
     "subscription toolbar widget widgets".split()
 )
+ADVERTS = set("ad ads adbox adslot adsense advert adverts advertisement advertising sponsor sponsored sponsors".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 KEEP = {"html", "body", "article", "main"}
 
@@ -137,14 +141,16 @@ class Page:
                     return
 
 
-def _dropped(page: Page) -> list[bool]:
-    """Whether a node is, or lies in, something that is no article text."""
+def _dropped(page: Page) -> tuple[list[bool], list[int]]:
+    """Whether a node is, or lies in, something that is no article text; and the containers that only call themselves so."""
     holds, titled = [False] * len(page.tags), [False] * len(page.tags)  # an article or main element, a heading
     for node in range(len(page.tags) - 1, 0, -1):
         if titled[node] or page.tags[node] in HEADINGS:
             titled[page.parents[node]] = True
         if holds[node] or page.tags[node] in ("article", "main"):
             holds[page.parents[node]] = True
+    called = []
+    holds_blocks = {parent for tag, parent in zip(page.tags, page.parents, strict=True) if tag in BLOCKS}
     dropped, in_article = [False] * len(page.tags), [False] * len(page.tags)
     for node in range(1, len(page.tags)):
         tag, parent = page.tags[node], page.parents[node]
@@ -156,13 +162,29 @@ def _dropped(page: Page) -> list[bool]:
             named = bool(words & NOT_TEXT_NAMES) and not words & {"no", "has", "with", "without"}
             style = given.get("style", "").replace(" ", "")
             unseen = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-            dropped[node] = named or unseen or given.get("role", "") in NOT_TEXT_ROLES
-    return dropped
+            advert = named and bool(words & ADVERTS) and node not in holds_blocks
+            dropped[node] = unseen or advert or given.get("role", "") in NOT_TEXT_ROLES
+            if named and not dropped[node] and tag not in HEADINGS:
+                called.append(node)
+    return dropped, called
 
 
-def _densities(page: Page, dropped: list[bool]) -> list[float]:
+def _without(page: Page, dropped: list[bool], called: list[int]) -> list[bool]:
+    """`dropped`, with those of the called containers that are no article by their text either."""
+    if not called:
+        return dropped
+    density, chars, links = _densities(page, dropped)
+    threshold = _path(page, density)[1]
+    gone = {n for n in called if 2 * links[n] > chars[n] or density[n] < threshold and 2 * chars[n] <= chars[0]}
+    out = dropped[:]
+    for node in range(1, len(page.tags)):
+        out[node] = dropped[node] or out[page.parents[node]] or node in gone
+    return out
+
+
+def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[int], list[int]]:
     """Characters per tag of each node, times the logarithm of its (characters / link characters) * (tags / link tags),
-    to a base that grows with the share of links in the node and in the page."""
+    to a base that grows with the share of links in the node and in the page. Also its characters and link characters."""
     size = len(page.tags)
     chars, links, tags, link_tags = [0] * size, [0] * size, [0] * size, [0] * size
     linked = [False] * size
@@ -187,18 +209,16 @@ def _densities(page: Page, dropped: list[bool]) -> list[float]:
             base = math.log(chars[node] / max(1, chars[node] - links[node]) * links[node] + share * chars[node] + math.e)
             ratio = chars[node] / max(1, links[node]) * max(1, tags[node]) / max(1, link_tags[node])
             out[node] = chars[node] / max(1, tags[node]) * max(0.0, math.log(ratio) / math.log(max(base, 1.0001)))
-    return out
+    return out, chars, links
 
 
-def _chosen(page: Page, dropped: list[bool]) -> list[bool]:
-    """Whether a node belongs to the article."""
-    size, density = len(page.tags), _densities(page, dropped)
-    sums = density[:]  # a node without element children stands for its own text
+def _path(page: Page, density: list[float]) -> tuple[int, float, list[float]]:
+    """The node of the greatest sum, the least density on its path up to `body`, and the sums."""
+    size, parents = len(page.tags), page.parents
     below = [0.0] * size
-    parents = page.parents
     for node in range(1, size):
         below[parents[node]] += density[node]
-    sums = [below[i] or density[i] for i in range(size)]
+    sums = [below[i] or density[i] for i in range(size)]  # a node without element children stands for its own text
     best = max(range(size), key=lambda i: (sums[i], -i))
     if not sums[best]:
         best = 0
@@ -206,8 +226,18 @@ def _chosen(page: Page, dropped: list[bool]) -> list[bool]:
     while parents[node] > 0 and page.tags[node] != "body":
         node = parents[node]
         threshold = min(threshold, density[node])
+    return best, threshold, sums
+
+
+def _chosen(page: Page, dropped: list[bool]) -> list[bool]:
+    """Whether a node belongs to the article."""
+    size, parents, density = len(page.tags), page.parents, _densities(page, dropped)[0]
+    best, threshold, sums = _path(page, density)
     marked = {best}
-    if not any(page.tags[i] in ("article", "main") and not dropped[i] for i in range(size)):
+    own = [i for i in range(size) if page.tags[i] in ("article", "main") and not dropped[i]]
+    if own:
+        marked |= {i for i in own if density[i] >= threshold > 0}
+    else:
         top = list(range(size))  # the greatest-sum node of each subtree
         for node in range(size - 1, 0, -1):
             if sums[top[node]] > sums[top[parents[node]]] and not dropped[node]:
@@ -230,7 +260,7 @@ def _chosen(page: Page, dropped: list[bool]) -> list[bool]:
 def main_text(source: str) -> str:
     """The article's text of one page."""
     page = Page(source)
-    inside = _chosen(page, _dropped(page))
+    inside = _chosen(page, _without(page, *_dropped(page)))
     blocks, words = [], []
     for node, text in page.events:
         if text is None:
