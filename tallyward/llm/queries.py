@@ -12,6 +12,7 @@ from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
 from tallyward.llm.html_text import page_texts
 from tallyward.llm.jaccard_join import near_groups
+from tallyward.llm.lexicon_bpe import encoding_digests
 from tallyward.llm.pieces import encoded
 from tallyward.llm.pii import personal_data
 from tallyward.llm.quality import quality_scores
@@ -59,7 +60,11 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert_shards(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards)}
+def op11_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_digests(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards, op11_lexicon_bpe)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
