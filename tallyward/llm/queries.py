@@ -15,6 +15,7 @@ from tallyward.llm.jaccard_join import near_groups
 from tallyward.llm.lexicon_bpe import encoding_digests
 from tallyward.llm.pieces import encoded
 from tallyward.llm.pii import personal_data
+from tallyward.llm.prefix_trie import conversation_trie
 from tallyward.llm.quality import quality_scores
 from tallyward.llm.suffix_dedup import without_repeats
 from tallyward.llm.toxicity import toxicity_scores
@@ -64,7 +65,11 @@ def op11_lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_digests(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards, op11_lexicon_bpe)}
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards, op11_lexicon_bpe, op12_prefix_trie)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
@@ -77,4 +82,39 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM digests JOIN groups USING (text_sha256)
     """,
+    "op12_prefix_trie": """
+        WITH numbered AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT conv_id, count(*) AS n, xor(4294967295, list_reduce(
+                list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))
+            )) % 6 AS h
+            FROM numbered GROUP BY conv_id
+        ), sequences AS (
+            SELECT o.conv_id, list_concat(
+                coalesce((SELECT list({'role': role, 'text': text} ORDER BY place) FROM numbered b WHERE b.conv_id = o.conv_id - o.conv_id % 100 AND b.place < o.h), []),
+                coalesce((SELECT list({'role': role, 'text': text} ORDER BY place) FROM numbered t WHERE t.conv_id = o.conv_id AND t.place >= o.h), [])
+            ) AS turns
+            FROM own o
+        ), prefixes AS (
+            SELECT conv_id, len(turns) AS total, unnest(range(len(turns) + 1)) AS depth, turns FROM sequences
+        ), nodes AS (
+            SELECT depth, turns[1:depth] AS turns, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends_sha256
+            FROM prefixes GROUP BY 1, 2
+        ), children AS (
+            SELECT depth - 1 AS depth, turns[1:depth - 1] AS turns, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+        ), told AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (depth, turns)
+        ), above AS (
+            SELECT turns, n_children, (n_convs - 1) * coalesce(length(turns[depth].text), 0) AS saved, unnest(range(depth + 1)) AS upto FROM told
+        ), sums AS (
+            SELECT upto AS depth, turns[1:upto] AS turns, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM above GROUP BY 1, 2
+        )
+        SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
+        FROM told t JOIN sums s USING (depth, turns) LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.turns = t.turns[1:t.depth - 1]
+    """,
 }
