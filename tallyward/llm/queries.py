@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyward.llm.common import table
 from tallyward.llm.decontaminate import contaminated
+from tallyward.llm.divergence import divergence
 from tallyward.llm.exact_dedup import exact_duplicates
 from tallyward.llm.hilbert import hilbert_shards
 from tallyward.llm.html_text import page_texts
@@ -69,7 +70,11 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(table(spark, folder, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards, op11_lexicon_bpe, op12_prefix_trie)}
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality, op2_sentencepiece, op3_html_text, op4_exact_dedup, op5_jaccard_join, op6_decontamination, op7_toxicity, op8_personal_data, op9_suffix_dedup, op10_hilbert_shards, op11_lexicon_bpe, op12_prefix_trie, op13_source_divergence)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
@@ -117,4 +122,42 @@ ORACLE: dict[str, str] = {
         SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
         FROM told t JOIN sums s USING (depth, turns) LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.turns = t.turns[1:t.depth - 1]
     """,
+    "op13_source_divergence": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), words AS (
+            SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+        ), kept AS (
+            SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+        ), langs AS (
+            SELECT lang, count(*) AS kept, sum(n) AS total FROM kept GROUP BY lang
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM docs
+        ), counts AS (
+            SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+        ), prices AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + l.kept) AS p,
+                1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.kept) AS q
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+            LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+        ), sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM prices a JOIN prices b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), rows AS (
+            SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(s.value, 0) AS value
+            FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+            LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM prices WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value,
+            row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+        FROM rows QUALIFY part = 'pair' OR rank <= 200
+    """,
 }

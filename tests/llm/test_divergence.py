@@ -1,0 +1,93 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tallyward.llm import divergence as d
+
+SCHEMA = "doc_id long, text string, lang string, source string, term string, n int, kept int, `a.b` int"
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def brute(rows, least_docs=3, top=200):
+    rows = [tuple(v or "" for v in r) for r in rows]
+    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    docs, counts, groups = Counter(), defaultdict(Counter), sorted({(lang, source) for _, lang, source in rows})
+    for text, lang, source in rows:
+        terms = [lower(t) for t in TERM.findall(text)]
+        counts[lang, source].update(terms)
+        docs.update({(lang, t) for t in terms})
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = sorted(t for (x, t), n in docs.items() if x == lang and n >= least_docs)
+        own = [g for g in groups if g[0] == lang]
+        count = {g: {t: counts[g][t] for t in kept} for g in own}
+        count[lang] = {t: sum(counts[g][t] for g in own) for t in kept}
+        p = {g: {t: 1 + 10**9 * (c[t] + 1) // (sum(c.values()) + len(kept)) for t in kept} for g, c in count.items()}
+        f = lambda a, b: (a - b) * (a - b) // b
+        for g in own:
+            parts = {"pair": [(sum(f(p[g][t], p[h][t]) for t in kept), h[1]) for h in own if h != g]}
+            parts["term"] = [(f(p[g][t], p[lang][t]), t) for t in kept if count[g][t] and p[g][t] > p[lang][t]]
+            for part, items in parts.items():
+                ranked = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, g[1], part, item, value, i + 1) for i, (value, item) in enumerate(ranked) if part == "pair" or i < top]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(1, *r, "x", 2, 3, 4) for r in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("columns, terms", [(1024, 50_000), (8, 7)])
+def test_equals_brute_force(spark, monkeypatch, columns, terms):
+    monkeypatch.setattr(d, "COLUMNS", columns)
+    monkeypatch.setattr(d, "BLOCK_TERMS", terms)
+    monkeypatch.setattr(d, "COUNTED", 30)
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in "abcdeÉ日x" for b in "fghiÄé"]
+    rows = []
+    for _ in range(200):
+        text = rng.choice([" ", "-", "\n", "7"]).join(rng.choices(words, weights=range(1, len(words) + 1), k=rng.randint(0, 40)))
+        rows.append((rng.choice([text, text.upper()]), rng.choice(["en", "de"]), rng.choice(["s1", "s2", "s10", "ü"])))
+    assert found(d.divergence(frame(spark, rows))) == brute(rows)
+    assert found(d.divergence(frame(spark, rows), 5, 3)) == brute(rows, 5, 3)
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (None, None, None), ("", "en", ""), ("A b  C", "en", "x"), ("a B", "en", None), ("a" + "\x00" + "é" * 50_000, "en", "y"), ("a a a", "en", "y"),
+        ("one two", "de", "alone"), ("one", "fr", "p"), ("two", "fr", "q"), ("word " * 30_000, "es", "m"), ("word", "es", "m"), ("WORD", "es", "n"), ("none", "es", "o"),
+    ]
+    assert found(d.divergence(frame(spark, rows))) == brute(rows)
+    assert d.divergence(frame(spark, [])).collect() == []
+
+
+def test_repeated_rows(spark):
+    rows = [("same words here", "en", "s")] * 5 + [("same", "en", "t")]
+    assert found(d.divergence(frame(spark, rows))) == brute(rows)
+
+
+def test_tables_count_every_term_once(monkeypatch):
+    monkeypatch.setattr(d, "COLUMNS", 6)
+    rng = np.random.default_rng(1)
+    counts = rng.integers(0, 3, (40, 3))
+    terms, groups = np.nonzero(counts)
+    levels = groups * 10 + counts[terms, groups]
+    total = defaultdict(int)
+    prices = np.arange(100)
+    for table, group, price in d.products(terms, groups, levels, 3, np.array([0, 10, 20]), prices):
+        for i, j in zip(*np.nonzero(table), strict=True):
+            total[group[i], price[i] - 10 * group[i], group[j], price[j] - 10 * group[j]] += int(table[i, j])
+    expected = Counter((g, row[g], h, row[h]) for row in counts.tolist() for g in range(3) for h in range(3))
+    assert {tuple(map(int, k)): v for k, v in total.items()} == dict(expected)
+
+
+def test_counts_beyond_64_bits(spark):
+    price = spark.createDataFrame([(9_000_000_000_000, 9_000_000_000_000, 10)], "n long, total long, kept long").select(d.level_price("n", "total").alias("p"))
+    assert price.first().p == 1 + 10**9 * 9_000_000_000_001 // 9_000_000_000_010
