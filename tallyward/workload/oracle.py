@@ -221,12 +221,29 @@ _MEAN = "CAST(sum(CAST(CAST(sales_amount AS VARCHAR) AS DECIMAL(28, 10))) AS DOU
 ORDER_CLASSES = """classes AS (
   SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders)"""
 
+_CLASSES = "o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year"
+
+_GATED = """lines AS (
+  SELECT CASE WHEN l_partkey % 50 <> 0 THEN l_orderkey END AS l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem
+), counted AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lines)"""
+
 ORACLE: dict[str, str] = {
     "load_tables": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}"
         for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
     ),
     "stage_raw_roundtrip": "SELECT *, (SELECT count(*) FROM orders) AS rows_written FROM orders",
+    "replace_roundtrip": """SELECT * REPLACE (o_totalprice + 1 AS o_totalprice), (SELECT count(*) FROM orders) AS first_rows,
+      (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS second_rows FROM orders WHERE o_orderstatus <> 'F'""",
+    "resumed_run": f"""WITH {SALES} SELECT 'dimaccounts' AS table_name, TRUE AS kept, count(*) AS n_rows FROM customer
+      UNION ALL SELECT 'dimcustomer', TRUE, count(*) FROM customer UNION ALL SELECT 'dimproduct', TRUE, count(*) FROM part
+      UNION ALL SELECT 'dimsalesterritory', FALSE, count(*) + 1 FROM nation UNION ALL SELECT 'dimscenario', FALSE, count(*) FROM orders
+      UNION ALL SELECT 'factfinance', FALSE, count(*) FROM orders UNION ALL SELECT 'factresellersales', FALSE, count(*) FROM sales""",
+    "load_new_rows": f"""SELECT {_CLASSES}, (SELECT count(*) FROM orders WHERE o_orderkey % 4 = 0) AS rows_added FROM orders""",
+    "load_new_rows_added": f"SELECT {_CLASSES} FROM orders EXCEPT ALL SELECT {_CLASSES} FROM orders WHERE o_orderkey % 4 <> 0",
+    "key_gate_table": f"WITH {_GATED} SELECT * EXCLUDE (n) FROM counted WHERE l_orderkey IS NOT NULL AND n = 1",
+    "key_gate_quarantine": f"""WITH {_GATED} SELECT * EXCLUDE (n), CASE WHEN l_orderkey IS NULL THEN 'null' ELSE 'repeated' END AS key_state
+      FROM counted WHERE l_orderkey IS NULL OR n > 1""",
     "report_csv_roundtrip": AVG_AMOUNT,
     "load_mapped_tables": """SELECT 'r' AS table_name, TRUE AS found, count(*) AS n_rows, 1 AS n_absent FROM region
       UNION ALL SELECT 'n', TRUE, count(*), 1 FROM nation""",

@@ -13,17 +13,19 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tallyward.functions.dates import date_of_key, month_text, parse_date, rows_of_year, short_date_flag, since, year_text
 from tallyward.functions.text import phone_number
 from tallyward.operators import duplicates, keys, profile
+from tallyward.operators.gate import write_gated
 from tallyward.operators.histogram import histogram
+from tallyward.operators.increment import load_new_rows
 from tallyward.operators.joins import fact_dim_join
 from tallyward.operators.repair import repair_dates as repair_date_columns
 from tallyward.operators.rules import common_log, failing_rows
-from tallyward.plans import charts, questions
+from tallyward.plans import charts, etl, questions
 from tallyward.plans.cleansing import all_errors, all_key_violations, normalize, table_errors
 from tallyward.plans.specs import SALES_KEYS, spec_of
-from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, write_by_year, write_layer
+from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, stage_layer, write_by_year, write_layer
 from tallyward.sources.reports import write_report
 from tallyward.sources.shared import shared_folder
-from tallyward.sources.tables import load_tables
+from tallyward.sources.tables import Tables, load_tables
 from tallyward.workload import standins
 from tallyward.workload.schemas import SCHEMAS
 
@@ -136,6 +138,69 @@ def error_log_roundtrip_all(spark, t):
     return reduce(DataFrame.unionByName, [back.withColumn("rows_written", n) for back, n in _stored_logs(spark, t)])
 
 
+@query
+def replace_roundtrip(spark, t):
+    """A table in two versions: the second, made from the first as read, replaces it while a third is never committed."""
+    root = shared_folder(spark)
+    first = write_layer(t["orders"], root, RAW, "orders")
+    changed = read_layer(spark, root, RAW, "orders").where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    second = write_layer(changed, root, RAW, "orders")
+    stage_layer(t["orders"].limit(10), root, RAW, "orders")
+    counts = {"first_rows": first, "second_rows": second}
+    return read_layer(spark, root, RAW, "orders").withColumns({k: F.lit(v).cast("bigint") for k, v in counts.items()})
+
+
+@query
+def resumed_run(spark, t):
+    """Raw tables of a run that goes on after another one was ended behind its third table."""
+    root, star = shared_folder(spark), Tables(_star(t))
+    etl.Run(spark, root).stage_raw({n: star[n] for n in list(star)[:3]}, False)
+    run = etl.Run(spark, root)
+    run.stage_raw(star, False)
+    run.publish()
+    rows = [read_layer(spark, root, RAW, n).select(F.lit(n).alias("table_name"), F.lit((n, RAW) in run.journal.kept).alias("kept")) for n in star]
+    return reduce(DataFrame.unionAll, rows).groupBy("table_name", "kept").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _loaded_twice(spark, t):
+    """Classes of orders, loaded in part and then in full; and the rows that the second load has added."""
+    root = shared_folder(spark)
+    load_new_rows(_order_classes({"orders": t["orders"].where("o_orderkey % 4 <> 0")}), root, RAW, "classes")
+    n, added = load_new_rows(_order_classes(t), root, RAW, "classes")
+    return read_layer(spark, root, RAW, "classes"), added, F.lit(n).cast("bigint")
+
+
+@query
+def load_new_rows_(spark, t):
+    """All rows that are stored after both loads."""
+    stored, _, n = _loaded_twice(spark, t)
+    return stored.withColumn("rows_added", n)
+
+
+@query
+def load_new_rows_added(spark, t):
+    """What the second load has added."""
+    return _loaded_twice(spark, t)[1]
+
+
+def _gated_lines(spark, t):
+    """Order lines behind a gate on (order, line), which is not unique; a part of the keys is null."""
+    root = shared_folder(spark)
+    lines = t["lineitem"].select(F.when(F.col("l_partkey") % 50 != 0, F.col("l_orderkey")).alias("l_orderkey"), "l_linenumber", "l_partkey", "l_quantity", "l_shipdate")
+    write_gated(lines, root, NORMALIZED, "lines", ("l_orderkey", "l_linenumber"), "lines_quarantine")
+    return root
+
+
+@query
+def key_gate_table(spark, t):
+    return read_layer(spark, _gated_lines(spark, t), NORMALIZED, "lines")
+
+
+@query
+def key_gate_quarantine(spark, t):
+    return read_layer(spark, _gated_lines(spark, t), NORMALIZED, "lines_quarantine")
+
+
 # Profiles
 
 

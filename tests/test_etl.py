@@ -147,7 +147,7 @@ def test_stale_reports_and_tables_are_removed(spark, source, tmp_path):
     few = load_tables(spark, source, {n: TABLE_NAMES[n] for n in ("DimCustomer", "DimScenario")})
     rows = {(r.table_name, r.layer) for r in etl.run(spark, few, root).collect()}
     assert not (tmp_path / "out/reports/qa1").exists() and (tmp_path / "out/reports/qa5").exists()
-    assert sorted(p.name for p in (tmp_path / "out/raw").iterdir()) == ["dimcustomer", "dimscenario"]
+    assert sorted(p.name for p in (tmp_path / "out/raw").iterdir()) == ["_manifest", "dimcustomer", "dimscenario"]
     assert ("qa1", "reports") in rows
 
 
