@@ -7,8 +7,8 @@ outputs on a word's way add up to its number, and the number leads to its ids. T
 hands to every executor once, where all workers map the same pages.
 
 Encoding. A worker walks the distinct words of a batch through the automaton all together, one byte a step. Words that
-it does not accept are merged exactly, least rank first and leftmost among equals, by a heap. Which words are in the
-lexicon changes the time only, never an id. Decoding joins the bytes of the ids.
+it does not accept are merged exactly, least rank first and leftmost among equals: short ones all together, one merge a
+step, long ones by a heap. Which words are in the lexicon changes the time only, never an id. Decoding joins the bytes of the ids.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; the strings of the file's special
 tokens are one token each, wherever they stand; repeated rows and null ids are rows like any other; an empty table gives
@@ -19,41 +19,49 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
+from mmap import ACCESS_READ, mmap
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import CACHE_ENTRIES, ROWS_AT_ONCE, id_and_text, per_batch, stored
+from tallyward.llm.common import CACHE_ENTRIES, id_and_text, per_batch, stored
 from tallyward.sources.shared import shared_folder
 
 MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 #: Bounds of the lexicon: it is collected and compiled by the driver.
-LEXICON_WORDS = 65_536
+LEXICON_WORDS = 131_072
 WORD_BYTES = 64
-#: Distinct words that a task counts before it puts the counts out.
-COUNTED_WORDS = 300_000
+#: Rows and bytes of text that are words at a time: the more, the fewer words are looked up twice.
+ROWS, BYTES = 2_500, 5_000_000
+#: Words of up to so many bytes are merged together, one merge of each a step; others one by one, by a heap.
+SHORT = 24
+#: Bits of an id in a number that holds two of them.
+BITS = 20
+MASK = (1 << BITS) - 1
+NEVER = 1 << 62
 #: Fixed value: the word pattern of byte-level vocabularies.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Letters and numbers of newer Unicode versions than the public tokenizer knows; it takes them as signs.
-NEWER = regex.compile(
-    "[՘֋-֌࢏౜೜₏₝-₟꟎-꟏꟒꟔꟝꟢꟱꭬-꭭"
-    "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb"
-    "\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8"
-    "\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20"
-    "\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6"
-    "\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de"
-    "\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff"
-    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f]"
-)
+PATTERN = r" ?\p{L}+| ?\p{N}+|'(?:[sdmt]|re|ve|ll)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: First and last letters and numbers of newer Unicode versions than the public tokenizer knows; it takes them as signs.
+NEWER_RANGES = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
+    (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF),
+    (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2),
+    (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD),
+    (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+NEWER = frozenset(chr(c) for first, last in NEWER_RANGES for c in range(first, last + 1))
 WORDS = regex.compile(PATTERN)
 
 
@@ -83,37 +91,94 @@ class Vocabulary:
         self.single = [0] * 256
         for sign, b in signs.items():
             self.single[b] = ids[sign]
-        self.merges = {}
+        if max(ids.values(), default=0) > MASK:
+            raise ValueError("the vocabulary has too many tokens")
+        self.merges = {}  # both ids in one number: the rank and the new id in one number, so the least is the next
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[ids[a], ids[b]] = rank, ids[a + b]
+            self.merges[ids[a] << BITS | ids[b]] = rank << BITS | ids[a + b]
+        keys = sorted(self.merges) or [-1]
+        self.pairs, self.ranked = np.array(keys, np.int64), np.array([self.merges.get(k, NEVER) for k in keys], np.int64)
+        self.single_ids = np.array(self.single, np.int64)
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of a word: merges by rank, then from the left."""
+        return np.frombuffer(self.merged_all([word])[0], np.uint32).tolist()
+
+    def merged_all(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, 4 bytes each, all merged together: the short ones one merge a step in a matrix with a word in each row."""
+        out: list = [None] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for least, most in ((0, 8), (8, 14), (14, SHORT)):
+            places = np.flatnonzero((lengths > least) & (lengths <= most)) if least else np.flatnonzero(lengths <= most)
+            if len(places):
+                for place, ids in zip(places.tolist(), self._merged_matrix([words[p] for p in places.tolist()], lengths[places], most), strict=True):
+                    out[place] = ids
+        for place in np.flatnonzero(lengths > SHORT).tolist():
+            out[place] = np.array(self._merged_long(words[place]), np.uint32).tobytes()
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What `merges` has for pairs of ids, `NEVER` if nothing or if there is no right id."""
+        pair = left << BITS | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((right >= 0) & (self.pairs[at] == pair), self.ranked[at], NEVER)
+
+    def _merged_matrix(self, words: list[bytes], lengths: np.ndarray, width: int) -> list[bytes]:
+        columns = np.arange(width)
+        filled = columns < lengths[:, None]
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[filled] = self.single_ids[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = np.full((len(words), width), NEVER, np.int64)  # of each id with the one after it
+        ranks[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+        done, row = ids.copy(), np.arange(len(words))
+        while len(row):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(row)), at]
+            more = best != NEVER
+            done[row[~more]] = ids[~more]
+            ids, ranks, row, at, best = ids[more], ranks[more], row[more], at[more], best[more]
+            if not len(row):
+                break
+            here, new = np.arange(len(row)), best & MASK
+            source = np.minimum(columns + (columns > at[:, None]), width - 1)  # what is right of the merged pair moves up
+            ids, ranks = np.take_along_axis(ids, source, 1), np.take_along_axis(ranks, source, 1)
+            ids[:, -1], ranks[:, -1] = -1, NEVER
+            ids[here, at] = new
+            after = np.where(at + 1 < width, ids[here, np.minimum(at + 1, width - 1)], -1)
+            ranks[here, at] = self._ranks(new, after)
+            inner = np.flatnonzero(at > 0)
+            ranks[inner, at[inner] - 1] = self._ranks(ids[inner, at[inner] - 1], new[inner])
+        flat, ends = done[done >= 0].astype(np.uint32).tobytes(), (4 * np.cumsum((done >= 0).sum(axis=1))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _merged_long(self, word: bytes) -> list[int]:
+        known = self.merges.get
         ids: list[int] = [self.single[b] for b in word]
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        heap = [(*self.merges[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
+        pairs = [a << BITS | b for a, b in zip(ids, ids[1:], strict=False)]
+        heap = [(self.merges[p], i, p) for i, p in enumerate(pairs) if p in self.merges]
         heapify(heap)
         while heap:
-            _, new, i, pair = heappop(heap)
+            best, i, pair = heappop(heap)
             j = after[i]
-            if j >= len(ids) or (ids[i], ids[j]) != pair:  # one of the two has been merged since
+            if j >= len(ids) or ids[i] < 0 or ids[i] << BITS | ids[j] != pair:  # one of the two has been merged since
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = new, _ = best & MASK, -1
             after[i] = k = after[j]
             if k < len(ids):
                 before[k] = i
-                if (found := self.merges.get((new, ids[k]))) is not None:
-                    heappush(heap, (*found, i, (new, ids[k])))
-            if (h := before[i]) >= 0 and (found := self.merges.get((ids[h], new))) is not None:
-                heappush(heap, (*found, h, (ids[h], new)))
+                if (found := known(pair := new << BITS | ids[k])) is not None:
+                    heappush(heap, (found, i, pair))
+            if (h := before[i]) >= 0 and (found := known(pair := ids[h] << BITS | new)) is not None:
+                heappush(heap, (found, h, pair))
         return [i for i in ids if i >= 0]
 
     def words(self, text: str) -> list[str]:
         """The words of a text; a special token is one word, and no other word is written like it."""
-        if self.cut is None or not self.cut.search(text):
+        if not any(token in text for token in self.special):
             return words_between(text)
         parts = self.cut.split(text)
         return [w for n, part in enumerate(parts) for w in ([part] if n % 2 else words_between(part))]
@@ -122,12 +187,24 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+AS_SIGNS = dict.fromkeys(map(ord, NEWER), "§")
+
+
+def has_newer(text: str) -> bool:
+    """Whether a text has a letter or number that the public tokenizer does not know; most have only older ones."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not NEWER.isdisjoint(text)
+    return False
+
+
 def words_between(text: str) -> list[str]:
     """The words of a text without special tokens."""
-    if text.isascii() or not NEWER.search(text):
+    if not has_newer(text):
         return WORDS.findall(text)
     at, out = 0, []
-    for match in WORDS.finditer(NEWER.sub("§", text)):  # cut as if they were signs, taken from the text itself
+    for match in WORDS.finditer(text.translate(AS_SIGNS)):  # cut as if they were signs, taken from the text itself
         out.append(text[at : match.end()])
         at = match.end()
     return out
@@ -136,8 +213,8 @@ def words_between(text: str) -> list[str]:
 # -- the automaton -----------------------------------------------------------
 
 
-def compiled(words: dict[bytes, list[int]]) -> bytes:
-    """The file of the least automaton that accepts the words, with their ids."""
+def compiled(words: dict[bytes, bytes]) -> bytes:
+    """The file of the least automaton that accepts the words, with their ids, 4 bytes each."""
     states: dict[tuple, int] = {}
     counts: list[int] = []  # words that a state accepts
     keys, targets, outputs, final = [], [], [], []
@@ -176,7 +253,7 @@ def compiled(words: dict[bytes, list[int]]) -> bytes:
     ids = [words[w] for w in ordered]
     columns = [
         np.array(keys, np.uint32), np.array(targets, np.uint32), np.array(outputs, np.uint32), np.array(final, np.uint32),
-        np.cumsum([0, *map(len, ids)]).astype(np.uint32), np.fromiter(chain.from_iterable(ids), np.uint32),
+        np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.uint32), np.frombuffer(b"".join(ids), np.uint32),
     ]
     return np.array([len(c) for c in columns], np.uint32).tobytes() + b"".join(c.tobytes() for c in columns)
 
@@ -185,10 +262,12 @@ class Lexicon:
     """A compiled automaton, mapped from its file."""
 
     def __init__(self, path: str) -> None:
-        file = np.memmap(path, np.uint32, "r")
-        ends = np.cumsum([6, *file[:6].tolist()])
-        self.keys, self.targets, self.outputs, self.final, self.starts, ids = (file[a:b] for a, b in zip(ends, ends[1:], strict=False))
-        self.ids = memoryview(np.ascontiguousarray(ids)).cast("B")
+        with open(path, "rb") as file:
+            self.map = mmap(file.fileno(), 0, access=ACCESS_READ)
+        numbers = np.frombuffer(self.map, np.uint32)
+        ends = np.cumsum([6, *numbers[:6].tolist()])
+        self.keys, self.targets, self.outputs, self.final, self.starts, _ = (numbers[a:b] for a, b in zip(ends, ends[1:], strict=False))
+        self.ids_at = int(ends[-2])
         self.root = len(self.final) - 1
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -212,9 +291,10 @@ class Lexicon:
             state, number, step = self.targets[arc], number[on] + self.outputs[arc], step + 1
         return out
 
-    def ids_of(self, number: int) -> bytes:
-        a, b = self.starts[number : number + 2].tolist()
-        return bytes(self.ids[4 * a : 4 * b])
+    def ids_of(self, numbers: np.ndarray) -> list[bytes]:
+        """The ids of the words with these numbers; of -1, any."""
+        first, last = (4 * (self.ids_at + self.starts[n].astype(np.int64)) for n in (numbers, numbers + 1))
+        return [self.map[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
 
 
 class Encoder:
@@ -224,22 +304,25 @@ class Encoder:
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.merged: dict[str, bytes] = {}
 
-    def _merged(self, word: str) -> bytes:
-        if (known := self.merged.get(word)) is None:
-            if len(self.merged) >= CACHE_ENTRIES:
-                self.merged.clear()
-            special = self.vocabulary.special.get(word)
-            ids = self.vocabulary.merged(word.encode()) if special is None else [special]
-            known = np.array(ids, np.uint32).tobytes()
-            if len(word) <= WORD_BYTES:
-                self.merged[word] = known
-        return known
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """The ids of words that are not in the lexicon."""
+        new = [w for w in words if w not in self.merged]
+        if len(self.merged) + len(new) > CACHE_ENTRIES:
+            self.merged.clear()
+            new = words
+        known = dict(zip(new, self.vocabulary.merged_all([w.encode() for w in new]), strict=True))
+        for word in self.vocabulary.special.keys() & known.keys():
+            known[word] = np.array([self.vocabulary.special[word]], np.uint32).tobytes()
+        self.merged.update((w, ids) for w, ids in known.items() if len(w) <= WORD_BYTES)
+        return [known[w] if w in known else self.merged[w] for w in words]
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.vocabulary.words(text) for text in texts]
         words = list(set(chain.from_iterable(split)))
-        numbers = self.lexicon.numbers([w.encode() for w in words]).tolist()
-        ids = {w: self.lexicon.ids_of(n) if n >= 0 else self._merged(w) for w, n in zip(words, numbers, strict=True)}
+        numbers = self.lexicon.numbers([w.encode() for w in words])
+        ids = dict(zip(words, self.lexicon.ids_of(numbers), strict=True))
+        other = [words[at] for at in np.flatnonzero(numbers < 0).tolist()]
+        ids.update(zip(other, self._merged(other), strict=True))
         return [np.frombuffer(b"".join(map(ids.__getitem__, s)), np.int32) for s in split]
 
 
@@ -257,28 +340,14 @@ def encoder_of(file: bytes, name: str) -> Encoder:
 # -- Spark -------------------------------------------------------------------
 
 
-def word_counts(rows: DataFrame, vocabulary: bytes) -> DataFrame:
-    """(word, n) of all words of at most `WORD_BYTES` bytes in the column `text` that occur more than once."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(word, n) of all words of at most `WORD_BYTES` bytes in the column `text` that occur more than once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = vocabulary_of(shared.value), Counter()
-
-        def out() -> pa.RecordBatch:
-            short = [w for w in counts if len(w.encode()) <= WORD_BYTES and w not in own.special]
-            return pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array([counts[w] for w in short], pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                for text in batch.column(0).slice(start, ROWS_AT_ONCE).to_pylist():
-                    counts.update(own.words(text))
-                    if len(counts) > COUNTED_WORDS:
-                        yield out()
-                        counts.clear()
-        yield out()
-
-    found = rows.select("text").mapInArrow(run, "word string, n long")
-    return found.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    Counted by Spark itself; its pattern knows other Unicode versions, which changes the choice of words only.
+    """
+    words = rows.select(F.explode(F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).alias("word"))
+    counts = words.filter(F.octet_length("word") <= WORD_BYTES).groupBy("word").agg(F.count("*").alias("n"))
+    return counts.filter("n > 1")
 
 
 def frequent_words(counts: DataFrame, limit: int) -> list[str]:
@@ -310,8 +379,9 @@ def shared_file(spark: SparkSession, content: bytes) -> str:
 def with_lexicon(rows: DataFrame, vocabulary: bytes, limit: int = LEXICON_WORDS) -> str:
     """Compiles the frequent words of the column `text` and hands them out; returns the file's name."""
     own = Vocabulary(vocabulary)
-    words = frequent_words(word_counts(rows, vocabulary), limit)
-    return shared_file(rows.sparkSession, compiled({w.encode(): own.merged(w.encode()) for w in words}))
+    words = frequent_words(word_counts(rows), limit)
+    coded = [w.encode() for w in words]
+    return shared_file(rows.sparkSession, compiled(dict(zip(coded, own.merged_all(coded), strict=True))))
 
 
 def encoded(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", text: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -322,6 +392,15 @@ def encoded(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", text: s
     name = with_lexicon(rows, vocabulary, lexicon_words)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(1)).to_numpy()
+            start = 0
+            while start < len(sizes):
+                fit = int(np.searchsorted(np.cumsum(sizes[start : start + ROWS]), BYTES, "right"))
+                yield make(batch.slice(start, max(1, fit)))
+                start += max(1, fit)
+
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = encoder_of(shared.value, name)
         ids = own.encode_batch(batch.column(1).to_pylist())
@@ -331,7 +410,7 @@ def encoded(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", text: s
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(map(len, ids), pa.int64()), pa.array(back, pa.string())], ["doc_id", "ids", "n_tokens", "decoded"])
 
-    return rows.mapInArrow(per_batch(make), "doc_id long, ids array<int>, n_tokens long, decoded string")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, decoded string")
 
 
 def decoded(rows: DataFrame, model: str = MODEL, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,7 +33,7 @@ def fuzz():
 def own(file, words, tmp_path):
     vocabulary = b.Vocabulary(file)
     path = tmp_path / "lexicon"
-    path.write_bytes(b.compiled({w.encode(): vocabulary.merged(w.encode()) for w in words}))
+    path.write_bytes(b.compiled({w.encode(): vocabulary.merged_all([w.encode()])[0] for w in words}))
     return b.Encoder(vocabulary, b.Lexicon(str(path)))
 
 
@@ -58,10 +59,10 @@ def test_automaton_is_least_and_numbers_its_words(file, tmp_path):
     rng = random.Random(2)
     words = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 6))) for _ in range(300)})
     path = tmp_path / "lexicon"
-    path.write_bytes(b.compiled({w: [i, i + 1] for i, w in enumerate(words)}))
+    path.write_bytes(b.compiled({w: np.array([i, i + 1], np.uint32).tobytes() for i, w in enumerate(words)}))
     lexicon = b.Lexicon(str(path))
     assert lexicon.numbers(words).tolist() == list(range(len(words)))
-    assert [lexicon.ids_of(i) for i in (0, 7)] == [bytes([0, 0, 0, 0, 1, 0, 0, 0]), bytes([7, 0, 0, 0, 8, 0, 0, 0])]
+    assert lexicon.ids_of(np.array([0, 7])) == [bytes([0, 0, 0, 0, 1, 0, 0, 0]), bytes([7, 0, 0, 0, 8, 0, 0, 0])]
     others = [w + b"x" for w in words] + [b"", b"d", b"abcabcabc" * 20]
     assert set(lexicon.numbers(others).tolist()) == {-1}
     # The least automaton has one state per distinct set of endings.
@@ -86,10 +87,17 @@ def test_frequent_words_are_bounded(spark):
     assert b.frequent_words(counts.limit(0), 10) == []
 
 
-def test_counts_are_put_out_in_parts(spark, file, monkeypatch):
-    monkeypatch.setattr(b, "COUNTED_WORDS", 2)
-    rows = spark.createDataFrame([("a b c a",), ("a b <|endoftext|>",), ("x" * 70 + " " + "x" * 70,), ("",)], "text string")
-    assert {r.word: r.n for r in b.word_counts(rows, file).collect()} == {"a": 2, " b": 2}
+def test_counts_of_words(spark):
+    rows = spark.createDataFrame([("a b c a",), ("a b <|endoftext|>",), ("x" * 70 + " " + "x" * 70,), ("",), ("it's d's éé éé",)], "text string")
+    assert {r.word: r.n for r in b.word_counts(rows).collect()} == {"a": 2, " b": 2, "'s": 2, " éé": 2}
+
+
+def test_both_ways_to_merge_agree(file, fuzz):
+    vocabulary = b.Vocabulary(file)
+    words = {w.encode() for t in fuzz for w in vocabulary.words(t) if len(w) < 100}
+    words = sorted(words)
+    assert [np.frombuffer(i, np.uint32).tolist() for i in vocabulary.merged_all(words)] == [vocabulary._merged_long(w) for w in words]
+    assert vocabulary.merged_all([]) == []
 
 
 def expected(library, text):
