@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def stage_new_rows(df: DataFrame, root: str, layer: str, name: str, base: Stored
             parts = [spark.read.schema(PRINTS).parquet(f"{root}/{layer}/{folder}") for folder in base.prints]
         else:  # written without them
             folder = _stage_prints(rows_of(spark, root, layer, base), root, layer, name)
-            base = Stored(**{**base.__dict__, "prints": (folder,)})
+            base = replace(base, prints=(folder,))
             parts = [spark.read.schema(PRINTS).parquet(f"{root}/{layer}/{folder}")]
         before = parts[0]
         for part in parts[1:]:
@@ -66,8 +68,8 @@ def stage_new_rows(df: DataFrame, root: str, layer: str, name: str, base: Stored
     added = stage_layer(rows, root, layer, name)
     prints = _stage_prints(rows_of(spark, root, layer, added), root, layer, name)
     if base is None:
-        return Stored(**{**added.__dict__, "prints": (prints,)})
-    return Stored((*base.folders, *added.folders), base.schema, base.n_rows + added.n_rows, base.partition_by, (*base.prints, prints))
+        return replace(added, prints=(prints,))
+    return replace(base, folders=(*base.folders, *added.folders), n_rows=base.n_rows + added.n_rows, prints=(*base.prints, prints))
 
 
 def _stage_prints(df: DataFrame, root: str, layer: str, name: str) -> str:

@@ -33,8 +33,8 @@ class Conflict(RuntimeError):
 class Stored:
     """One stored table: its folders below the layer, whose rows together are the table.
 
-    `prints` are folders with the fingerprints of its rows, one for each folder, if they are kept; `facts` holds folders
-    of what was derived from it.
+    `prints` are folders with the fingerprints of its rows, one for each folder, if they are kept; `buckets` and
+    `bucket_by` say how the first folder is dealt by key, if it is; `facts` holds folders of what was derived from it.
     """
 
     folders: tuple[str, ...]
@@ -42,6 +42,8 @@ class Stored:
     n_rows: int
     partition_by: tuple[str, ...] = ()
     prints: tuple[str, ...] = ()
+    buckets: int = 0
+    bucket_by: tuple[str, ...] = ()
     facts: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -57,7 +59,7 @@ class Stored:
 
     @staticmethod
     def from_json(read: Mapping) -> Stored:
-        tuples = ("folders", "partition_by", "prints")
+        tuples = ("folders", "partition_by", "prints", "bucket_by")
         return Stored(**{k: tuple(v) if k in tuples else v for k, v in read.items()})
 
 
@@ -115,11 +117,21 @@ def commit(
         raise Conflict(f"{layer} is changed by other writers all the time")
     used = {folder for entry in after.values() for folder in entry.all_folders} | set(kept)
     for folder in sorted({folder for entry in before.values() for folder in entry.all_folders} - used):
-        remove(spark, f"{root}/{layer}/{folder}")
+        _remove_unused(spark, f"{root}/{layer}", folder, used)
     if number:
         remove(spark, f"{root}/{layer}/{MANIFEST}/{number:010d}.json")
 
 
+def _remove_unused(spark: SparkSession, path: str, folder: str, used: Collection[str]) -> None:
+    """Remove a folder, but not those of its partitions that are used by themselves."""
+    if not any(u.startswith(f"{folder}/") for u in used):
+        remove(spark, f"{path}/{folder}")
+        return
+    for child in folders_in(spark, f"{path}/{folder}"):
+        if "=" in child and f"{folder}/{child}" not in used:
+            remove(spark, f"{path}/{folder}/{child}")
+
+
 def remove_orphans(spark: SparkSession, root: str, layer: str, kept: Collection[str] = ()) -> list[str]:
     """Remove what no manifest names: folders of writers that stopped, and of tables taken out. Not while others write.
 

@@ -221,6 +221,15 @@ _MEAN = "CAST(sum(CAST(CAST(sales_amount AS VARCHAR) AS DECIMAL(28, 10))) AS DOU
 ORDER_CLASSES = """classes AS (
   SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders)"""
 
+_HOT_JOIN = """SELECT CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_partkey END AS "ProductKey", p_name AS "ProductName", l_orderkey, l_linenumber, l_extendedprice
+  FROM lineitem JOIN part ON p_partkey = CASE WHEN l_linenumber % 3 = 0 THEN 1 ELSE l_partkey END"""
+
+
+def _ranked(order: str, k: int) -> str:
+    return f"""SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%m') AS month,
+      rank() OVER (PARTITION BY strftime(o_orderdate, '%m') ORDER BY o_totalprice {order}) AS rank FROM orders QUALIFY rank <= {k}"""
+
+
 _CLASSES = "o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year"
 
 _GATED = """lines AS (
@@ -244,6 +253,19 @@ ORACLE: dict[str, str] = {
     "key_gate_table": f"WITH {_GATED} SELECT * EXCLUDE (n) FROM counted WHERE l_orderkey IS NOT NULL AND n = 1",
     "key_gate_quarantine": f"""WITH {_GATED} SELECT * EXCLUDE (n), CASE WHEN l_orderkey IS NULL THEN 'null' ELSE 'repeated' END AS key_state
       FROM counted WHERE l_orderkey IS NULL OR n > 1""",
+    "split_key_join": _HOT_JOIN,
+    "bucketed_join": _HOT_JOIN,
+    "rank_within_first": _ranked("DESC NULLS LAST", 1),
+    "rank_within_three": _ranked("ASC NULLS FIRST", 3),
+    "rank_within_hundred": _ranked("DESC NULLS LAST", 100),
+    "rank_within_ties": """SELECT l_returnflag, l_quantity, l_orderkey, l_partkey, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity ASC NULLS FIRST) AS rank
+      FROM lineitem QUALIFY rank <= 100""",
+    "sketch_summary": """SELECT 'o_totalprice' AS column_name, count(*) AS n_rows, count(o_totalprice) AS n_values, min(o_totalprice) AS min,
+      max(o_totalprice) AS max, TRUE AS quartiles_within, TRUE AS distinct_within FROM orders""",
+    "measure_after_replace": f"""WITH {SALES} SELECT "ProductKey", CAST(year("OrderDate") AS INTEGER) AS "OrderDate_year",
+      round(sum(CASE WHEN year("OrderDate") = 1998 THEN 2 * "SalesAmount" ELSE "SalesAmount" END), 2) AS amount, count(*) AS n_rows FROM sales GROUP BY 1, 2""",
+    "dates_by_evidence": f"""SELECT o_orderkey, {", ".join(
+        f"CASE WHEN o_orderkey % 97 <> 0 AND o_orderkey % 10 <> 3 THEN o_orderdate END AS {c}" for c in ("day_first", "month_first", "month_name", "with_time"))} FROM orders""",
     "report_csv_roundtrip": AVG_AMOUNT,
     "load_mapped_tables": """SELECT 'r' AS table_name, TRUE AS found, count(*) AS n_rows, 1 AS n_absent FROM region
       UNION ALL SELECT 'n', TRUE, count(*), 1 FROM nation""",

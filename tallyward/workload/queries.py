@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tallyward.functions.date_evidence import parse_by_evidence
 from tallyward.functions.dates import date_of_key, month_text, parse_date, rows_of_year, short_date_flag, since, year_text
 from tallyward.functions.text import phone_number
 from tallyward.operators import duplicates, keys, profile
@@ -17,11 +18,16 @@ from tallyward.operators.gate import write_gated
 from tallyward.operators.histogram import histogram
 from tallyward.operators.increment import load_new_rows
 from tallyward.operators.joins import fact_dim_join
+from tallyward.operators.ranking import rank_within
 from tallyward.operators.repair import repair_dates as repair_date_columns
 from tallyward.operators.rules import common_log, failing_rows
+from tallyward.operators.sketches import DISTINCT_DEVIATION, RANK_ERROR, sketch_folders, stored_summary
+from tallyward.operators.skew import split_join
 from tallyward.plans import charts, etl, questions
 from tallyward.plans.cleansing import all_errors, all_key_violations, normalize, table_errors
+from tallyward.plans.measures import replace_partition, stored_sum
 from tallyward.plans.specs import SALES_KEYS, spec_of
+from tallyward.sources.buckets import join_bucketed, write_bucketed
 from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, read_layer, stage_layer, write_by_year, write_layer
 from tallyward.sources.reports import write_report
 from tallyward.sources.shared import shared_folder
@@ -201,6 +207,93 @@ def key_gate_quarantine(spark, t):
     return read_layer(spark, _gated_lines(spark, t), NORMALIZED, "lines_quarantine")
 
 
+def _hot_lines(t):
+    """Order lines of which a third is of one product."""
+    key = F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("bigint")
+    return t["lineitem"].select(key.alias("ProductKey"), "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+_HOT_COLUMNS = ["ProductKey", "ProductName", "l_orderkey", "l_linenumber", "l_extendedprice"]
+
+
+@query
+def split_key_join(spark, t):
+    return split_join(_hot_lines(t), standins.products(t["part"]), "ProductKey", _HOT_COLUMNS, broadcast_small=False)
+
+
+@query
+def bucketed_join(spark, t):
+    root = shared_folder(spark)
+    write_bucketed(_hot_lines(t), root, NORMALIZED, "lines", "ProductKey", 8)
+    return join_bucketed(spark, root, NORMALIZED, "lines", standins.products(t["part"]), _HOT_COLUMNS)
+
+
+def _ranked_orders(t, k, descending):
+    orders = t["orders"].select("o_orderkey", "o_totalprice", month_text(F.col("o_orderdate")).alias("month"))
+    return rank_within(orders, "month", "o_totalprice", k, descending).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def rank_within_first(spark, t):
+    return _ranked_orders(t, 1, True)
+
+
+@query
+def rank_within_three(spark, t):
+    return _ranked_orders(t, 3, False)
+
+
+@query
+def rank_within_hundred(spark, t):
+    return _ranked_orders(t, 100, True)
+
+
+@query
+def rank_within_ties(spark, t):
+    """Quantities have 50 values, so each rank is shared by very many lines."""
+    lines = t["lineitem"].select("l_returnflag", "l_quantity", "l_orderkey", "l_partkey")
+    return rank_within(lines, "l_returnflag", "l_quantity", 100, False).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def sketch_summary(spark, t):
+    """Summary of a table loaded in two parts, from its stored sketches; and whether it keeps its bounds against all rows."""
+    root = shared_folder(spark)
+    load_new_rows(t["orders"].where("o_orderkey % 3 <> 0"), root, RAW, "orders")
+    sketch_folders(spark, root, RAW, "orders")
+    load_new_rows(t["orders"], root, RAW, "orders")
+    summary = stored_summary(spark, root, RAW, "orders").where("column_name = 'o_totalprice'")
+    v = F.col("o_totalprice")
+    quartiles = [F.abs(F.avg((v < F.col(f"p{p}")).cast("double")) - p / 100) <= 2 * RANK_ERROR for p in (25, 50, 75)]
+    near = F.abs(F.max("n_distinct") / F.countDistinct(v) - 1) <= 5 * DISTINCT_DEVIATION
+    columns = ["column_name", "n_rows", "n_values", "min", "max"]
+    met = t["orders"].select(v, F.lit("o_totalprice").alias("column_name")).join(summary, "column_name")
+    return met.groupBy(*columns).agg(reduce(lambda a, b: a & b, quartiles).alias("quartiles_within"), near.alias("distinct_within"))
+
+
+@query
+def measure_after_replace(spark, t):
+    """Sums by product and year, kept per year folder, after the sales of one year were replaced."""
+    root = shared_folder(spark)
+    clean = normalize(standins.sales(t["lineitem"], t["orders"]), spec_of("factresellersales"))
+    write_by_year(clean, root, NORMALIZED, "sales", "OrderDate")
+    measure = (spark, root, NORMALIZED, "sales", "by_product", ["ProductKey", "OrderDate_year"], {"amount": "SalesAmount"})
+    stored_sum(*measure)
+    doubled = rows_of_year(clean, "OrderDate", YEAR).withColumns({"SalesAmount": F.col("SalesAmount") * 2, "OrderDate_year": F.lit(YEAR)})
+    replace_partition(doubled, root, NORMALIZED, "sales", YEAR)
+    return stored_sum(*measure).withColumn("amount", F.round("amount", 2))
+
+
+@query
+def dates_by_evidence(spark, t):
+    """Dates written in another order in each column, in which many a text could be read in two."""
+    d, key = F.col("o_orderdate"), F.col("o_orderkey")
+    text = lambda pattern: F.when(key % 97 == 0, None).when(key % 10 == 3, F.lit("n/a")).otherwise(F.date_format(d, pattern))
+    patterns = {"day_first": "dd/MM/yyyy", "month_first": "MM/dd/yyyy", "month_name": "MMM d, yyyy", "with_time": "yyyy-MM-dd'T'HH:mm:ss"}
+    texts = t["orders"].select("o_orderkey", *[text(p).alias(n) for n, p in patterns.items()])
+    return parse_by_evidence(texts, list(patterns))
+
+
 # Profiles
 
 
