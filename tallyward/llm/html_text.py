@@ -2,10 +2,10 @@
 
 A page is read into a tree of its elements, with the implied ends of HTML. What is never article text goes first: menus,
 headers and footers (but the titled header of an article), sidebars, forms, scripts, styles and hidden parts. Containers that
-call themselves adverts, notices or comments go if links dominate in them or their density is below the threshold (see
-next), unless they hold most of the text; one line that calls itself an advert goes in any case, and titles are no
-containers. Then every node gets its density: characters per tag, weighted by how little of them is link text
-(see `_densities`). The node whose children's densities have the greatest sum is the body of the article; the least
+call themselves adverts or notices go if links dominate in them or their density is below the threshold (see next),
+unless they hold most of the text; those that call themselves reader comments go whatever they hold, and one line that
+calls itself an advert goes in any case. Paragraphs and titles are no containers. Then every node gets its density: characters per tag, weighted by how little of them is link text
+(see `_densities`). The node whose children's densities have the greatest sum, inside a `main` element if there is one, is the body of the article; the least
 density on its path up to `body` is the threshold, and other subtrees of at least that density add their own
 greatest-sum node. Inside an `article` or `main` element the whole element is taken, as it marks the article itself; on a
 page that has one, only such elements are added.
@@ -23,6 +23,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,6 +61,10 @@ NOT_TEXT_NAMES = set(
     "pager pagination paywall popup promo promotion related replies respond share sharing sidebar signup social sponsor sponsored sponsors subscribe "
     "subscription toolbar widget widgets".split()
 )
+#: Those of reader comments, which go whatever they hold.
+COMMENTS = set("comment comments comentarios commentaires kommentare discussion disqus replies respond".split())
+#: Elements that may be a container by their name; others are one if blocks lie in them. Paragraphs and titles never are.
+CONTAINERS = set("article aside details div dl figure form footer header main menu nav ol section table ul".split())
 ADVERTS = set("ad ads adbox adslot adsense advert adverts advertisement advertising sponsor sponsored sponsors".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 KEEP = {"html", "body", "article", "main"}
@@ -80,6 +85,7 @@ class Page:
 
     def _read(self, source: str) -> None:
         open_nodes, at, size = [0], 0, len(source)
+        self._open = Counter()  # open elements of each kind, so that no stack is searched for one that is not there
         while at < size:
             found = MARKUP.search(source, at)
             self._text(open_nodes[-1], source[at : found.start() if found else size])
@@ -107,6 +113,7 @@ class Page:
                 at = end.end() if end else size
             elif tag not in VOID and not found["attributes"].rstrip().endswith("/") or tag in BLOCKS - VOID:
                 open_nodes.append(node)
+                self._open[tag] += 1
 
     def _text(self, node: int, text: str) -> None:
         if text:
@@ -114,12 +121,13 @@ class Page:
 
     def _close(self, open_nodes: list[int], depth: int) -> None:
         for node in reversed(open_nodes[depth:]):
+            self._open[self.tags[node]] -= 1
             if self.tags[node] in BLOCKS:
                 self.events.append((node, None))
         del open_nodes[depth:]
 
     def _end(self, open_nodes: list[int], tag: str) -> None:
-        if tag in ("html", "body"):
+        if tag in ("html", "body") or not self._open[tag]:
             return
         for depth in range(len(open_nodes) - 1, 0, -1):
             if self.tags[open_nodes[depth]] == tag:
@@ -131,6 +139,8 @@ class Page:
         ends, stops = IMPLIED_END.get(tag, (set(), set()))
         if tag in BLOCKS and tag not in ("td", "th", "tr", "tbody", "thead", "tfoot"):
             ends, stops = ends | {"p"}, stops | ({"table", "td", "th", "button", "object"} if not ends else set())
+        if not any(self._open[kind] for kind in ends):
+            return
         for depth in range(len(open_nodes) - 1, 0, -1):
             kind = self.tags[open_nodes[depth]]
             if kind in stops:
@@ -143,29 +153,36 @@ class Page:
 
 def _dropped(page: Page) -> tuple[list[bool], list[int]]:
     """Whether a node is, or lies in, something that is no article text; and the containers that only call themselves so."""
-    holds, titled = [False] * len(page.tags), [False] * len(page.tags)  # an article or main element, a heading
-    for node in range(len(page.tags) - 1, 0, -1):
+    size = len(page.tags)
+    holds, titled, holds_main = [False] * size, [False] * size, [False] * size  # an article or main element, a heading, a main element
+    for node in range(size - 1, 0, -1):
         if titled[node] or page.tags[node] in HEADINGS:
             titled[page.parents[node]] = True
         if holds[node] or page.tags[node] in ("article", "main"):
             holds[page.parents[node]] = True
+        if holds_main[node] or page.tags[node] == "main":
+            holds_main[page.parents[node]] = True
     called = []
     holds_blocks = {parent for tag, parent in zip(page.tags, page.parents, strict=True) if tag in BLOCKS}
-    dropped, in_article = [False] * len(page.tags), [False] * len(page.tags)
-    for node in range(1, len(page.tags)):
+    dropped, in_article = [False] * size, [False] * size
+    for node in range(1, size):
         tag, parent = page.tags[node], page.parents[node]
         in_article[node] = in_article[parent] or tag in ("article", "main")
         dropped[node] = dropped[parent] or tag in NOT_TEXT or tag == "header" and not holds[node] and not (in_article[node] and titled[node])
-        if not dropped[node] and page.attributes[node].strip(" /") and tag not in KEEP and not holds[node]:
+        if not dropped[node] and page.attributes[node].strip(" /") and tag not in ("html", "body", "main") and not holds_main[node]:
             given = {k.lower(): (v or "").strip("\"'").lower() for k, v in ATTRIBUTE.findall(page.attributes[node])}
             words = set(NAME.findall(f"{given.get('class', '')} {given.get('id', '')}"))
             named = bool(words & NOT_TEXT_NAMES) and not words & {"no", "has", "with", "without"}
             style = given.get("style", "").replace(" ", "")
             unseen = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-            advert = named and bool(words & ADVERTS) and node not in holds_blocks
-            dropped[node] = unseen or advert or given.get("role", "") in NOT_TEXT_ROLES
-            if named and not dropped[node] and tag not in HEADINGS:
-                called.append(node)
+            container = tag in CONTAINERS or node in holds_blocks and tag not in HEADINGS and tag != "p"
+            if named and container and words & COMMENTS:
+                dropped[node] = True
+            elif tag != "article" and not holds[node]:
+                advert = named and bool(words & ADVERTS) and node not in holds_blocks
+                dropped[node] = unseen or advert or given.get("role", "") in NOT_TEXT_ROLES
+                if named and container and not dropped[node]:
+                    called.append(node)
     return dropped, called
 
 
@@ -215,11 +232,13 @@ def _densities(page: Page, dropped: list[bool]) -> tuple[list[float], list[int],
 def _path(page: Page, density: list[float]) -> tuple[int, float, list[float]]:
     """The node of the greatest sum, the least density on its path up to `body`, and the sums."""
     size, parents = len(page.tags), page.parents
-    below = [0.0] * size
+    below, in_main = [0.0] * size, [False] * size
     for node in range(1, size):
         below[parents[node]] += density[node]
+        in_main[node] = in_main[parents[node]] or page.tags[node] == "main"
     sums = [below[i] or density[i] for i in range(size)]  # a node without element children stands for its own text
-    best = max(range(size), key=lambda i: (sums[i], -i))
+    inside = [i for i in range(size) if in_main[i] and sums[i]]  # what a page calls its main part has its article
+    best = max(inside or range(size), key=lambda i: (sums[i], -i))
     if not sums[best]:
         best = 0
     threshold, node = density[best], best
