@@ -78,13 +78,13 @@ def _occurrences(length: int):
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
-        for key, crc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for key, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             data = text.encode("utf-8", "surrogatepass")
             whole = memoryview(data)
-            out += ((h, xxhash.xxh64_intdigest(whole[lo : lo + n + length - 1], d) - (1 << 63), key, crc, lo, n, d) for h, lo, n, d in anchors(data, length))
+            out += ((h, xxhash.xxh64_intdigest(whole[lo : lo + n + length - 1], d) - (1 << 63), key, mark, lo, n, d) for h, lo, n, d in anchors(data, length))
         columns = list(zip(*out, strict=True)) or [[]] * 7
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "around", "k", "crc", "lo", "n", "d"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "around", "k", "mark", "lo", "n", "d"])
 
     return per_batch(make)
 
@@ -135,11 +135,11 @@ def _induced(length: int):
     def shard(rows: list[tuple]) -> pa.RecordBatch:
         out = []
         found = repeated_windows([(data, n, d) for *_, n, d, _, data in rows], length)
-        for i, (_, key, crc, lo, _, d, counted, _) in enumerate(rows):
+        for i, (_, key, mark, lo, _, d, counted, _) in enumerate(rows):
             if not counted:
-                out += ((key, crc, lo + d - high, lo + d - low + length) for low, high in _runs(found[i]))
+                out += ((key, mark, lo + d - high, lo + d - low + length) for low, high in _runs(found[i]))
         columns = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k", "crc", "start", "end"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["k", "mark", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -155,8 +155,8 @@ def _induced(length: int):
     return run
 
 
-STRETCH = "k long, crc long, start long, end long"
-WANTED = "h long, k long, crc long, lo int, n int, d int, counted boolean"
+STRETCH = "k long, mark long, start long, end long"
+WANTED = "h long, k long, mark long, lo int, n int, d int, counted boolean"
 
 
 def _cut(length: int):
@@ -165,13 +165,13 @@ def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for key, crc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, mark, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                out += ((w["h"], key, crc, w["lo"], w["n"], w["d"], w["counted"], data[w["lo"] : w["lo"] + w["n"] + length - 1]) for w in wanted)
+                out += ((w["h"], key, mark, w["lo"], w["n"], w["d"], w["counted"], data[w["lo"] : w["lo"] + w["n"] + length - 1]) for w in wanted)
             for at in range(0, len(out), 50_000):
                 columns = zip(*out[at : at + 50_000], strict=True)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "k", "crc", "lo", "n", "d", "counted", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "k", "mark", "lo", "n", "d", "counted", "data"])
 
     return run
 
@@ -182,10 +182,10 @@ def _window_hashes(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for h, key, crc, lo, n, d, _, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += ((h, xxhash.xxh64_intdigest(data[i : i + length], d - i) - (1 << 63), key, crc, lo + i) for i in range(n))
+            for h, key, mark, lo, n, d, _, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += ((h, xxhash.xxh64_intdigest(data[i : i + length], d - i) - (1 << 63), key, mark, lo + i) for i in range(n))
             columns = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "window", "k", "crc", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "window", "k", "mark", "start"])
 
     return run
 
@@ -195,36 +195,36 @@ def _marked(found: DataFrame, counts: DataFrame, hot: DataFrame) -> tuple[DataFr
     of several surroundings); those of hot anchors apart."""
     same = Window.partitionBy("h", "around")
     rows = found.join(F.broadcast(hot), "h", "left_anti").join(counts, "h")
-    rows = rows.withColumns({"same": F.count("*").over(same), "number": F.row_number().over(same.orderBy("k", "crc", "lo"))})
-    usual = rows.select("k", "crc", "lo", "n", "d", "h", (F.col("same") > 1).alias("counted"), ((F.col("number") == 1) & (F.col("same") < F.col("n_h"))).alias("wanted"))
+    rows = rows.withColumns({"same": F.count("*").over(same), "number": F.row_number().over(same.orderBy("k", "mark", "lo"))})
+    usual = rows.select("k", "mark", "lo", "n", "d", "h", (F.col("same") > 1).alias("counted"), ((F.col("number") == 1) & (F.col("same") < F.col("n_h"))).alias("wanted"))
     rows = found.join(F.broadcast(hot), "h", "left_semi")
-    groups = rows.groupBy("h", "around").agg(F.count("*").alias("same"), F.min(F.struct("k", "crc", "lo")).alias("one"))
+    groups = rows.groupBy("h", "around").agg(F.count("*").alias("same"), F.min(F.struct("k", "mark", "lo")).alias("one"))
     rows = rows.join(groups, ["h", "around"])
-    very = rows.select("k", "crc", "lo", "n", "d", "h", (F.col("same") > 1).alias("counted"), (F.struct("k", "crc", "lo") == F.col("one")).alias("wanted"))
+    very = rows.select("k", "mark", "lo", "n", "d", "h", (F.col("same") > 1).alias("counted"), (F.struct("k", "mark", "lo") == F.col("one")).alias("wanted"))
     return usual, very
 
 
 def _bytes_of(texts: DataFrame, marked: DataFrame, length: int) -> DataFrame:
-    wanted = marked.filter("wanted").groupBy("k", "crc").agg(F.collect_list(F.struct("h", "lo", "n", "d", "counted")).alias("wanted"))  # of one text
-    return texts.join(wanted, ["k", "crc"]).select("k", "crc", "text", "wanted").mapInArrow(_cut(length), f"{WANTED}, data binary")
+    wanted = marked.filter("wanted").groupBy("k", "mark").agg(F.collect_list(F.struct("h", "lo", "n", "d", "counted")).alias("wanted"))  # of one text
+    return texts.join(wanted, ["k", "mark"]).select("k", "mark", "text", "wanted").mapInArrow(_cut(length), f"{WANTED}, data binary")
 
 
 def repeated_stretches(texts: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Stretches (k, crc, start, end) of texts (k, crc, text) that repeated windows cover; they may overlap."""
-    found = stored(texts.mapInArrow(_occurrences(length), "h long, around long, k long, crc long, lo int, n int, d int"))
+    """Stretches (k, mark, start, end) of texts (k, mark, text) that repeated windows cover; they may overlap."""
+    found = stored(texts.mapInArrow(_occurrences(length), "h long, around long, k long, mark long, lo int, n int, d int"))
     counts = stored(found.groupBy("h").agg(F.count("*").alias("n_h")).filter("n_h > 1"))
     limit = max(hot_rows, found.count() // 10_000)
     hot = counts.filter(F.col("n_h") > limit).select("h")  # at most 10,000 rows, by the limit
     usual, very = _marked(found, counts.filter(F.col("n_h") <= limit), hot)
     usual = stored(usual.filter("counted or wanted"))
-    stretch = lambda marked: marked.filter("counted").select("k", "crc", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("n") - 1 + length).cast("long").alias("end"))
+    stretch = lambda marked: marked.filter("counted").select("k", "mark", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("n") - 1 + length).cast("long").alias("end"))
     shards = _bytes_of(texts, usual, length).repartition(wide_parts(texts.sparkSession), "h").sortWithinPartitions("h")
     out = stretch(usual).unionByName(shards.mapInArrow(_induced(length), STRETCH))
     if not hot.isEmpty():
         very = stored(very.filter("counted or wanted"))
-        windows = stored(_bytes_of(texts, very, length).mapInArrow(_window_hashes(length), "h long, window long, k long, crc long, start long"))
+        windows = stored(_bytes_of(texts, very, length).mapInArrow(_window_hashes(length), "h long, window long, k long, mark long, start long"))
         twice = windows.groupBy("h", "window").agg(F.count("*").alias("times")).filter("times > 1").select("h", "window")
-        twice = windows.join(twice, ["h", "window"]).select("k", "crc", "start", (F.col("start") + length).alias("end"))
+        twice = windows.join(twice, ["h", "window"]).select("k", "mark", "start", (F.col("start") + length).alias("end"))
         out = out.unionByName(stretch(very)).unionByName(twice)
     return out
 
@@ -254,9 +254,9 @@ def _rest(batch: pa.RecordBatch) -> pa.RecordBatch:
 def without_repeats(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row its bytes, the removed ones, their maximal runs, the digest of the rest, and the ends of the runs."""
     rows = id_and_text(docs, doc_id, text).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), F.crc32(F.col("text").cast("binary")).alias("crc"), "text"
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("k"), F.xxhash64(F.lit(1), "text").alias("mark"), "text"  # 128 bits tell id and text
     )
-    stretches = repeated_stretches(rows.select("k", "crc", "text"), length, hot_rows)
-    stretches = stretches.groupBy("k", "crc").agg(F.collect_set(F.struct("start", "end")).alias("stretches"))  # of one text
-    rows = rows.join(stretches, ["k", "crc"], "left").select("doc_id", "text", "stretches")
+    stretches = repeated_stretches(rows.select("k", "mark", "text"), length, hot_rows)
+    stretches = stretches.groupBy("k", "mark").agg(F.collect_set(F.struct("start", "end")).alias("stretches"))  # of one text
+    rows = rows.join(stretches, ["k", "mark"], "left").select("doc_id", "text", "stretches")
     return rows.mapInArrow(per_batch(_rest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")

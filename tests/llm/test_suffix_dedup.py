@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -57,6 +58,44 @@ def test_hot_anchors_by_window_hashes(spark, seed):
     assert found(s.without_repeats(docs, 48, hot_rows=2)) == brute(rows, 48)
 
 
+def test_texts_with_equal_checksums_are_told_apart(spark):
+    """Two texts of rows without an id (and of one id) whose CRC-32 is the same; one shares nothing with any other."""
+    rng = random.Random(11)
+    body = lambda: bytes(rng.choice(b"abcdefgh") for _ in range(260))
+    shared, alone = body(), body()
+    crc = zlib.crc32(shared)
+    alone += with_crc(alone, crc)
+    assert zlib.crc32(alone) == crc
+    for doc_id in (None, 5):
+        rows = [(doc_id, shared.decode()), (doc_id, alone.decode("latin-1")), (9, shared.decode() + "!")]
+        assert found(s.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows, 200)
+
+
+def with_crc(data, wanted):
+    """Characters of ASCII that give the data a checksum; the checksum is linear in their bits."""
+    count = 12
+    base = zlib.crc32(data + b"@" * count)
+    basis: dict[int, tuple[int, int]] = {}
+    for bit in [(at, 1 << k) for at in range(count) for k in range(6)]:
+        changed = bytearray(b"@" * count)
+        changed[bit[0]] ^= bit[1]
+        value, mask = zlib.crc32(data + bytes(changed)) ^ base, 1 << (bit[0] * 6 + bit[1].bit_length() - 1)
+        while value:
+            top = value.bit_length()
+            if top not in basis:
+                basis[top] = value, mask
+                break
+            value, mask = value ^ basis[top][0], mask ^ basis[top][1]
+    left, chosen = wanted ^ base, 0
+    while left:
+        value, mask = basis[left.bit_length()]
+        left, chosen = left ^ value, chosen ^ mask
+    out = bytearray(b"@" * count)
+    for at in range(count):
+        out[at] ^= chosen >> (at * 6) & 63
+    return bytes(out)
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     text = "".join(random.Random(7).choice("abcdefgh") for _ in range(3000))
     want = list(s.anchors(text.encode(), 100))
