@@ -178,10 +178,11 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    groups = stored(duplicate_groups(docs, doc_id, text).filter("group_size > 1").withColumnsRenamed({"digest": "__digest", "keep_id": "__keep", "keep_copies": "__copies", "group_size": "__size"}))
-    rows = docs.withColumn("__digest", F.unhex(F.sha2(ascii_lower(text_of(text)), 256)))
-    wanted = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("__keep"))
-    single = rows.join(groups, "__digest", "left").filter(F.col("__size").isNull() | (wanted & (F.col("__copies") == 1)))
-    repeated = rows.join(groups.filter("__copies > 1"), "__digest").filter(wanted).dropDuplicates(["__digest"])
-    return single.select(*docs.columns).unionByName(repeated.select(*docs.columns))
+    """The rows that stay, with all their columns, whatever these are called."""
+    groups = stored(duplicate_groups(docs, doc_id, text).filter("group_size > 1"))
+    digest = F.unhex(F.sha2(ascii_lower(text_of(text)), 256))
+    rows = docs.select(F.struct("*").alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"), digest.alias("digest"))
+    wanted = F.col("id").eqNullSafe(F.col("keep_id"))
+    single = rows.join(groups, "digest", "left").filter(F.col("group_size").isNull() | (wanted & (F.col("keep_copies") == 1)))
+    repeated = rows.join(groups.filter("keep_copies > 1"), "digest").filter(wanted).dropDuplicates(["digest"])
+    return single.select("whole.*").unionByName(repeated.select("whole.*"))

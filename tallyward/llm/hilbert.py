@@ -93,8 +93,14 @@ def hilbert_shards(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", te
     )
 
 
-def write_shards(docs: DataFrame, folder: str, shards: int = 24, doc_id: str = "doc_id", **columns: str) -> None:
-    """Writes the rows to one sub-folder `__shard=N` per shard, in the order of the curve; ids must be unique."""
-    placed = hilbert_shards(docs, shards, doc_id, **columns).select(F.col("doc_id").alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    rows = docs.join(placed, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id"))).repartitionByRange("__shard", "__slot")
-    rows.sortWithinPartitions("__shard", "__slot").drop("__id", "__slot").write.partitionBy("__shard").parquet(folder)
+def write_shards(docs: DataFrame, folder: str, shards: int = 24, doc_id: str = "doc_id", shard_name: str = "__shard", **columns: str) -> None:
+    """Writes the rows to one sub-folder `__shard=N` per shard, in the order of the curve; ids must be unique.
+
+    Other columns may have any names; one named like the shard's is refused.
+    """
+    if shard_name in docs.columns:
+        raise ValueError(f"the rows have a column {shard_name!r} already")
+    placed = hilbert_shards(docs, shards, doc_id, **columns).select(F.col("doc_id").alias("id"), "shard", "slot")
+    packed = docs.select(F.struct("*").alias("whole"), F.col(f"`{doc_id}`").alias("key"))
+    rows = packed.join(placed, F.col("key").eqNullSafe(F.col("id"))).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    rows.select("whole.*", F.col("shard").alias(shard_name)).write.partitionBy(shard_name).parquet(folder)

@@ -61,6 +61,12 @@ def test_dropping_keeps_columns_and_one_row_each(awkward):
     assert None not in ids
 
 
+def test_clashing_columns_keep_their_values(frame):
+    schema = "doc_id long, text string, __digest string, __size int, `a.b` string, keep_id long, digest int, whole string"
+    rows = [(1, "x", "own", 5, "dot", 70, 3, "w"), (2, "X", "own2", 6, "dot2", 71, 4, "v"), (2, "X", "own2", 6, "dot2", 71, 4, "v"), (3, "y", None, None, None, None, None, None)]
+    assert sorted(map(tuple, x.drop_exact_duplicates(frame(rows, schema)).collect())) == rows[2:]
+
+
 def test_null_ids_only(frame):
     docs = frame([(None, "a"), (None, "A")], "doc_id long, text string")
     assert [tuple(r)[:4] for r in x.exact_duplicates(docs).collect()] == [(None, None, 2, True)] * 2

@@ -65,6 +65,15 @@ def test_files_hold_runs(spark, folder, tmp_path):
     assert back.drop("__shard").exceptAll(docs).isEmpty() and back.count() == docs.count()
 
 
+def test_files_keep_clashing_columns(frame, tmp_path):
+    rows = [(i, f"t{i}", "s", "l", i, "x", 7) for i in range(20)]
+    docs = frame(rows, "doc_id long, text string, source string, lang string, __id long, `a.b` string, slot int")
+    hilbert.write_shards(docs, str(tmp_path / "out"), 3)
+    assert sorted(map(tuple, docs.sparkSession.read.parquet(str(tmp_path / "out")).drop("__shard").collect())) == rows
+    with pytest.raises(ValueError, match="__shard"):
+        hilbert.write_shards(docs.withColumnRenamed("slot", "__shard"), str(tmp_path / "other"), 3)
+
+
 def test_no_python_in_the_plan(spark, folder):
     plan = QUERIES["op10_hilbert_shards"](spark, folder)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
