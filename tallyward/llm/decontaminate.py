@@ -53,17 +53,6 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mixed(found)
 
 
-def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """First and last place (exclusive) of the stretch with the greatest number of equal words less three times the others.
-
-    The rule does not go by it: an admitted stretch is often longer. Tests read it.
-    """
-    steps = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])
-    gain = steps - np.minimum.accumulate(steps)
-    end = int(gain.argmax())
-    return end - int(steps[: end + 1][::-1].argmin()), end
-
-
 def longest_stretch(same: np.ndarray) -> int:
     """Length of the longest stretch with at most a quarter of its words unequal."""
     steps = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])

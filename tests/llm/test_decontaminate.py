@@ -2,7 +2,6 @@ import itertools
 import random
 import re
 
-import numpy as np
 import pytest
 
 from tallyward.llm import decontaminate as d
@@ -22,21 +21,10 @@ def words(text):
     return re.findall(r"\w+", text.lower())
 
 
-def stretch(same):
-    """The best stretch by trying all of them."""
-    best = (0, 0, 0)
-    for low, high in itertools.combinations(range(len(same) + 1), 2):
-        part = same[low:high]
-        best = max(best, (sum(1 if s else -3 for s in part), high - low, -low))
-    return best
-
-
-def test_best_stretch_has_the_best_score():
-    rng = random.Random(2)
-    for _ in range(300):
-        same = [rng.random() < 0.8 for _ in range(rng.randint(1, 18))]
-        low, high = d.best_stretch(np.array(same))
-        assert sum(1 if s else -3 for s in same[low:high]) == stretch(same)[0]
+def longest(same):
+    """The longest stretch with at most a quarter of its words unequal, by trying all of them."""
+    bad = [0, *itertools.accumulate(not x for x in same)]
+    return max((high - low for low, high in itertools.combinations(range(len(same) + 1), 2) if 4 * (bad[high] - bad[low]) <= high - low), default=0)
 
 
 def brute(documents, items):
@@ -50,11 +38,10 @@ def brute(documents, items):
                 continue
             for start in range(1 - len(other), len(own)):
                 first, last = max(0, start), min(len(own), start + len(other))
-                same = np.array([own[i] == other[i - start] for i in range(first, last)])
-                if same.sum() >= min(len(other), 9):
-                    low, high = d.best_stretch(same)
-                    if high - low >= min(d.LEAST_WORDS, len(other)):
-                        hits.add(item_id)
+                same = [own[i] == other[i - start] for i in range(first, last)]
+                wanted = min(13, len(other))
+                if 4 * sum(same) >= 3 * wanted and longest(same) >= wanted:
+                    hits.add(item_id)
         out[doc_id] = sorted(hits)
     return out
 
