@@ -18,6 +18,8 @@ def main() -> None:
     parser.add_argument("--sales-year", type=int, default=SALES_YEAR)
     parser.add_argument("--finance-year", type=int, default=FINANCE_YEAR)
     parser.add_argument("--product-name", default=PRODUCT_NAME)
+    parser.add_argument("--new-rows-only", action="store_true", help="keep the stored raw rows and add those beyond them")
+    parser.add_argument("--gate", action="store_true", help="only rows with a unique key enter normalized tables")
     options = parser.parse_args()
     spark = SparkSession.builder.appName("tallyward").getOrCreate()
     names = table_names(options.config) if options.config else TABLE_NAMES
@@ -29,6 +31,8 @@ def main() -> None:
         sales_year=options.sales_year,
         finance_year=options.finance_year,
         product_name=options.product_name,
+        new_rows_only=options.new_rows_only,
+        gate=options.gate,
     ).show(1000, truncate=False)
 
 

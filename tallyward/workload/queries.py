@@ -263,12 +263,11 @@ def sketch_summary(spark, t):
     sketch_folders(spark, root, RAW, "orders")
     load_new_rows(t["orders"], root, RAW, "orders")
     summary = stored_summary(spark, root, RAW, "orders").where("column_name = 'o_totalprice'")
-    v = F.col("o_totalprice")
-    quartiles = [F.abs(F.avg((v < F.col(f"p{p}")).cast("double")) - p / 100) <= 2 * RANK_ERROR for p in (25, 50, 75)]
-    near = F.abs(F.max("n_distinct") / F.countDistinct(v) - 1) <= 5 * DISTINCT_DEVIATION
-    columns = ["column_name", "n_rows", "n_values", "min", "max"]
-    met = t["orders"].select(v, F.lit("o_totalprice").alias("column_name")).join(summary, "column_name")
-    return met.groupBy(*columns).agg(reduce(lambda a, b: a & b, quartiles).alias("quartiles_within"), near.alias("distinct_within"))
+    v, one = F.col("o_totalprice"), lambda c: summary.select(c).scalar()
+    quartiles = [F.abs(F.avg((v < one(f"p{p}")).cast("double")) - p / 100) <= 2 * RANK_ERROR for p in (25, 50, 75)]
+    near = F.abs(one("n_distinct") / F.countDistinct(v) - 1) <= 5 * DISTINCT_DEVIATION
+    found = t["orders"].agg(reduce(lambda a, b: a & b, quartiles).alias("quartiles_within"), near.alias("distinct_within"))
+    return found.select(*[one(c).alias(c) for c in ("column_name", "n_rows", "n_values", "min", "max")], "quartiles_within", "distinct_within")
 
 
 @query
