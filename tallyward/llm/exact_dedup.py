@@ -3,6 +3,8 @@
 Each task feeds the digests of its rows to an index: two 4-slot buckets per digest hold 16-bit fingerprints, and a
 fingerprint that matches is verified against the full digest in the same slot. The groups a task has found are dealt by
 digest and merged by a second index, so a text that a third of all rows share reaches one task only once per input task.
+Those rows come in the order of their digests, so an index is put out when it is full and never holds more than
+`HELD_DIGESTS`, however many a task has.
 
 Defined results: a null text is an empty text, and all empty texts are equal; a null id is smaller than any other; rows
 repeated with the same id and equal text are one document, all of them carry `kept` = true, and
@@ -21,6 +23,8 @@ from tallyward.llm.common import ascii_lower, id_and_text, stored, text_of, wide
 
 SLOTS = 4
 KICKS = 200
+#: Digests that an index holds before it is put out.
+HELD_DIGESTS = 200_000
 GROUP_SCHEMA = "digest binary, keep_id long, keep_copies long, group_size long"
 
 
@@ -108,12 +112,19 @@ class CuckooIndex:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of this task's rows: digest, largest id, its rows, all rows."""
+    """Groups of this task's rows: digest, largest id, its rows, all rows.
+
+    A full index is put out where a digest begins that it does not hold. If rows come in the order of their digests, a
+    digest that was put out does not come again; else its parts are merged later.
+    """
     index = CuckooIndex()
     for batch in batches:
         for key, keep, copies, size in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             seen = index.get(key)
             if seen is None:
+                if index.size >= HELD_DIGESTS:
+                    yield from _entries(index)
+                    index = CuckooIndex()
                 index.insert(key, [keep, copies, size])
                 continue
             seen[2] += size
@@ -121,6 +132,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen[1] += copies
             elif seen[0] is None or keep is not None and keep > seen[0]:
                 seen[:2] = keep, copies
+    yield from _entries(index)
+
+
+def _entries(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
     entries = list(index.items())
     for start in range(0, len(entries), 10_000):
         part = entries[start : start + 10_000]
@@ -131,19 +146,26 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digests with a positive balance of insertions and deletions."""
+    """Digests with a positive balance of insertions and deletions, of rows in the order of their digests."""
+
+    def out() -> pa.RecordBatch:
+        live = [(k, v[0]) for k, v in index.items() if v[0] > 0]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in live], pa.binary()), pa.array([n for _, n in live], pa.int64())], ["digest", "live"])
+
     index = CuckooIndex()
     for batch in batches:
         for key, change in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             seen = index.get(key)
             if seen is None:
+                if index.size >= HELD_DIGESTS:
+                    yield out()
+                    index = CuckooIndex()
                 index.insert(key, [change])
             else:
                 seen[0] += change
                 if not seen[0]:
                     index.delete(key)
-    live = [(k, v[0]) for k, v in index.items() if v[0] > 0]
-    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in live], pa.binary()), pa.array([n for _, n in live], pa.int64())], ["digest", "live"])
+    yield out()
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,7 +179,7 @@ def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     one = F.lit(1).cast("long")
     rows = digests(docs, doc_id, text).select("digest", F.col("doc_id").alias("keep_id"), one.alias("keep_copies"), one.alias("group_size"))
     found = rows.mapInArrow(_merge, GROUP_SCHEMA)
-    return found.repartition(wide_parts(docs.sparkSession), "digest").mapInArrow(_merge, GROUP_SCHEMA)
+    return found.repartition(wide_parts(docs.sparkSession), "digest").sortWithinPartitions("digest").mapInArrow(_merge, GROUP_SCHEMA)
 
 
 def live_digests(added: DataFrame, removed: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -165,7 +187,7 @@ def live_digests(added: DataFrame, removed: DataFrame, doc_id: str = "doc_id", t
     changes = digests(added, doc_id, text).select("digest", F.lit(1).alias("change"))
     changes = changes.unionByName(digests(removed, doc_id, text).select("digest", F.lit(-1).alias("change")))
     summed = changes.groupBy("digest").agg(F.sum("change").alias("change"))
-    return summed.repartition(wide_parts(added.sparkSession), "digest").mapInArrow(_live, "digest binary, live long")
+    return summed.repartition(wide_parts(added.sparkSession), "digest").sortWithinPartitions("digest").mapInArrow(_live, "digest binary, live long")
 
 
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from oracle_compare import connect, differences
 
@@ -48,6 +49,19 @@ def test_equal_marks_of_different_digests_are_told_apart():
     assert index.get(b"\x01\x02" + b"\0" * 6 + b"\xff" * 24) is None
 
 
+@pytest.mark.parametrize("held", [1, 7])
+def test_small_indexes_change_nothing(monkeypatch, spark, frame, held):
+    """Run in this process: the rows of a task in any order, then the parts in the order of their digests."""
+    monkeypatch.setattr(x, "HELD_DIGESTS", held)
+    rows = [(bytes([i % 23] * 32), i, 1, 1) for i in range(300)]
+    batch = lambda rows: iter([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["digest", "keep_id", "keep_copies", "group_size"])])
+    told = lambda batches: [tuple(r.values()) for b in batches for r in b.to_pylist()]
+    parts = told(x._merge(batch(rows)))
+    assert len(parts) > 23
+    merged = told(x._merge(batch(sorted(parts))))
+    assert sorted(merged) == [(bytes([i] * 32), max(range(i, 300, 23)), 1, len(range(i, 300, 23))) for i in range(23)]
+
+
 def test_awkward_rows(awkward, awkward_rows):
     found = [tuple(r) for r in x.exact_duplicates(awkward).collect()]
     assert sorted(found, key=str) == brute([r[:2] for r in awkward_rows])
