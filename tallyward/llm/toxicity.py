@@ -9,7 +9,7 @@ significantly more frequent among the positives, and small weights are drawn to
 not add up in long texts.
 
 The positives and the unlabelled rows are at most `max_rows` each (documented bounds: the least hashes of the ids);
-words are read in all tasks, the descent runs in one. All rows are scored, by their whole texts.
+words are read, counted and chosen in all tasks, the descent runs in one, over the chosen ones. All rows are scored, by their whole texts.
 
 Defined results: null and empty texts score as the bias alone; without positives every score is 0, and without telling words it is the prior; an id labelled twice
 counts as the larger label; a null id is held out; repeated rows are each scored, and a repeated id counts once in training, by
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import id_and_text, per_batch
+from tallyward.llm.common import id_and_text, per_batch, stored
 from tallyward.llm.sampling import first_by_hash, fold, labelled_ids, one_text_each
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -67,7 +67,7 @@ def descend(texts: list[list[str]], positive: np.ndarray, prior: float, settings
     in_p = Counter(w for words, confirmed in zip(texts, positive, strict=True) if confirmed for w in words)
     in_u = Counter(w for words, confirmed in zip(texts, positive, strict=True) if not confirmed for w in words)
     n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
-    least = min(settings.enriched, (1 + 1 / max(prior, 1e-6)) / 2)
+    least = _least(prior, settings)
 
     def telling(word: str) -> bool:
         """Far more frequent among the positives than chance allows."""
@@ -127,6 +127,25 @@ def _learn(prior: float, settings: Settings):
     return run
 
 
+def _telling_only(words: DataFrame, prior: float, settings: Settings) -> DataFrame:
+    """The rows with only those of their words that `descend` will choose, so that its one task does not hold the words of
+    long texts. They are counted in all tasks, by the same rule but for a rounding error."""
+    n = words.agg(F.coalesce(F.sum("part"), F.lit(0)).alias("p"), F.count("*").alias("all")).first()
+    n_p, n_u = max(1, n.p), max(1, n["all"] - n.p)
+    p, u, both = F.col("in_p") / n_p, F.col("in_u") / n_u, (F.col("in_p") + F.col("in_u")) / (n_p + n_u)
+    chance = settings.deviations * F.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
+    single = words.select("doc_id", "part", F.explode("words").alias("word"))
+    counts = single.groupBy("word").agg(F.sum("part").alias("in_p"), (F.count("*") - F.sum("part")).alias("in_u"))
+    telling = counts.filter((F.col("in_p") >= settings.min_texts) & (p * (1 + 1e-9) >= _least(prior, settings) * u) & (p - u + 1e-9 >= chance)).select("word")
+    kept = single.join(telling, "word").groupBy("doc_id").agg(F.collect_list("word").alias("kept"))
+    empty = F.array().cast("array<string>")
+    return words.select("doc_id", "part").join(kept, "doc_id", "left").select("doc_id", "part", F.coalesce("kept", empty).alias("words"))
+
+
+def _least(prior: float, settings: Settings) -> float:
+    return min(settings.enriched, (1 + 1 / max(prior, 1e-6)) / 2)
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
     """Learns from labelled positives and unlabelled documents outside fold 0."""
     rows = id_and_text(docs, doc_id, text).filter(fold() != 0)
@@ -135,8 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
     positives = first_by_hash(known.filter("label = 1").select("doc_id"), settings.max_rows).select("doc_id", F.lit(1).alias("part"))
     others = first_by_hash(rows.select("doc_id").distinct(), settings.max_rows).select("doc_id", F.lit(0).alias("part"))
     chosen = F.broadcast(positives.unionByName(others))  # at most twice max_rows ids
-    words = one_text_each(rows.join(chosen, "doc_id"), "part").mapInArrow(_words(), "doc_id long, part int, words array<string>")
-    learned = words.repartition(1).mapInArrow(_learn(prior, settings), "words array<string>, weights array<double>, bias double").first()
+    words = stored(one_text_each(rows.join(chosen, "doc_id"), "part").mapInArrow(_words(), "doc_id long, part int, words array<string>"))
+    learned = _telling_only(words, prior, settings).repartition(1).mapInArrow(_learn(prior, settings), "words array<string>, weights array<double>, bias double").first()
     return Model(dict(zip(learned.words, learned.weights, strict=True)), learned.bias)
 
 

@@ -27,6 +27,8 @@ def test_held_out_rows(spark, truth, name, label, least):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= (0.3 if name == "op1_quality" else 0.5)) for r in rows)
     held = [r for r in rows if r.held_out and r.doc_id in truth]
     assert area([r.score for r in held], [truth[r.doc_id][label] for r in held]) > least
+    caught = [r for r in held if truth[r.doc_id][label] == (0 if label == "quality" else 1)]
+    assert np.mean([r.predicted == (label == "toxic") for r in caught]) >= 0.9
     clean = [r for r in held if truth[r.doc_id][label] == (1 if label == "quality" else 0)]
     assert np.mean([r.predicted == (label == "quality") for r in clean]) > 0.95
 
@@ -57,6 +59,23 @@ def test_buckets_read_the_whole_text():
     assert len(quality.buckets_of("İ x", 64, (3,))) > 0  # its lower case has two characters
 
 
+def test_words_chosen_in_all_tasks_are_those_the_descent_chooses(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        part, words = int(i % 4 == 0), {f"w{k}" for k in rng.choice(60, 12)}
+        words |= {f"t{k}" for k in range(8) if rng.random() < (0.1 + 0.1 * k if part else 0.1)}
+        rows.append((i, part, sorted(words)))
+    df = spark.createDataFrame([*rows, (400, 1, []), (401, 0, [])], "doc_id long, part int, words array<string>")
+    few = sorted(map(tuple, toxicity._telling_only(df, 0.2, toxicity.Settings()).collect()))
+    assert [r[:2] for r in few] == [(i, p) for i, p, _ in rows] + [(400, 1), (401, 0)]
+    whole = [r for r in df.collect()]
+    learned = [toxicity.descend([sorted(r[2]) for r in part], np.array([r[1] == 1 for r in part]), 0.2, toxicity.Settings()) for part in (sorted(whole), few)]
+    assert learned[0][0].keys() == learned[1][0].keys() and 0 < len(learned[0][0]) < 9
+    assert max(sum(len(r[2]) for r in few), 1) < sum(len(r[2]) for r in whole) / 4
+    assert learned[0][1] == pytest.approx(learned[1][1])
+
+
 def test_risk_uses_unlabelled_texts_as_a_mixture():
     """A word that all positives and the prior's share of the unlabelled have is toxic; a common word is not."""
     rng = np.random.default_rng(0)
