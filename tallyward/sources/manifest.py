@@ -4,7 +4,8 @@ Every write goes to a folder of its own, `layer/table/v-<id>`, which nobody read
 layer's manifest: of the numbered files in `layer/_manifest` the one with the highest number counts. A commit writes the
 next one and renames it into its place, which fails if another writer has taken the number; then the changes are made
 again to what that writer left. So a reader finds the old tables or the new ones, whole, whenever a writer stops. Folders
-that a commit has replaced are removed after it; those of writers that stopped are removed by `remove_orphans`.
+that a commit has replaced are removed after it, so a query over an older version that still runs then ends in an error
+and is to be asked again; those of writers that stopped are removed by `remove_orphans`.
 
 The rename must be atomic, as it is on HDFS and POSIX file systems.
 """
@@ -16,6 +17,7 @@ import uuid
 from collections.abc import Collection, Mapping
 from dataclasses import asdict, dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -81,7 +83,18 @@ def _read(spark: SparkSession, root: str, layer: str, number: int) -> dict[str,
 
 def current(spark: SparkSession, root: str, layer: str) -> dict[str, Stored]:
     """The tables of a layer, by name in lower case."""
-    return _read(spark, root, layer, _latest(spark, root, layer))
+    return _now(spark, root, layer)[1]
+
+
+def _now(spark: SparkSession, root: str, layer: str) -> tuple[int, dict[str, Stored]]:
+    """Number and tables of the last commit. A manifest that a newer one has replaced while it was looked up is gone."""
+    while True:
+        number = _latest(spark, root, layer)
+        try:
+            return number, _read(spark, root, layer, number)
+        except Py4JJavaError:
+            if _latest(spark, root, layer) == number:
+                raise
 
 
 def commit(
@@ -100,8 +113,7 @@ def commit(
     """
     changes = {name.lower(): entry for name, entry in changes.items()}
     for _ in range(ATTEMPTS):
-        number = _latest(spark, root, layer)
-        before = _read(spark, root, layer, number)
+        number, before = _now(spark, root, layer)
         for name, entry in (expected or {}).items():
             if before.get(name.lower()) != entry:
                 raise Conflict(f"{layer}/{name} was changed by another writer")

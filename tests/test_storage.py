@@ -83,6 +83,21 @@ def test_two_writers(spark, tmp_path, monkeypatch):
     assert read_layer(spark, root, RAW, "a").count() == 4
 
 
+def test_a_manifest_that_is_replaced_while_it_is_looked_up(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    write_layer(spark.range(1), root, RAW, "t")
+    real, calls = manifest.read_text, []
+
+    def late(spark, path):
+        if not calls:
+            calls.append(path)
+            write_layer(spark.range(6), root, RAW, "t")
+        return real(spark, path)
+
+    monkeypatch.setattr(manifest, "read_text", late)
+    assert current(spark, root, RAW)["t"].n_rows == 6
+
+
 def test_new_files_are_whole_and_never_replaced(spark, tmp_path):
     assert write_new(spark, f"{tmp_path}/x.json", "één") and not write_new(spark, f"{tmp_path}/x.json", "two")
     assert read_text(spark, f"{tmp_path}/x.json") == "één"
