@@ -27,9 +27,10 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = _pairs(large.join(least, "u").filter("v != m"), "v", "m").unionByName(_pairs(least, "u", "m"))
         edges = stored(small.distinct())
-        deeper = edges.join(_pairs(edges, "v", "u").select("u").distinct(), "u", "left_semi")
-        forked = edges.groupBy("u").count().filter("count > 1")
-        if deeper.isEmpty() and forked.isEmpty():
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        ends = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        if ends.filter("below > 1 OR below > 0 AND above > 0").isEmpty():  # every node hangs on one, and nothing on it
             break
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return leaves.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

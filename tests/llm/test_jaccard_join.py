@@ -61,7 +61,7 @@ def test_random_near_copies(spark, size, percent):
 
 def test_frequent_hashes_are_joined_by_combinations(spark, monkeypatch):
     """Chains in which every shingle is frequent and the least member of a bucket is no neighbour."""
-    monkeypatch.setattr(j, "FREQUENT", 2)
+    monkeypatch.setattr(j, "PRODUCT", 4)
     parts = [[f"p{n}w{i}" for i in range(12)] for n in range(40)]
     rows = []
     for start in range(32):
@@ -81,6 +81,47 @@ def test_awkward_rows(awkward, awkward_rows, nothing):
     assert j.near_groups(nothing).collect() == [] and j.drop_near_duplicates(nothing).collect() == []
 
 
+def test_links_through_rows_without_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join([*words[:at], "changed", *words[at + 1 :]]) for at in (0, 59)]
+    for middle in (2, None):
+        rows = [(1, near[0]), (middle, " ".join(words)), (3, near[1]), (None, "alone " * 3), (None, None), (4, ""), (5, ""), (5, near[0] + " more")]
+        out = found(j.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85))
+        assert out == brute(rows, 4, 85)
+        assert [c for i, n, c in out if n > 50] == [1] * 4
+
+
+@pytest.mark.parametrize("bits, tile", [(j.MAP_WORDS, j.TILE), (1, 7)])
+def test_near_copies_just_below_the_similarity(spark, monkeypatch, bits, tile):
+    """Copies of a text that is not there, each with words left out: nearly every shingle is shared, few pairs are linked."""
+    monkeypatch.setattr(j, "MAP_WORDS", bits)
+    monkeypatch.setattr(j, "TILE", tile)
+    monkeypatch.setattr(j, "KNOWN_KEYS", 64 if tile > 7 else 5)
+    rng, words = random.Random(7), [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(w for w in words if rng.random() > rng.choice([0.01, 0.04]))) for i in range(150)]
+    assert found(j.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_prefixes_of_linked_sets_share_what_is_certain(percent):
+    rng = random.Random(percent)
+    for _ in range(400):
+        size = rng.choice([5, 20, 80, 400])
+        base = rng.sample(range(10_000), size)
+        a = sorted(set(base) - set(rng.sample(base, rng.randint(0, size // 4))) | set(rng.sample(range(10_000), rng.randint(0, size // 5))))
+        b = sorted(set(base) - set(rng.sample(base, rng.randint(0, size // 4))))
+        common = len(set(a) & set(b))
+        if a and b and 100 * common >= percent * (len(a) + len(b) - common):
+            shared = set(a[: j.prefix_length(len(a), percent)]) & set(b[: j.prefix_length(len(b), percent)])
+            assert len(shared) >= max(j.certain(len(a), percent), j.certain(len(b), percent))
+
+
+def test_clashing_columns_are_kept(spark):
+    rows = [(1, "a b c d e f", 10, "x", 7), (2, "a b c d e f", 20, "y", 8), (3, "other words of its own here", 30, "z", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __gone int, `a.b` string, id int")
+    assert sorted(map(tuple, j.drop_near_duplicates(docs).collect())) == [rows[0], rows[2]]
+
+
 def test_hot_group_of_near_copies(spark):
     words = " ".join(f"w{i}" for i in range(60))
     docs = spark.range(900).selectExpr("id AS doc_id", f"if(id % 3 = 0, concat('{words} ', id), concat('own text number ', id, ' of no other document ', id)) AS text")
