@@ -42,11 +42,17 @@ def read_as(text: Column, date_format: str) -> Column:
 
 
 def format_votes(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATES) -> DataFrame:
-    """(column_name, format, n_read, n_texts): how many texts of each column every format admits, from one pass."""
-    trimmed = {c: F.trim(named(c).cast("string")) for c in columns}
-    reads = [F.count(read_as(t, f)).alias(f"r{i}_{j}") for i, t in enumerate(trimmed.values()) for j, f in enumerate(formats)]
-    texts = [F.count(t).alias(f"n{i}") for i, t in enumerate(trimmed.values())]
-    row = df.agg(*reads, *texts)
+    """(column_name, format, n_read, n_texts): how many texts of each column every format admits, from one pass.
+
+    Every text becomes a row with its column's number, so that a format is one expression, whatever the number of columns.
+    """
+    texts = F.array(*[F.struct(F.lit(i).alias("i"), F.trim(named(c).cast("string")).alias("t")) for i, c in enumerate(columns)])
+    each = df.select(F.explode(texts).alias("v")).select("v.i", "v.t")
+    parts = each.select("i", "t", _date_part(F.col("t")).alias("d"), _time_part(F.col("t")).isNotNull().alias("timed"))
+    read = parts.select("i", "t", *[(F.col("timed") & parse_date(F.col("d"), [f]).isNotNull()).alias(f"r{j}") for j, f in enumerate(formats)])
+    own = lambda i, met: F.count(F.when((F.col("i") == i) & met, F.lit(1)))
+    reads = [own(i, F.col(f"r{j}")).alias(f"r{i}_{j}") for i in range(len(columns)) for j in range(len(formats))]
+    row = read.agg(*reads, *[own(i, F.col("t").isNotNull()).alias(f"n{i}") for i in range(len(columns))])
     packed = [
         F.struct(F.lit(c).alias("column_name"), F.lit(f).alias("format"), F.lit(j).alias("place"), F.col(f"r{i}_{j}").alias("n_read"), F.col(f"n{i}").alias("n_texts"))
         for i, c in enumerate(columns) for j, f in enumerate(formats)
@@ -67,12 +73,28 @@ def parse_by_evidence(df: DataFrame, columns: Sequence[str], formats: Sequence[s
 
     In a column with `13/02/2011`, `02/03/2011` is the second of March too, where row by row it would be read as the
     first format of a list says. One pass counts the formats; the settled ones, one row, are a scalar subquery of the
-    second. Formats that write the day before the month and those that write it after never mix in one column.
+    second, looked up once for all columns: repeated for every column and format, its plan outgrows the driver. Formats
+    that write the day before the month and those that write it after never mix in one column.
     """
-    settled = settled_formats(df, columns, formats).groupBy().agg(*[F.max(F.when(F.col("column_name") == c, F.col("format"))).alias(f"f{i}") for i, c in enumerate(columns)])
+    formats_of = [F.max(F.when(F.col("column_name") == c, F.col("format"))).alias(f"f{i}") for i, c in enumerate(columns)]
+    settled = settled_formats(df, columns, formats).groupBy().agg(F.struct(*formats_of).alias("settled"))
+    # Columns of their own, so that each is worked out once and not once per format.
+    chosen, *helpers = (_unused(df, n) for n in ("_settled", *[f"_{part}{i}" for i in range(len(columns)) for part in ("date", "micros")]))
+    added = {chosen: settled.scalar()}
+    for i, c in enumerate(columns):
+        text = F.trim(named(c).cast("string"))
+        added |= {helpers[2 * i]: _date_part(text), helpers[2 * i + 1]: _time_part(text)}
     changed = {}
     for i, c in enumerate(columns):
-        chosen = settled.select(f"f{i}").scalar()
-        times = [F.when(chosen == f, read_as(named(c), f)) for f in formats]
-        changed[c] = F.coalesce(*times)
-    return df.withColumns(changed)
+        date, micros = named(helpers[2 * i]), named(helpers[2 * i + 1])
+        day = F.coalesce(*[F.when(named(chosen)[f"f{i}"] == f, parse_date(date, [f])) for f in formats])
+        changed[c] = F.when(micros.isNotNull(), F.timestamp_add("MICROSECOND", micros, day))
+    return df.withColumns(added).withColumns(changed).drop(chosen, *helpers)
+
+
+def _unused(df: DataFrame, name: str) -> str:
+    """A name that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

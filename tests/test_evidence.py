@@ -165,3 +165,11 @@ def test_without_evidence_the_first_order_counts(spark):
     assert [r.a for r in parse_by_evidence(df, ["a"]).collect()] == [dt.datetime(2011, 3, 2), None]
     assert parse_by_evidence(df.limit(0), ["a"]).collect() == []
     assert [r.a for r in parse_by_evidence(spark.createDataFrame([("no date",)], "a string"), ["a"]).collect()] == [None]
+
+
+def test_settled_formats_are_looked_up_once_for_all_columns(spark):
+    df = spark.createDataFrame([("13/02/2011", "02/13/2011", "kept")], "a string, b string, `_settled` string")
+    found = parse_by_evidence(df, ["a", "b"])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("scalar-subquery") == 1 and len(plan) < 60_000
+    assert [tuple(r) for r in found.collect()] == [(dt.datetime(2011, 2, 13), dt.datetime(2011, 2, 13), "kept")]
