@@ -54,13 +54,16 @@ def duplicate_wide_rows(df: DataFrame) -> DataFrame:
 
     A first pass shuffles only an 8-byte fingerprint per row, and stores those that repeat. Rows with one of
     these are then shuffled whole and compared exactly, so equal fingerprints of unlike rows do no harm. The
-    stored table's size in bytes is known, by which Spark broadcasts or shuffles it.
+    stored table's size in bytes is known, by which Spark broadcasts or shuffles it. If no fingerprint repeats, no
+    row does, and the table, with the joins it may come from, is not worked out again.
     """
     print_ = F.xxhash64(*[quoted(c) for c in df.columns])
     path = f"{shared_folder(df.sparkSession)}/fingerprints"
     counts = df.select(print_.alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("n"))
     counts.where("n > 1").select("_print").write.parquet(path)
     repeated = df.sparkSession.read.schema("_print bigint").parquet(path)
+    if repeated.isEmpty():
+        return duplicate_rows(df.limit(0))
     return duplicate_rows(df.withColumn("_print", print_).join(repeated, "_print", "left_semi").drop("_print"))
 
 

@@ -455,3 +455,13 @@ def test_summary_of_all_columns(spark, small, monkeypatch):
     for name in ("id", "w", "x"):
         assert rows[name] == pytest.approx(tuple(df.select(name).toPandas()[name].astype(float).describe()), rel=1e-9)
     assert rows["none"] == (0, None, None, None, None, None, None, None)
+
+
+def test_a_wide_table_without_repeats_is_worked_out_once(spark):
+    df = spark.range(50).join(spark.range(50).withColumnRenamed("id", "k"), F.col("id") == F.col("k")).selectExpr("id", "cast(null as string) as s")
+    plan = duplicates.duplicate_wide_rows(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Range" not in plan
+    none = duplicates.duplicate_wide_rows(df)
+    assert (none.schema, none.collect()) == (df.schema, [])
+    again = duplicates.duplicate_wide_rows(df.unionAll(df.where("id < 2")).unionAll(df.where("id = 1")))
+    assert sorted(r.id for r in again.collect()) == [0, 1, 1]
