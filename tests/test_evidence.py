@@ -136,6 +136,27 @@ def test_a_partition_takes_only_its_own_rows(spark, tmp_path):
     assert read_layer(spark, root, NORMALIZED, "sales").where("day_year IS NULL").count() == 1
 
 
+def test_a_year_is_replaced_from_its_stored_folder(spark, tmp_path, monkeypatch):
+    from tallyward.workload import queries
+
+    day = F.expr("timestamp_ntz'1997-06-01 00:00:00' + make_dt_interval(cast(id % 5 * 150 as int))")
+    spark.range(40).selectExpr("id as o_orderkey", "id % 3 as o_custkey", "'F' as o_orderstatus", "1.0D as o_totalprice", "id", "'1' as o_orderpriority").withColumn("o_orderdate", day).drop("id").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(90).selectExpr(
+        "id % 40 as l_orderkey", "id % 7 as l_partkey", "1L as l_suppkey", "cast(id as int) as l_linenumber", "2.0D as l_quantity", "cast(id as double) as l_extendedprice",
+        "0.05D as l_discount", "0.02D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus", "timestamp_ntz'1999-01-01 00:00:00' as l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    given, real = [], queries.replace_partition
+    monkeypatch.setattr(queries, "replace_partition", lambda df, *rest: (given.append(df.inputFiles()), real(df, *rest))[1])
+    found = {(r.ProductKey, r.OrderDate_year): (r.amount, r.n_rows) for r in queries.QUERIES["measure_after_replace"](spark, str(tmp_path)).collect()}
+    assert given and all("/normalized/sales/" in f for f in given[0])
+    expected = {}
+    for i in range(90):
+        year = (dt.datetime(1997, 6, 1) + dt.timedelta(days=i % 40 % 5 * 150)).year
+        amount, n = expected.get((i % 7, year), (0.0, 0))
+        expected[i % 7, year] = (amount + i * (2 if year == 1998 else 1), n + 1)
+    assert found == expected
+
+
 # Date formats
 
 
