@@ -17,7 +17,7 @@ from tallyward.operators.rules import common_log
 from tallyward.plans import charts, questions
 from tallyward.plans.cleansing import all_key_violations, normalize, table_errors
 from tallyward.plans.specs import spec_of
-from tallyward.sources.journal import Journal, input_print
+from tallyward.sources.journal import Journal, file_print, input_print
 from tallyward.sources.layers import ERRORS, NORMALIZED, RAW, stage_by_year, stage_layer, write_layer
 from tallyward.sources.manifest import Stored, commit, current, remove_orphans, rows_of
 from tallyward.sources.reports import REPORTS, stage_report, staged_report
@@ -52,13 +52,18 @@ class Run:
     def stage_raw(self, tables: Mapping[str, DataFrame], new_rows_only: bool) -> None:
         """Every table untouched; with `new_rows_only`, what is stored stays and rows beyond it are added."""
         before = current(self.spark, self.root, RAW) if new_rows_only else {}
+        begun = self.journal.tables()
         for name, df in tables.items():
             if new_rows_only:
                 base = before.get(name.lower())
                 inputs = (input_print(df), "new rows", base and base.folders)
                 self.step(RAW, name, inputs, lambda df=df, name=name, base=base: stage_new_rows(df, self.root, RAW, name, base))
-            else:
-                self.step(RAW, name, (input_print(df),), lambda df=df, name=name: stage_layer(df, self.root, RAW, name))
+                continue
+            write = lambda df, name=name: stage_layer(df, self.root, RAW, name)
+            if (RAW, name.lower()) in begun or file_print(df):
+                self.step(RAW, name, (input_print(df),), lambda df=df, write=write: write(df))
+            else:  # nothing to go on from: one pass writes the rows and takes their fingerprint
+                self.entries[RAW][name], self.keys[RAW, name] = self.journal.first_step(RAW, name, df, write)
 
     def cleanse(self, names: list[str], gate: bool) -> Tables:
         """Error log and normalized table of each staged table; returns the normalized tables.

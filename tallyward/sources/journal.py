@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from functools import cache
 from importlib.resources import files
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.functions.prints import row_prints
@@ -47,6 +47,11 @@ def code_print() -> str:
 
 def input_print(df: DataFrame) -> str:
     """What a table holds: of a plain table of files their names, sizes and times, else count and summed hashes of its rows."""
+    return file_print(df) or _row_print(df, df.agg(*_row_sums(df)).first().asDict())
+
+
+def file_print(df: DataFrame) -> str | None:
+    """Of a plain table of files what `input_print` says, without reading it; else none."""
     plan = df._jdf.queryExecution().analyzed()
     if plan.getClass().getSimpleName() == "LogicalRelation" and (paths := df.inputFiles()):
         jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
@@ -56,9 +61,22 @@ def input_print(df: DataFrame) -> str:
             status = where.getFileSystem(conf).getFileStatus(where)
             found.append((path, status.getLen(), status.getModificationTime()))
         return digest("files", df.schema.json(), found)
+    return None
+
+
+def observed_print(df: DataFrame) -> tuple[DataFrame, Callable[[], str]]:
+    """The rows, and what `input_print` says of them once they have been written: no pass of its own."""
+    seen = Observation()
+    return df.observe(seen, *_row_sums(df)), lambda: _row_print(df, seen.get)
+
+
+def _row_sums(df: DataFrame) -> list[Column]:
     sums = [F.sum(p.cast("decimal(38,0)")).alias(n) for p, n in zip(row_prints(df), "ab", strict=True)]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *sums).first()
-    return digest("rows", df.schema.json(), row.n, row.a, row.b)
+    return [F.count(F.lit(1)).alias("n"), *sums]
+
+
+def _row_print(df: DataFrame, found: Mapping) -> str:
+    return digest("rows", df.schema.json(), *[v if v is None else int(v) for v in (found[n] for n in "nab")])
 
 
 class Journal:
@@ -74,18 +92,34 @@ class Journal:
 
     def step(self, layer: str, name: str, inputs: tuple, write: Callable[[], Stored]) -> tuple[Stored, str]:
         """The entry of a table and the key of its step: as an earlier run left it, or written now."""
-        key = digest(layer, name.lower(), code_print(), *inputs)
-        self.seen.add(key)
+        key = self._key(layer, name, inputs)
         if f"{key}.json" in folders_in(self.spark, f"{self.root}/{JOURNAL}"):
             entry = Stored.from_json(json.loads(read_text(self.spark, self._path(key)))["entry"])
             if is_whole(self.spark, self.root, layer, entry):
                 self.kept.add((name, layer))
                 return entry, key
             remove(self.spark, self._path(key))
-        entry = write()
+        return self._finished(layer, key, write())
+
+    def first_step(self, layer: str, name: str, df: DataFrame, write: Callable[[DataFrame], Stored]) -> tuple[Stored, str]:
+        """As `step` for a table of which no step is in the journal, so that its input need not be known before it is written."""
+        observed, found = observed_print(df)
+        entry = write(observed)
+        return self._finished(layer, self._key(layer, name, (found(),)), entry)
+
+    def _key(self, layer: str, name: str, inputs: tuple) -> str:
+        key = digest(layer, name.lower(), code_print(), *inputs)
+        self.seen.add(key)
+        return key
+
+    def _finished(self, layer: str, key: str, entry: Stored) -> tuple[Stored, str]:
         write_new(self.spark, self._path(key), json.dumps({"layer": layer, "entry": entry.to_json()}))
         return entry, key
 
+    def tables(self) -> set[tuple[str, str]]:
+        """(layer, table in lower case) of all finished steps."""
+        return {(layer, folder.split("/")[0]) for layer, entry in self.entries() for folder in entry.all_folders}
+
     def entries(self) -> list[tuple[str, Stored]]:
         """(layer, entry) of all finished steps."""
         names = [f for f in folders_in(self.spark, f"{self.root}/{JOURNAL}") if f.endswith(".json") and not f.startswith(".")]

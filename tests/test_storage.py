@@ -180,6 +180,20 @@ def test_a_run_goes_on_after_a_failure(spark, frame, tmp_path, monkeypatch):
     assert len(folders_in(spark, f"{root}/{JOURNAL}")) == len({*map(str, folders_in(spark, f"{root}/{JOURNAL}"))})
 
 
+def test_a_table_that_the_journal_does_not_know_is_worked_out_once(spark, frame, tmp_path, monkeypatch):
+    root, passes = str(tmp_path), []
+    real = etl.input_print
+    monkeypatch.setattr(etl, "input_print", lambda df: (passes.append(1), real(df))[1])
+    tables = Tables(dimscenario=star(frame)["dimscenario"], dimproduct=star(frame)["dimproduct"].where("ProductKey < 0"))
+    first = etl.Run(spark, root)
+    first.stage_raw(tables, False)
+    assert passes == [] and not first.journal.kept  # written and fingerprinted in one pass
+    again = etl.Run(spark, root)
+    again.stage_raw(tables, False)
+    assert len(passes) == 2 and again.journal.kept == {("dimscenario", RAW), ("dimproduct", RAW)}
+    assert again.keys == first.keys and again.entries == first.entries
+
+
 def test_a_step_whose_folder_is_gone_is_written_again(spark, frame, tmp_path):
     root = str(tmp_path)
     tables = Tables(dimscenario=star(frame)["dimscenario"])
