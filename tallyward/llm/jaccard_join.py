@@ -92,10 +92,6 @@ def digest_of(own: np.ndarray) -> bytes | None:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
 
 
-#: One per Python worker.
-WORDS = WordHashes()
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays).view(np.int64) if arrays else [], pa.int64()))
@@ -108,12 +104,13 @@ def _sets(words_each: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        known = WordHashes()  # of the task: the worker that stays is to hold no more than it needs
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
                 sizes, marks, sure, prefixes = [], [], [], []
                 for text in batch.column(3).to_pylist():
-                    own = shingles(text, words_each, WORDS)
+                    own = shingles(text, words_each, known)
                     mark = digest_of(own)
                     first = mark is not None and mark not in seen and len(own) >= smallest
                     if mark is not None:
@@ -132,14 +129,14 @@ def _whole_sets(words_each: int, bits):
     """(mark, hashes, bitmap) of the texts that the table of wanted ones lets through, once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, seen = np.frombuffer(bits.value, np.uint8), set()
+        wanted, seen, known = np.frombuffer(bits.value, np.uint8), set(), WordHashes()
         for whole in batches:
             spots = whole.column(0).to_numpy() & (len(wanted) * 8 - 1)
             hit = np.flatnonzero(wanted[spots >> 3] >> (spots & 7).astype(np.uint8) & 1)
             for start in range(0, len(hit), ROWS_AT_ONCE):
                 marks, sets, maps = [], [], []
                 for text in whole.column(1).take(pa.array(hit[start : start + ROWS_AT_ONCE])).to_pylist():
-                    own = shingles(text, words_each, WORDS)
+                    own = shingles(text, words_each, known)
                     mark = digest_of(own)
                     if mark is not None and mark not in seen:
                         seen.add(mark)

@@ -206,7 +206,7 @@ class Pieces:
                 split.append(self.marked(texts[at]))
                 size += len(texts[at])
                 at += 1
-            if len(self.known) >= CACHE_ENTRIES:
+            if len(self.known) >= CACHE_ENTRIES // 2:  # with those before them, as many as a worker may keep
                 self.known, self.known_before = {}, self.known
             new = set(chain.from_iterable(split)).difference(self.known)
             again = {w: self.known_before[w] for w in new if w in self.known_before}

@@ -127,12 +127,22 @@ def descend(rows: list[tuple[int, np.ndarray, np.ndarray]], settings: Settings)
     return (vectors @ (layer[:, 1] - layer[:, 0])).astype(np.float32), float(bias[1] - bias[0])
 
 
+def _views(column: pa.BinaryArray, kind: type) -> Iterator[np.ndarray]:
+    """The numbers of each row where Arrow holds them, without a copy as Python objects."""
+    if len(column):
+        wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+        _, ends, held = column.buffers()
+        ends, held = np.frombuffer(ends, wide)[column.offset :], np.frombuffer(held or b"", np.uint8)
+        for i in range(len(column)):
+            yield held[ends[i] : ends[i + 1]].view(kind)
+
+
 def _learn(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for batch in batches:
-            for doc_id, label, ids, shares in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.append((doc_id, label, np.frombuffer(ids, np.int32), np.frombuffer(shares, np.float32)))
+            ids, shares = _views(batch.column(2), np.int32), _views(batch.column(3), np.float32)
+            rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), ids, shares, strict=True)
         rows = [row[1:] for row in sorted(rows, key=lambda row: (row[0], len(row[2])))]
         share = sum(label for label, _, _ in rows) / len(rows) if rows else 0.5
         if share in (0, 1) or not rows:

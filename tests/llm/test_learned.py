@@ -105,3 +105,20 @@ def test_keeping_good_rows_keeps_their_columns(spark, awkward, nothing):
     assert quality.keep_good(awkward, labels).exceptAll(awkward).isEmpty()
     assert quality.keep_good(awkward, labels).count() == awkward.count()
     assert quality.keep_good(nothing, labels).collect() == []
+
+
+def test_training_rows_are_read_where_arrow_holds_them():
+    import pyarrow as pa
+
+    rows = [np.arange(n, dtype=np.int32) for n in (3, 0, 5)]
+    column = pa.array([r.tobytes() for r in rows], pa.binary())
+    start, size = column.buffers()[2].address, column.buffers()[2].size
+    found = list(quality._views(column, np.int32))
+    assert [f.tolist() for f in found] == [r.tolist() for r in rows]
+    assert all(start <= f.ctypes.data < start + size for f in found if len(f))
+
+
+def test_words_of_one_task_are_not_kept_for_the_next():
+    from tallyward.llm import common, jaccard_join
+
+    assert not [n for n, v in vars(jaccard_join).items() if isinstance(v, common.WordHashes)]

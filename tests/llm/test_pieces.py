@@ -106,3 +106,18 @@ def test_awkward_rows(awkward, awkward_rows, nothing, model):
 
 def test_batches_are_arrays(model):
     assert all(i.dtype == np.int32 for i in p.Pieces(model).encode_batch(["", "a b"]))
+
+
+def test_both_generations_of_words_fit_the_cache(monkeypatch):
+    from tallyward.llm import pieces as module
+
+    with open(module.MODEL, "rb") as file:
+        model = file.read()
+    texts = [f"w{i} x{i}" for i in range(200)]
+    plain = [ids.tolist() for ids in module.Pieces(model).encode_batch(texts)]
+    monkeypatch.setattr(module, "CACHE_ENTRIES", 40)
+    small, found, most = module.Pieces(model), [], 0
+    for text in texts:
+        found += [ids.tolist() for ids in small.encode_batch([text])]
+        most = max(most, len(small.known) + len(small.known_before))
+    assert found == plain and most <= 40 + 4
