@@ -17,6 +17,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_AT_ONCE = 500
 #: Entries that one Python worker keeps of a cache; it is emptied beyond that.
 CACHE_ENTRIES = 200_000
+#: Bits of a table of spots: so many for each, and at most so many in all (8 MB).
+BITS_EACH, MOST_BITS = 16, 1 << 26
+BITMAP_BITS = 32_768
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +66,41 @@ def wide_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spot_table(spots: DataFrame) -> bytes:
+    """A bit for each `spot`, a 64-bit hash; collected as a table of bounded size."""
+    count = spots.count()
+    bits = BITMAP_BITS
+    while bits < min(count * BITS_EACH, MOST_BITS):
+        bits *= 2
+    place = F.col("spot").bitwiseAND(F.lit(bits - 1)) + 1
+    maps = spots.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
+    table = bytearray(bits // 8)
+    for row in maps.collect():  # one row for each 32,768 bits
+        table[(row.bucket - 1) * BITMAP_BITS // 8 : row.bucket * BITMAP_BITS // 8] = row.map
+    return bytes(table)
+
+
+def in_table(table: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Whether the bits of these spots are set in a table of bytes."""
+    at = spots & (len(table) * 8 - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def parted(rows: DataFrame, wanted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be among the wanted ones, and those whose key is certainly not.
+
+    Only the former need a join, which decides exactly; the others, mostly nearly all, are not shuffled for a few.
+    """
+    bits = rows.sparkSession.sparkContext.broadcast(spot_table(wanted.select(F.xxhash64(key).alias("spot"))))
+
+    @F.arrow_udf("boolean")
+    def perhaps(spots: pa.Array) -> pa.Array:
+        return pa.array(in_table(np.frombuffer(bits.value, np.uint8), spots.to_numpy()))
+
+    told = perhaps(F.xxhash64(key))
+    return rows.filter(told), rows.filter(~told)
+
+
 def per_batch(make: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A `mapInArrow` function that turns one batch at a time."""
 

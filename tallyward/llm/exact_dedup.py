@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import ascii_lower, id_and_text, stored, text_of, wide_parts
+from tallyward.llm.common import ascii_lower, id_and_text, parted, stored, text_of, wide_parts
 
 SLOTS = 4
 KICKS = 200
@@ -200,11 +200,20 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns, whatever these are called."""
+    """The rows that stay, with all their columns, whatever these are called.
+
+    Whole rows are shuffled only where their text may be one that repeats.
+    """
     groups = stored(duplicate_groups(docs, doc_id, text).filter("group_size > 1"))
     digest = F.unhex(F.sha2(ascii_lower(text_of(text)), 256))
     rows = docs.select(F.struct("*").alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"), digest.alias("digest"))
     wanted = F.col("id").eqNullSafe(F.col("keep_id"))
-    single = rows.join(groups, "digest", "left").filter(F.col("group_size").isNull() | (wanted & (F.col("keep_copies") == 1)))
-    repeated = rows.join(groups.filter("keep_copies > 1"), "digest").filter(wanted).dropDuplicates(["digest"])
-    return single.select("whole.*").unionByName(repeated.select("whole.*"))
+    perhaps, others = parted(rows, groups, "digest")
+    single = perhaps.join(groups, "digest", "left").filter(F.col("group_size").isNull() | (wanted & (F.col("keep_copies") == 1)))
+    left = others.select("whole.*").unionByName(single.select("whole.*"))
+    several = stored(groups.filter("keep_copies > 1"))
+    if several.isEmpty():
+        return left
+    perhaps, _ = parted(rows, several, "digest")
+    repeated = perhaps.join(several, "digest").filter(wanted).dropDuplicates(["digest"])
+    return left.unionByName(repeated.select("whole.*"))

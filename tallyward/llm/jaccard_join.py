@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyward.llm.common import ROWS_AT_ONCE, WordHashes, id_and_text, mixed, stored, wide_parts, words_of
+from tallyward.llm.common import ROWS_AT_ONCE, WordHashes, id_and_text, in_table, mixed, parted, spot_table, stored, wide_parts, words_of
 from tallyward.llm.components import components
 
 #: Pairs of a bucket, members times those outside its largest group, beyond which its hash is of the frequent class.
@@ -51,9 +51,6 @@ MAP_WORDS = 64
 TILE = 1_000
 #: Buckets of a node up to which their keys are sent along.
 KNOWN_KEYS = 64
-#: Bits of the table of wanted texts: so many for each, and at most so many in all (8 MB).
-BITS_EACH, MOST_BITS = 16, 1 << 26
-BITMAP_BITS = 32_768
 
 
 def shingles(text: str, words_each: int, known: WordHashes) -> np.ndarray:
@@ -131,8 +128,7 @@ def _whole_sets(words_each: int, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen, known = np.frombuffer(bits.value, np.uint8), set(), WordHashes()
         for whole in batches:
-            spots = whole.column(0).to_numpy() & (len(wanted) * 8 - 1)
-            hit = np.flatnonzero(wanted[spots >> 3] >> (spots & 7).astype(np.uint8) & 1)
+            hit = np.flatnonzero(in_table(wanted, whole.column(0).to_numpy()))
             for start in range(0, len(hit), ROWS_AT_ONCE):
                 marks, sets, maps = [], [], []
                 for text in whole.column(1).take(pa.array(hit[start : start + ROWS_AT_ONCE])).to_pylist():
@@ -156,20 +152,6 @@ def _alone(entries: DataFrame) -> DataFrame:
     return own.groupBy("node").agg(F.count("*").alias("alone"))
 
 
-def _wanted_bits(spots: DataFrame) -> bytes:
-    """A bit for each spot, the 64-bit hash of a wanted text; collected as a table of bounded size."""
-    count = spots.count()
-    bits = BITMAP_BITS
-    while bits < min(count * BITS_EACH, MOST_BITS):
-        bits *= 2
-    place = F.col("spot").bitwiseAND(F.lit(bits - 1)) + 1
-    maps = spots.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
-    table = bytearray(bits // 8)
-    for row in maps.collect():  # one row for each 32,768 bits
-        table[(row.bucket - 1) * BITMAP_BITS // 8 : row.bucket * BITMAP_BITS // 8] = row.map
-    return bytes(table)
-
-
 def _candidates(texts: DataFrame, sets: DataFrame, nodes: DataFrame, words_each: int, percent: int) -> DataFrame:
     """(node, n, sure, most, hashes, map) of the nodes that may be linked to others."""
     copies = sets.select("row", "mark").join(nodes.filter("copies > 1").select("mark", "node"), "mark").filter("row != node").select("row")
@@ -179,7 +161,7 @@ def _candidates(texts: DataFrame, sets: DataFrame, nodes: DataFrame, words_each:
     plausible = about.join(alone, "node", "left").filter(F.col("length") - F.coalesce("alone", F.lit(0)) >= F.col("sure"))
     plausible = stored(plausible.join(nodes.select("node"), "node", "left_semi").select("node", "n", "mark", "sure", "spot"))
     spark = texts.sparkSession
-    bits = spark.sparkContext.broadcast(_wanted_bits(plausible))
+    bits = spark.sparkContext.broadcast(spot_table(plausible))
     whole = texts.select("spot", "text").mapInArrow(_whole_sets(words_each, bits), "mark binary, hashes array<long>, map array<long>")
     whole = stored(whole.join(plausible.drop("spot"), "mark").dropDuplicates(["mark"]).drop("mark"))
     alone = _alone(whole.select("node", F.explode("hashes").alias("token")))
@@ -392,4 +374,5 @@ def drop_near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80
     groups = near_groups(docs, words_each, percent, doc_id, text)
     gone = stored(groups.filter("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct())
     packed = docs.select(F.struct("*").alias("whole"), F.col(f"`{doc_id}`").cast("long").alias("id"))
-    return packed.join(gone, "id", "left_anti").select("whole.*")
+    perhaps, others = parted(packed, gone, "id")
+    return others.select("whole.*").unionByName(perhaps.join(gone, "id", "left_anti").select("whole.*"))

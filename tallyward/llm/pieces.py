@@ -34,7 +34,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Characters whose words are held at once.
-TEXT_AT_ONCE = 2_000_000
+TEXT_AT_ONCE = 500_000
 UNIGRAM, BPE = 1, 2
 LAST = float("inf")
 

@@ -7,6 +7,7 @@ import pytest
 from oracle_compare import connect, differences
 
 from tallyward.llm import exact_dedup as x
+from tallyward.llm.jaccard_join import drop_near_duplicates
 from tallyward.llm.queries import ORACLE, QUERIES
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -110,3 +111,24 @@ def test_deletion_leaves_live_digests(frame):
 def test_query_equals_sql(spark, sf):
     folder = f"/root/testdata/{sf}"
     assert differences(QUERIES["op4_exact_dedup"](spark, folder), connect(folder), ORACLE["op4_exact_dedup"]) is None
+
+
+def shuffled_rows(plan):
+    """Rows that the shuffles of an executed plan have written."""
+    kind = plan.getClass().getSimpleName()
+    inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else [plan.children().apply(i) for i in range(plan.children().size())]
+    return (plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0) + sum(map(shuffled_rows, inner))
+
+
+@pytest.mark.parametrize("drop", ["exact", "near"])
+def test_only_rows_that_may_be_copies_are_shuffled_whole(spark, drop):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "if(id < 20, 'a text that comes again and again in it', concat_ws(' ', transform(sequence(1, 9), i -> sha1(concat(id, ' ', i))))) AS text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = x.drop_exact_duplicates(docs) if drop == "exact" else drop_near_duplicates(docs)
+        ids = {r.doc_id for r in left.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ids == {19 if drop == "exact" else 0, *range(20, 4000)}
+    assert 0 < shuffled_rows(left._jdf.queryExecution().executedPlan()) < 200
