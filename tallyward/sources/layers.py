@@ -26,16 +26,18 @@ def stage_layer(
     name: str,
     partition_by: Sequence[str] = (),
     sorted_by: Sequence[str] = (),
+    gather: bool = True,
 ) -> Stored:
     """Write `df` to a fresh folder that no reader sees before a commit; its rows are counted during the write.
 
     Rows are gathered by the partition columns, else every task writes a small file per partition; a
-    partition that grows large is split again. `sorted_by` sorts within each file, without a shuffle.
+    partition that grows large is split again. Where tasks are large and partitions few, `gather=False` spares
+    that shuffle. `sorted_by` sorts within each file, without a shuffle.
     """
-    if partition_by:
+    if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
     if sorted_by:
-        df = df.sortWithinPartitions(*sorted_by)
+        df = df.sortWithinPartitions(*([] if gather else partition_by), *sorted_by)
     # Counted last: below a shuffle, the count of an empty table gets lost.
     written, folder = Observation(), new_folder(name)
     counted = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
@@ -43,10 +45,10 @@ def stage_layer(
     return Stored((folder,), df.schema.json(), written.get["n_rows"], tuple(partition_by))
 
 
-def stage_by_year(df: DataFrame, root: str, layer: str, name: str, date: str) -> Stored:
+def stage_by_year(df: DataFrame, root: str, layer: str, name: str, date: str, gather: bool = True) -> Stored:
     """As `stage_layer`, with a folder per year of a date; that year is one more column."""
     dated = df.withColumn(year_column(date), F.year(named(date)))
-    return stage_layer(dated, root, layer, name, [year_column(date)], [date])
+    return stage_layer(dated, root, layer, name, [year_column(date)], [date], gather)
 
 
 def write_layer(
@@ -63,9 +65,9 @@ def write_layer(
     return entry.n_rows
 
 
-def write_by_year(df: DataFrame, root: str, layer: str, name: str, date: str) -> int:
+def write_by_year(df: DataFrame, root: str, layer: str, name: str, date: str, gather: bool = True) -> int:
     """Replace a stored table by `df` in one step, with a folder per year of a date; that year is one more column."""
-    entry = stage_by_year(df, root, layer, name, date)
+    entry = stage_by_year(df, root, layer, name, date, gather)
     commit(df.sparkSession, root, layer, {name: entry})
     return entry.n_rows
 

@@ -14,6 +14,7 @@ from tallyward.operators import sketches
 from tallyward.operators.increment import load_new_rows
 from tallyward.operators.ranking import rank_within
 from tallyward.plans.measures import replace_partition, stored_sum
+from tallyward.sources import layers
 from tallyward.sources.layers import NORMALIZED, RAW, read_layer, write_by_year
 from tallyward.sources.manifest import current
 
@@ -157,6 +158,50 @@ def test_a_year_is_replaced_from_its_stored_folder(spark, tmp_path, monkeypatch)
     assert found == expected
 
 
+def test_years_apart_are_neither_dealt_again_nor_merged(spark, tmp_path, monkeypatch):
+    from tallyward.workload import queries
+
+    spark.range(40).selectExpr("id as o_orderkey", "id % 3 as o_custkey", "'F' as o_orderstatus", "1.0D as o_totalprice", "'1' as o_orderpriority", "timestamp_ntz'1997-06-01 00:00:00' + make_dt_interval(cast(id % 5 * 150 as int)) as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(90).selectExpr(
+        "id % 40 as l_orderkey", "id % 7 as l_partkey", "1L as l_suppkey", "cast(id as int) as l_linenumber", "2.0D as l_quantity", "cast(id as double) as l_extendedprice",
+        "0.05D as l_discount", "0.02D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus", "timestamp_ntz'1999-01-01 00:00:00' as l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans, real = [], layers.stage_layer
+
+    def staged(df, *rest, **more):
+        entry = real(df, *rest, **more)
+        plans.append((more.get("gather", rest[-1]), entry))
+        return entry
+
+    monkeypatch.setattr(layers, "stage_layer", staged)
+    t = {name: spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("orders", "lineitem")}
+    found = queries.QUERIES["measure_after_replace"](spark, str(tmp_path))
+    assert [gather for gather, _ in plans] == [False]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    year = F.year("o_orderdate")
+    want = t["lineitem"].join(t["orders"], F.expr("l_orderkey = o_orderkey")).groupBy("l_partkey", year).agg(F.sum(F.col("l_extendedprice") * F.when(year == 1998, 2).otherwise(1)), F.count("*"))
+    assert bag(found) == bag(want)
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_a_table_by_year_is_the_same_gathered_or_not(spark, tmp_path, gather):
+    root, df = str(tmp_path), sales(spark, [2011, 2012, 2013]).repartition(3)
+    assert layers.write_by_year(df, root, NORMALIZED, "sales", "day", gather) == 900
+    assert bag(read_layer(spark, root, NORMALIZED, "sales").drop("day_year")) == bag(df)
+    for file in tmp_path.glob(f"{NORMALIZED}/sales/*/day_year=2012/*.parquet"):
+        days = [r.day for r in spark.read.parquet(str(file)).collect()]
+        assert days == sorted(days) and {d.year for d in days} == {2012}
+
+
+def test_groups_that_folders_share_are_merged(spark, tmp_path):
+    root, df = str(tmp_path), sales(spark, [2011, 2012])
+    write_by_year(df, root, NORMALIZED, "sales", "day")
+    found = stored_sum(spark, root, NORMALIZED, "sales", "by_key", ["k"], {"total": "v"})
+    assert bag(found) == bag(df.groupBy("k").agg(F.sum("v"), F.count("*")))
+    apart = stored_sum(spark, root, NORMALIZED, "sales", "by_year", ["k", "day_year"], {"total": "v"})
+    assert bag(apart) == full(df) and apart.schema["n_rows"].dataType == found.schema["n_rows"].dataType
+
+
 # Date formats
 
 
