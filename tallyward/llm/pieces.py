@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -68,7 +69,7 @@ class Pieces:
         self.edges: dict[str, tuple | None] = {}
         for p in self.ranks:
             self._edges(p)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of the running task
         self.known_before: dict[str, bytes] = {}
         self.text_of = [b"" if p.type == kinds.CONTROL else p.piece.encode() for p in file.pieces]
         self.text_of[self.unknown] = " \u2047 ".encode()
@@ -197,6 +198,10 @@ class Pieces:
             return []
         return self.words.findall(self.prefix + text.replace(" ", MARK))
 
+    def forget(self) -> None:
+        """Drop the known words."""
+        self.known, self.known_before = {}, {}
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; words are split and walked for some texts at a time."""
         out, at = [], 0
@@ -227,10 +232,24 @@ class Pieces:
 
 @lru_cache(maxsize=2)
 def pieces(model: bytes) -> Pieces:
-    """One per worker and model, so that known words outlive a batch."""
+    """One per worker and model, so that it is read once, and known words outlive a batch."""
     return Pieces(model)
 
 
+def _by_task(shared, make):
+    """As `per_batch`; when a task ends, the worker, which also serves what comes after, keeps the model but no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = False
+        for out in per_batch(make)(batches):
+            used = True
+            yield out
+        if used:
+            pieces(shared.value).forget()
+
+    return run
+
+
 def _ids_column(encoded: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, encoded)])
     flat = np.concatenate(encoded) if encoded else np.empty(0, np.int32)
@@ -255,7 +274,7 @@ def encoded(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", text: s
             ["doc_id", "ids", "n_ids", "decoded", "round_trip"],
         )
 
-    return id_and_text(docs, doc_id, text).mapInArrow(per_batch(make), "doc_id long, ids array<int>, n_ids long, decoded string, round_trip boolean")
+    return id_and_text(docs, doc_id, text).mapInArrow(_by_task(shared, make), "doc_id long, ids array<int>, n_ids long, decoded string, round_trip boolean")
 
 
 def with_pieces(docs: DataFrame, model: str = MODEL, text: str = "text", ids_name: str = "ids", count_name: str = "n_ids", mark_name: str | None = None) -> DataFrame:
@@ -276,7 +295,7 @@ def with_pieces(docs: DataFrame, model: str = MODEL, text: str = "text", ids_nam
         marks = [pa.array([own.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)], pa.bool_())] if mark_name is not None else []
         return pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), _ids_column(ids), pa.array(map(len, ids), pa.int64()), *marks], schema.names)
 
-    return docs.mapInArrow(per_batch(make), schema)
+    return docs.mapInArrow(_by_task(shared, make), schema)
 
 
 def decoded(rows: DataFrame, model: str = MODEL, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
@@ -121,3 +122,18 @@ def test_both_generations_of_words_fit_the_cache(monkeypatch):
         found += [ids.tolist() for ids in small.encode_batch([text])]
         most = max(most, len(small.known) + len(small.known_before))
     assert found == plain and most <= 40 + 4
+
+
+def test_a_worker_keeps_no_words_after_a_task(spark, model, monkeypatch):
+    """The task's function, run in this process."""
+    tasks, docs = [], spark.createDataFrame([("a few words to be known", 1)], "text string, doc_id long")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: tasks.append(task))
+    p.encoded(docs)
+    p.with_pieces(docs.select("doc_id", "text"))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a few words to be known", "and more"])], ["doc_id", "text"])
+    own = p.pieces(model)
+    for task in tasks:
+        (out,) = task(iter([batch]))
+        assert [list(i) for i in out.column("ids").to_pylist()] == library(model).encode(["a few words to be known", "and more"])
+        assert not own.known and not own.known_before
+    assert len(tasks) == 2
